@@ -2,29 +2,32 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def micros(ts: Column) -> Column:
-    """Microseconds since 1970 of the written wall-clock time.
+def micros(ts: str = "timestamp") -> Column:
+    """Microseconds since 1970 of the written wall-clock time in column ``ts``.
 
     Built from date parts, so a TIMESTAMP_NTZ never passes through the session zone,
     where times skipped by a clock change would fold onto later ones.
     """
-    minutes = (F.unix_date(F.to_date(ts)).cast("long") * 24 + F.hour(ts)) * 60 + F.minute(ts)
-    seconds = F.date_part(F.lit("SECOND"), ts)
-    return minutes * 60_000_000 + (seconds * 1_000_000).cast("long")
+    return F.expr(_micros(ts))
+
+
+def _micros(ts: str) -> str:
+    minutes = f"(CAST(unix_date(CAST({ts} AS DATE)) AS BIGINT) * 24 + hour({ts})) * 60 + minute({ts})"
+    seconds = f"CAST(date_part('SECOND', {ts}) * 1000000 AS BIGINT)"
+    return f"(({minutes}) * 60000000 + {seconds})"
 
 
-def arrival(ts: Column | str = "timestamp", row_id: Column | str = "row_id") -> Column:
-    """(timestamp, row_id) as one number, row ids below 10**18.
+def arrival(ts: str = "timestamp", row_id: str = "row_id") -> Column:
+    """(``ts``, ``row_id``) as one number, for row ids from 0 to below 10**18.
 
     A number fits the fixed-width buffers of hash aggregation; ``max_by`` over a struct
     would make Spark sort every partition first.
     """
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    row_id = F.col(row_id) if isinstance(row_id, str) else row_id
-    return micros(ts).cast("decimal(18,0)") * F.lit(Decimal(10**18)) + row_id.cast("decimal(18,0)")
+    return F.expr(
+        f"CAST({_micros(ts)} AS DECIMAL(18, 0)) * CAST(1000000000000000000 AS DECIMAL(19, 0))"
+        f" + CAST({row_id} AS DECIMAL(18, 0))"
+    )

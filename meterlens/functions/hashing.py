@@ -14,21 +14,21 @@ def bloom_size(capacity: int, error_rate: float) -> tuple[int, int]:
     return bits, int(bits * math.log(2) / capacity)
 
 
-def md5_mod(text: Column, modulus: int) -> Column:
-    """The 128-bit MD5 of ``text`` modulo ``modulus`` (below 2**31), as a long."""
-    digest = F.md5(text.cast("string"))
-    rest = F.lit(0).cast("long")
-    for start in (1, 9, 17, 25):
-        chunk = F.conv(F.substring(digest, start, 8), 16, 10).cast("long")
-        rest = (rest * (1 << 32) + chunk) % modulus
-    return rest
-
-
-def bloom_positions(item: Column, bits: int, hashes: int) -> list[Column]:
-    """The ``hashes`` bit positions of an item."""
-    return [md5_mod(F.concat_ws("_", item, F.lit(str(i))), bits) for i in range(hashes)]
-
-
-def shuffle_key(row_id: Column, seed: int) -> Column:
+def bloom_position(item: str, number: str | int, bits: int) -> Column:
+    """The bit of column ``item`` under hash ``number``, a column or a constant.
+
+    It is the 128-bit MD5 of "item_number" modulo ``bits`` (below 2**31). The 32 hex
+    digits are taken as 2, 15 and 15: the largest pieces a long holds.
+    """
+    digest = f"md5(concat_ws('_', {item}, CAST({number} AS STRING)))"
+    step = (1 << 60) % bits
+    rest = f"CAST(conv(substring({digest}, 1, 2), 16, 10) AS BIGINT)"
+    for start in (3, 18):
+        piece = f"CAST(conv(substring({digest}, {start}, 15), 16, 10) AS BIGINT)"
+        rest = f"({rest} * {step} + {piece} % {bits}) % {bits}"
+    return F.expr(rest)
+
+
+def shuffle_key(row_id: str, seed: int) -> Column:
     """A hex text that orders rows at random, the same way in every engine and run."""
-    return F.md5(F.concat_ws("_", F.lit(str(seed)), row_id.cast("string")))
+    return F.expr(f"md5(concat_ws('_', '{int(seed)}', CAST({row_id} AS STRING)))")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.functions.arrival import arrival
-from meterlens.functions.hashing import bloom_positions, bloom_size
+from meterlens.functions.hashing import bloom_position, bloom_size
 from meterlens.functions.numeric import fixed_text, percent
 
 # A table of set bits has at most as many rows as the filter has bits; up to this many
@@ -30,11 +30,22 @@ def alert_item(score: str = "anomaly_score") -> Column:
     return item_id(F.col("building_id"), time, fixed_text(F.col(score), 3))
 
 
+def _placed(items: DataFrame, capacity: int, error_rate: float) -> DataFrame:
+    """One row per item (``_item``) and hash, with the ``bit``.
+
+    Rows are multiplied before hashing: one hash per generated loop compiles and runs
+    faster than all of them side by side.
+    """
+    bits, hashes = bloom_size(capacity, error_rate)
+    numbers = F.array(*[F.lit(i) for i in range(hashes)])
+    spread = items.withColumn("_number", F.explode(numbers))
+    position = bloom_position("_item", "_number", bits)
+    return spread.withColumn("bit", position).drop("_item", "_number")
+
+
 def bloom_build(items: DataFrame, item: Column, capacity: int, error_rate: float) -> DataFrame:
     """The set bits of a filter holding all items."""
-    bits, hashes = bloom_size(capacity, error_rate)
-    positions = F.array(*bloom_positions(item, bits, hashes))
-    return items.select(F.explode(positions).alias("bit")).distinct()
+    return _placed(items.select(item.alias("_item")), capacity, error_rate).select("bit").distinct()
 
 
 def bloom_union(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -59,9 +70,10 @@ def _look_up(rows: DataFrame, positions: list[str], table: DataFrame, value: str
     return rows
 
 
-def _with_positions(rows: DataFrame, item: Column, bits: int, hashes: int):
+def _with_positions(rows: DataFrame, item: str, bits: int, hashes: int):
+    """Add the bits of column ``item`` and return their column names as well."""
     names = [f"_p{i}" for i in range(hashes)]
-    columns = dict(zip(names, bloom_positions(item, bits, hashes)))
+    columns = {n: bloom_position(item, i, bits) for i, n in enumerate(names)}
     return rows.withColumns(columns), names
 
 
@@ -70,7 +82,7 @@ def bloom_probe(
 ) -> DataFrame:
     """Add ``maybe_present``: all bits of the row's item are set."""
     bits, hashes = bloom_size(capacity, error_rate)
-    placed, names = _with_positions(rows, item, bits, hashes)
+    placed, names = _with_positions(rows.withColumn("_item", item), "_item", bits, hashes)
     marked = set_bits.select("bit", F.lit(True).alias("_set"))
     found = _look_up(placed, names, marked, "_set", bits)
     present = F.lit(True)
@@ -83,9 +95,8 @@ def first_set_bits(
     rows: DataFrame, item: Column, order: Column, capacity: int, error_rate: float
 ) -> DataFrame:
     """The set bits of the filter and the order number of the row that set each first."""
-    bits, hashes = bloom_size(capacity, error_rate)
-    positions = F.array(*bloom_positions(item, bits, hashes))
-    placed = rows.select(order.alias("first_set"), F.explode(positions).alias("bit"))
+    ordered = rows.select(order.alias("first_set"), item.alias("_item"))
+    placed = _placed(ordered, capacity, error_rate)
     return placed.groupBy("bit").agg(F.min("first_set").alias("first_set"))
 
 
@@ -113,7 +124,7 @@ def bloom_dedup(
             F.min("first_set").alias("first_set")
         )
     placed, names = _with_positions(
-        rows.withColumn("item", item).withColumn("_order", order), F.col("item"), bits, hashes
+        rows.withColumns({"item": item, "_order": order}), "item", bits, hashes
     )
     found = _look_up(placed, names, table, "first_set", bits)
     all_set = F.lit(True)

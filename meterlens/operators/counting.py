@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.operators.ordering import MAX_ROWS, running_total
+from meterlens.operators.ordering import MAX_ROWS, find_hot_keys, running_total
 
 
 def trailing_count(
@@ -34,7 +34,8 @@ def trailing_count(
     )
     points = per_time.select(*keys, ts, F.explode(F.array(opening, closing)).alias("_p"))
     points = points.select(*keys, ts, "_p._at", "_p._kind", "_p._delta")
-    counted = running_total(points, keys, ["_at", "_kind", ts], "_delta", "_total", max_rows)
+    hot = find_hot_keys(bits, keys, max_rows)
+    counted = running_total(points, keys, ["_at", "_kind", ts], "_delta", "_total", hot)
     before = F.max(F.when(F.col("_kind") == 0, F.col("_total")))
     until = F.max(F.when(F.col("_kind") == 1, F.col("_total")))
     return counted.groupBy(*keys, ts).agg((until - before).alias("ones_in_window"))

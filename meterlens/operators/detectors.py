@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from meterlens.functions.numeric import fixed_text
 from meterlens.operators.aggregates import building_statistics, latest_reading
 from meterlens.operators.filters import non_null_readings
-from meterlens.operators.ordering import MAX_ROWS, look_back
+from meterlens.operators.ordering import MAX_ROWS, find_hot_keys, look_back
 from meterlens.storage import durable
 
 # Limits of the three methods and the votes the ensemble needs.
@@ -144,7 +144,8 @@ def _moving(readings: DataFrame, rows: int, max_rows: int) -> DataFrame:
         }
 
     usable = non_null_readings(readings).select(*READING)
-    moved = look_back(usable, ["building_id"], ["timestamp", "row_id"], rows, outputs, max_rows)
+    hot = find_hot_keys(usable, ["building_id"], max_rows)
+    moved = look_back(usable, ["building_id"], ["timestamp", "row_id"], rows, outputs, hot)
     return moved.withColumns(
         {"current_reading": F.col("meter_reading"), "enough": F.col("n_readings") >= rows}
     )

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterlens.functions.arrival import micros
-from meterlens.operators.ordering import MAX_ROWS, look_back
-from meterlens.storage import durable
+from meterlens.operators.ordering import MAX_ROWS, find_hot_keys, look_back
 
 # Fixed value: bytes counted per bucket.
 BUCKET_BYTES = 16
@@ -117,15 +116,15 @@ def dgim_state(
     held as a whole.
     """
     window = int(window_seconds) * 1_000_000
-    order = [ts]
     per_time = bits.groupBy(*keys, ts).agg(
         F.count("*").alias("_bits"),
         F.count_if(F.col(bit) == 1).alias("_ones"),
         F.min_by(bit, "row_id").alias("_first"),
     )
+    hot = find_hot_keys(bits, keys, max_rows)
     timed = look_back(
-        per_time, keys, order, 1, lambda w: {"_before": F.lag(ts).over(w)}, max_rows
-    ).withColumns({"_at": micros(F.col(ts)), "_before": micros(F.col("_before"))})
+        per_time, keys, [ts], 1, lambda w: {"_before": F.lag(ts).over(w)}, hot
+    ).withColumns({"_at": micros(ts), "_before": micros("_before")})
     clock = F.when(F.col("_first") == 0, F.col("_at")).otherwise(
         F.coalesce("_before", "_at")
     )
@@ -133,13 +132,11 @@ def dgim_state(
         *keys, "_at", "_ones", clock.alias("_clock")
     )
     spaced = look_back(
-        ones, keys, ["_at"], 1, lambda w: {"_previous": F.lag("_at").over(w)}, max_rows
+        ones, keys, ["_at"], 1, lambda w: {"_previous": F.lag("_at").over(w)}, hot
     )
     restart = F.coalesce(F.col("_at") - F.col("_previous") > window, F.lit(True))
     spaced = spaced.withColumn("_restart", restart)
-    starts = durable(
-        spaced.where("_restart").groupBy(*keys).agg(F.max("_at").alias("_start"))
-    )
+    starts = spaced.where("_restart").groupBy(*keys).agg(F.max("_at").alias("_start"))
     recent = spaced.join(starts, keys).where(F.col("_at") >= F.col("_start"))
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -162,7 +159,7 @@ def dgim_state(
     totals = per_time.groupBy(*keys).agg(
         F.sum("_bits").alias("total_bits"), F.max(ts).alias("last_time")
     )
-    cutoff = micros(F.col("last_time")) - window
+    cutoff = micros("last_time") - window
     live = F.filter(
         F.coalesce("_buckets", F.array().cast(BUCKETS)), lambda b: b["at"] >= cutoff
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,24 +24,33 @@ MAX_ROWS = 2_000_000
 CHUNK = "_chunk"
 
 
-def split_hot_keys(
-    df: DataFrame, keys: list[str], order: list[str], max_rows: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, chunked rows of hot keys or None if there are none).
+class HotKeys(NamedTuple):
+    """Keys above the limit (at most ``rows / max_rows`` of them) and their chunks."""
+
+    keys: DataFrame
+    chunks: int
+
+
+def find_hot_keys(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS) -> HotKeys | None:
+    """The keys with more than ``max_rows`` rows, None if there are none.
 
-    Keys must not be null and ``order`` must be unique within a key. The list of hot keys
-    has at most ``rows / max_rows`` entries.
+    Keys must not be null. The result also serves tables with fewer rows per key.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
-    hot = durable(counts)
-    rows = hot.agg(F.sum("_n")).first()[0]
+    rows = counts.agg(F.sum("_n")).first()[0]
     if rows is None:
-        return df, None
-    hot = hot.drop("_n")
-    cold = df.join(hot, keys, "left_anti")
+        return None
+    return HotKeys(durable(counts.select(*keys)), max(2, math.ceil(rows / max_rows)))
+
+
+def split_hot_keys(
+    df: DataFrame, keys: list[str], order: list[str], hot: HotKeys
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, chunked rows of hot keys); ``order`` is unique within a key."""
+    cold = df.join(hot.keys, keys, "left_anti")
     chunks = (
-        df.join(hot, keys, "left_semi")
-        .repartitionByRange(max(2, math.ceil(rows / max_rows)), *keys, *order)
+        df.join(hot.keys, keys, "left_semi")
+        .repartitionByRange(hot.chunks, *keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
     )
     return cold, durable(chunks)
@@ -52,17 +62,16 @@ def look_back(
     order: list[str],
     rows: int,
     outputs: Callable[[WindowSpec], dict[str, Column]],
-    max_rows: int = MAX_ROWS,
+    hot_keys: HotKeys | None,
 ) -> DataFrame:
     """Add columns whose frames reach back at most ``rows`` rows within a key.
 
     ``outputs`` gets the ordered window and returns the columns to add.
     """
-    cold, hot = split_hot_keys(df, keys, order, max_rows)
     plain = outputs(Window.partitionBy(*keys).orderBy(*order))
-    done = cold.withColumns(plain)
-    if hot is None:
-        return done
+    if hot_keys is None:
+        return df.withColumns(plain)
+    cold, hot = split_hot_keys(df, keys, order, hot_keys)
 
     in_chunk = Window.partitionBy(*keys, CHUNK)
     last = in_chunk.orderBy(*[F.desc(c) for c in order])
@@ -91,7 +100,7 @@ def look_back(
         .where(~F.col("_halo"))
         .drop("_halo", CHUNK)
     )
-    return done.unionByName(chunked)
+    return cold.withColumns(plain).unionByName(chunked)
 
 
 def running_total(
@@ -100,18 +109,16 @@ def running_total(
     order: list[str],
     value: str,
     name: str,
-    max_rows: int = MAX_ROWS,
+    hot_keys: HotKeys | None,
 ) -> DataFrame:
     """Add the sum of ``value`` over the rows up to and including each row of a key."""
-    cold, hot = split_hot_keys(df, keys, order, max_rows)
-
     def so_far(*partition: str) -> Column:
         frame = Window.partitionBy(*partition).orderBy(*order)
         return F.sum(value).over(frame.rowsBetween(Window.unboundedPreceding, 0))
 
-    done = cold.withColumn(name, so_far(*keys))
-    if hot is None:
-        return done
+    if hot_keys is None:
+        return df.withColumn(name, so_far(*keys))
+    cold, hot = split_hot_keys(df, keys, order, hot_keys)
     before = (
         Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -126,4 +133,4 @@ def running_total(
         .withColumn(name, F.col(name) + F.col("_offset"))
         .drop("_offset", CHUNK)
     )
-    return done.unionByName(chunked)
+    return cold.withColumn(name, so_far(*keys)).unionByName(chunked)

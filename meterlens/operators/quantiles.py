@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 # Bins per factor e in magnitude: neighbouring bin edges differ by 0.0015 %.
 BINS_PER_E_FOLD = 65536
 
 
-def _bin(x: Column) -> Column:
+def _bin(x: str) -> str:
     """A coarse bin that never decreases with ``x``, whatever the data."""
-    magnitude = F.log1p(F.least(F.abs(x), F.lit(1e300)))
-    return (F.signum(x) * F.floor(magnitude * BINS_PER_E_FOLD)).cast("long")
+    magnitude = f"floor(log1p(least(abs({x}), 1e300D)) * {BINS_PER_E_FOLD})"
+    return f"CAST(signum({x}) * {magnitude} AS BIGINT)"
 
 
 def exact_quantiles(
@@ -30,51 +29,54 @@ def exact_quantiles(
     wanted ranks, and only the values of those bins are ordered. ``few_keys`` states that
     the number of keys is fixed and small, so the list of bins may be broadcast.
     """
-    x = F.col(value).cast("double")
+    x = f"CAST({value} AS DOUBLE)"
+    # The join below implies these filters; stating them here keeps both uses of the
+    # counts equal, so that Spark computes and shuffles them once.
+    filled = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, x, _bin(x)])
     counts = (
-        df.where(x.isNotNull())
-        .groupBy(*keys, _bin(x).alias("_bin"), x.alias("_x"))
+        df.where(filled)
+        .groupBy(*keys, F.expr(_bin(x)).alias("_bin"), F.expr(x).alias("_x"))
         .agg(F.count("*").alias("_c"))
     )
-    per_key = Window.partitionBy(*keys)
+    by_key = f"PARTITION BY {', '.join(keys)}"
     histogram = counts.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_c"))
-    ranked = histogram.select(
+    ranked = histogram.selectExpr(
         *keys,
         "_bin",
-        (F.sum("_c").over(per_key.orderBy("_bin")) - F.col("_c")).alias("_start"),
-        F.col("_c").alias("_in_bin"),
-        F.sum("_c").over(per_key).alias("_n"),
+        f"sum(_c) OVER ({by_key} ORDER BY _bin) - _c AS _start",
+        "_c AS _in_bin",
+        f"sum(_c) OVER ({by_key}) AS _n",
     )
+    low = {name: f"floor({float(q)}D * (_n - 1))" for name, q in quantiles.items()}
+    high = {name: f"ceil({float(q)}D * (_n - 1))" for name, q in quantiles.items()}
 
-    def position(q: float) -> Column:
-        return F.lit(float(q)) * (F.col("_n") - 1)
+    def holds(rank: str, start: str, size: str) -> str:
+        return f"({rank} >= {start} AND {rank} < {start} + {size})"
 
-    def holds(rank: Column, start: Column, size: Column) -> Column:
-        return (rank >= start) & (rank < start + size)
-
-    ranks = [f(position(q)) for q in quantiles.values() for f in (F.floor, F.ceil)]
-    wanted = F.lit(False)
-    for rank in ranks:
-        wanted = wanted | holds(rank, F.col("_start"), F.col("_in_bin"))
-    bins = ranked.where(wanted).drop("_in_bin")
+    ranks = [*low.values(), *high.values()]
+    bins = ranked.where(" OR ".join(holds(r, "_start", "_in_bin") for r in ranks))
+    bins = bins.drop("_in_bin")
     if few_keys:
         bins = F.broadcast(bins)
 
-    in_bin = Window.partitionBy(*keys, "_bin").orderBy("_x")
-    first = F.col("_start") + F.sum("_c").over(in_bin) - F.col("_c")
-    candidates = counts.join(bins, [*keys, "_bin"]).withColumn("_first", first)
+    candidates = counts.join(bins, [*keys, "_bin"]).selectExpr(
+        *keys, "_x", "_c", "_n",
+        f"_start + sum(_c) OVER ({by_key}, _bin ORDER BY _x) - _c AS _first",
+    )
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when(holds(rank, F.col("_first"), F.col("_c")), F.col("_x")))
+    def value_at(rank: str, name: str):
+        return F.expr(f"max(CASE WHEN {holds(rank, '_first', '_c')} THEN _x END) AS {name}")
 
-    ends = []
-    for name, q in quantiles.items():
-        ends.append(at(F.floor(position(q))).alias(f"_lo_{name}"))
-        ends.append(at(F.ceil(position(q))).alias(f"_hi_{name}"))
-    found = candidates.groupBy(*keys).agg(F.max("_n").alias("_n"), *ends)
-    out = []
-    for name, q in quantiles.items():
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        fraction = position(q) - F.floor(position(q))
-        out.append((lo + (hi - lo) * fraction).alias(name))
-    return found.select(*keys, *out)
+    found = candidates.groupBy(*keys).agg(
+        F.max("_n").alias("_n"),
+        *[value_at(rank, f"_low_{name}") for name, rank in low.items()],
+        *[value_at(rank, f"_high_{name}") for name, rank in high.items()],
+    )
+    return found.selectExpr(
+        *keys,
+        *[
+            f"_low_{name} + (_high_{name} - _low_{name}) * ({float(q)}D * (_n - 1) - {low[name]})"
+            f" AS {name}"
+            for name, q in quantiles.items()
+        ],
+    )

@@ -48,7 +48,7 @@ def _cuts(keyed: DataFrame, quota: Callable[[Column], Column]) -> DataFrame:
 
 
 def _keyed(rows: DataFrame, stratum: Column, seed: int) -> DataFrame:
-    return rows.withColumns({"_stratum": stratum, "_key": shuffle_key(F.col("row_id"), seed)})
+    return rows.withColumns({"_stratum": stratum, "_key": shuffle_key("row_id", seed)})
 
 
 def sample_readings(readings: DataFrame, n: int, seed: int = 42) -> DataFrame:

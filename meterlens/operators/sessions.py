@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.operators.ordering import MAX_ROWS, look_back, running_total
+from meterlens.operators.ordering import MAX_ROWS, find_hot_keys, look_back, running_total
 
 
 def _measures() -> list[Column]:
@@ -69,12 +69,11 @@ def session_counts(
     """
     gap = F.expr(f"INTERVAL '{int(gap_seconds)}' SECOND")
     per_time = readings.groupBy(*keys, ts).agg(*_measures())
-    spaced = look_back(
-        per_time, keys, [ts], 1, lambda w: {"_before": F.lag(ts).over(w)}, max_rows
-    )
+    hot = find_hot_keys(readings, keys, max_rows)
+    spaced = look_back(per_time, keys, [ts], 1, lambda w: {"_before": F.lag(ts).over(w)}, hot)
     starts = F.coalesce(F.col(ts) > F.col("_before") + gap, F.lit(True))
     marked = spaced.withColumn("_starts", starts.cast("long")).drop("_before")
-    numbered = running_total(marked, keys, [ts], "_starts", "_session", max_rows)
+    numbered = running_total(marked, keys, [ts], "_starts", "_session", hot)
     return (
         numbered.groupBy(*keys, "_session")
         .agg(

@@ -40,7 +40,12 @@ def feature_thresholds(readings: DataFrame, features: list[str] | None = None) -
 
 
 def default_thresholds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_THRESHOLDS, THRESHOLDS)
+    """The fallback thresholds as a literal table, known to the optimizer in size."""
+    rows = ", ".join(
+        f"('{name}', {', '.join(f'{v}D' for v in values)})" for name, *values in DEFAULT_THRESHOLDS
+    )
+    names = ", ".join(f"`{c}`" for c in THRESHOLDS.names)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})")
 
 
 def with_defaults(thresholds: DataFrame) -> DataFrame:

@@ -105,7 +105,7 @@ def dgim_stream(
         T.StructField("buckets", BUCKETS),
     ])
     folded = (
-        bits.select(key, "row_id", micros(F.col(ts)).alias("_at"), F.col(bit).alias("_bit"))
+        bits.select(key, "row_id", micros(ts).alias("_at"), F.col(bit).alias("_bit"))
         .groupBy(key)
         .applyInPandasWithState(update, output, STATE, "update", GroupStateTimeout.NoTimeout)
     )
