@@ -112,8 +112,8 @@ def dgim_state(
 
     Bits of equal key and time (ordered by ``row_id``) are merged before anything is
     shuffled by key. A pause longer than the window empties all buckets, so only what
-    follows a key's last such pause is folded, read in order, a batch at a time, never
-    held as a whole.
+    follows a key's last such pause is folded. Each task reads its keys in order, a batch of
+    rows at a time, and holds the buckets of one key only.
     """
     window = int(window_seconds) * 1_000_000
     per_time = bits.groupBy(*keys, ts).agg(
@@ -139,22 +139,30 @@ def dgim_state(
     starts = spaced.where("_restart").groupBy(*keys).agg(F.max("_at").alias("_start"))
     recent = spaced.join(starts, keys).where(F.col("_at") >= F.col("_start"))
 
-    def fold(key: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        levels: list[list[int]] = []
+    columns = [*keys, "_at", "_ones", "_clock"]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, levels = None, []
         for batch in batches:
-            for at, ones, clock in zip(batch["_at"], batch["_ones"], batch["_clock"]):
+            done = []
+            for *row_key, at, ones, clock in zip(*[batch[c].tolist() for c in columns]):
+                if row_key != key:
+                    if key is not None:
+                        done.append([*key, to_buckets(levels)])
+                    key, levels = row_key, []
                 advance(levels, at, ones, clock, window)
-        row = dict(zip(keys, [[k] for k in key]))
-        yield pd.DataFrame({**row, "_buckets": [to_buckets(levels)]})
+            if done:
+                yield pd.DataFrame(done, columns=[*keys, "_buckets"])
+        if key is not None:
+            yield pd.DataFrame([[*key, to_buckets(levels)]], columns=[*keys, "_buckets"])
 
     key_fields = [bits.schema[k] for k in keys]
     schema = T.StructType([*key_fields, T.StructField("_buckets", BUCKETS)])
     folded = (
-        recent.select(*keys, "_at", "_ones", "_clock")
+        recent.select(*columns)
         .repartition(*keys)
         .sortWithinPartitions(*keys, "_at")
-        .groupBy(*keys)
-        .applyInPandas(fold, schema)
+        .mapInPandas(fold, schema)
     )
     totals = per_time.groupBy(*keys).agg(
         F.sum("_bits").alias("total_bits"), F.max(ts).alias("last_time")

@@ -24,6 +24,7 @@ from meterlens.sources import tables
 from meterlens.sources.entry import validate_entries
 from meterlens.sources.events import readings as load
 from meterlens.sources.files import typed_readings
+from meterlens.storage import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -487,7 +488,7 @@ def alert_dedup(spark, folder):
     scored = D.three_sigma(events_only(spark, folder)).where(F.col("anomaly") == 1)
     alerts = scored.select("row_id", "building_id", "timestamp",
                            F.col("confidence").alias("anomaly_score"))
-    marked = B.bloom_dedup(alerts, B.alert_item(), CAPACITY, 0.01)
+    marked = durable(B.bloom_dedup(alerts, B.alert_item(), CAPACITY, 0.01))
     fresh = marked.select(
         F.lit(0).alias("stream"), "timestamp", (~F.col("is_duplicate")).cast("int").alias("bit")
     )
