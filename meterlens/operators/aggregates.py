@@ -108,20 +108,41 @@ def building_detail(readings: DataFrame) -> DataFrame:
     )
 
 
-def building_statistics(readings: DataFrame) -> DataFrame:
-    """Per building: mean, population std, min, max, count, median and quartiles."""
-    usable = non_null_readings(readings)
-    moments = usable.groupBy("building_id").agg(
+def _moments() -> list[Column]:
+    return [
         F.avg("meter_reading").alias("mean"),
         F.stddev_pop("meter_reading").alias("std"),
         F.min("meter_reading").alias("min"),
         F.max("meter_reading").alias("max"),
         F.count("*").alias("count"),
+    ]
+
+
+def building_moments(readings: DataFrame) -> DataFrame:
+    """Per building: mean, population std, min, max and count of non-null readings."""
+    return non_null_readings(readings).groupBy("building_id").agg(*_moments())
+
+
+def building_quartiles(readings: DataFrame) -> DataFrame:
+    quartiles = {"median": 0.5, "q75": 0.75, "q25": 0.25}
+    return exact_quantiles(
+        non_null_readings(readings), ["building_id"], "meter_reading", quartiles
     )
-    quartiles = exact_quantiles(
-        usable, ["building_id"], "meter_reading", {"median": 0.5, "q75": 0.75, "q25": 0.25}
+
+
+def building_statistics(readings: DataFrame) -> DataFrame:
+    """Per building: the moments, median and quartiles."""
+    return building_moments(readings).join(building_quartiles(readings), "building_id")
+
+
+def latest_with_moments(readings: DataFrame) -> DataFrame:
+    """The last non-null reading of each building and its moments, in one aggregation."""
+    order = arrival()
+    return non_null_readings(readings).groupBy("building_id").agg(
+        F.max_by("timestamp", order).alias("timestamp"),
+        F.max_by("meter_reading", order).alias("meter_reading"),
+        *_moments(),
     )
-    return moments.join(quartiles, "building_id")
 
 
 def anomaly_distribution(readings: DataFrame) -> DataFrame:

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from meterlens.functions.numeric import fixed_text
-from meterlens.operators.aggregates import building_statistics, latest_reading
+from meterlens.operators.aggregates import (
+    building_moments,
+    building_quartiles,
+    building_statistics,
+    latest_reading,
+    latest_with_moments,
+)
 from meterlens.operators.filters import non_null_readings
 from meterlens.operators.ordering import MAX_ROWS, find_hot_keys, look_back
 from meterlens.storage import durable
@@ -96,13 +104,15 @@ def with_statistics(rows: DataFrame, stats: DataFrame) -> DataFrame:
     return rows.join(stats, "building_id", "left")
 
 
-def _every_reading(readings: DataFrame, stats: DataFrame | None) -> DataFrame:
+def _every_reading(
+    readings: DataFrame, stats: DataFrame | None, statistics: Callable = building_statistics
+) -> DataFrame:
     rows = non_null_readings(readings).select(
         "row_id", "building_id", "timestamp", "meter_reading", "anomaly"
     )
     if stats is None:
         # Stored first, so that its size is known when the join strategy is chosen.
-        stats = durable(building_statistics(readings))
+        stats = durable(statistics(readings))
     return with_statistics(rows, stats)
 
 
@@ -121,7 +131,7 @@ READING = ["row_id", "building_id", "timestamp", "meter_reading", "anomaly"]
 
 def three_sigma(readings: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """3-sigma verdict for every non-null reading against its building's statistics."""
-    rows = _every_reading(readings, stats).withColumns(
+    rows = _every_reading(readings, stats, building_moments).withColumns(
         {"z_score": F.coalesce(z_score(), F.lit(0.0)), **sigma_columns()}
     )
     return _named(rows, "sigma", "3sigma", [*READING, "z_score"])
@@ -277,11 +287,13 @@ def detect_batch(
         readings = readings.join(building_ids.select("building_id"), "building_id", "left_semi")
     elif building_ids is not None:
         readings = readings.where(F.col("building_id").isin(list(building_ids)))
-    rows = latest_reading(readings)
+    rows = latest_with_moments(readings)
     prefix = METHODS.get(method, "ensemble")
-    if prefix in ("sigma", "iqr", "ensemble"):
-        rows = with_statistics(rows, building_statistics(readings))
-        rows = rows.withColumns({**sigma_columns(), **iqr_columns()})
+    if prefix in ("sigma", "ensemble"):
+        rows = rows.withColumns(sigma_columns())
+    if prefix in ("iqr", "ensemble"):
+        rows = rows.join(building_quartiles(readings), "building_id")
+        rows = rows.withColumns(iqr_columns())
     if prefix in ("ma", "ensemble"):
         recent = moving_average_asof(readings, window_rows, range_hours, as_of).select(
             "building_id",

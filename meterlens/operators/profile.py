@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -31,18 +33,35 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def column_statistics(
+    df: DataFrame, columns: list[str], key: str, statistics: dict[str, Callable]
+) -> DataFrame:
+    """One row per column with the given aggregates of its values as doubles.
+
+    All columns are aggregated side by side in one pass, and only the single row of results
+    is turned: unpivoting the rows first would multiply them by the number of columns.
+    """
+    wide = df.agg(
+        *[
+            F.struct(
+                F.lit(c).alias(key),
+                *[f(F.col(c).cast("double")).alias(name) for name, f in statistics.items()],
+            ).alias(f"_{i}")
+            for i, c in enumerate(columns)
+        ]
+    )
+    return wide.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
+
+
 def numeric_describe(df: DataFrame) -> DataFrame:
     """count, mean, sample std, min, exact quartiles and max of every numeric column."""
     columns = columns_of_kind(df, "numeric")
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column_name", "value"
     )
-    moments = long.groupBy("column_name").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    moments = column_statistics(
+        df, columns, "column_name",
+        {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max},
     )
     quartiles = exact_quantiles(
         long, ["column_name"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, few_keys=True

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterlens.functions.numeric import fixed_text, severity
 from meterlens.operators.filters import available, non_null_readings
+from meterlens.operators.profile import column_statistics
 from meterlens.operators.quantiles import exact_quantiles
 from meterlens.schema import DEFAULT_THRESHOLDS, FEATURES, THRESHOLDS
 
@@ -17,14 +18,13 @@ def feature_thresholds(readings: DataFrame, features: list[str] | None = None) -
     Rows without a reading are left out, other nulls only from their own column.
     """
     columns = available(readings, features or FEATURES)
-    long = (
-        non_null_readings(readings)
-        .select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], columns, "parameter", "value")
-    )
-    moments = long.where(F.col("value").isNotNull()).groupBy("parameter").agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")
+    usable = non_null_readings(readings).select(
+        *[F.col(c).cast("double").alias(c) for c in columns]
     )
+    moments = column_statistics(
+        usable, columns, "parameter", {"mean": F.avg, "std": F.stddev_samp}
+    ).where(F.col("mean").isNotNull())
+    long = usable.unpivot([], columns, "parameter", "value")
     quartiles = exact_quantiles(
         long, ["parameter"], "value", {"q1": 0.25, "q3": 0.75}, few_keys=True
     )
