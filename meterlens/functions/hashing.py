@@ -20,6 +20,8 @@ def bloom_position(item: str, number: str | int, bits: int) -> Column:
     It is the 128-bit MD5 of "item_number" modulo ``bits`` (below 2**31). The 32 hex
     digits are taken as 2, 15 and 15: the largest pieces a long holds.
     """
+    if bits >= 1 << 31:
+        raise ValueError("a filter must have fewer than 2**31 bits")
     digest = f"md5(concat_ws('_', {item}, CAST({number} AS STRING)))"
     step = (1 << 60) % bits
     rest = f"CAST(conv(substring({digest}, 1, 2), 16, 10) AS BIGINT)"

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from meterlens.functions.numeric import guarded_corr
 from meterlens.operators import aggregates as A
+from meterlens.operators import filters as P
 from meterlens.operators.filters import project_readings
 from meterlens.operators.sampling import sample_readings
+from meterlens.storage import durable
 
 # Least rows for a full run, the correlation that counts as a finding
 # (exclusive), and the number of distinct hours a peak hour needs (exclusive).
@@ -19,6 +21,46 @@ NOTABLE_CORRELATION = 0.3
 MIN_HOURS = 12
 
 
+def overview(readings: DataFrame, detected: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Overall numbers and the most frequent building types."""
+    return {
+        "stats": A.overall_stats(readings, detected),
+        "building_types": A.building_types(readings),
+    }
+
+
+def building_page(readings: DataFrame, page: int = 1, size: int = 20) -> dict[str, DataFrame]:
+    """A page of buildings in the order of their ids, and how many there are."""
+    return {
+        "buildings": P.page(A.building_summary(readings), ["building_id"], page, size),
+        "total": A.distinct_buildings(readings),
+    }
+
+
+def building_details(readings: DataFrame, building_id: int) -> dict[str, DataFrame]:
+    """Attributes, last 24 readings and statistics of one building; empty if unknown."""
+    rows = readings.where(F.col("building_id") == building_id)
+    return {
+        "info": A.building_info(rows),
+        "recent": A.recent_per_building(rows),
+        "statistics": A.building_detail(rows),
+    }
+
+
+def anomaly_feed(
+    readings: DataFrame, anomalies: DataFrame, n: int = 20
+) -> dict[str, DataFrame]:
+    """The n most recent labelled and detected anomalies, and the number of each."""
+    labelled = P.recent_anomalies(readings, n)
+    detected = P.recent_detections(anomalies, n)
+
+    def count(rows: DataFrame, name: str) -> DataFrame:
+        return rows.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("source"), "row_count")
+
+    counts = count(labelled, "labeled").unionByName(count(detected, "detected"))
+    return {"labeled": labelled, "detected": detected, "counts": counts}
+
+
 def weather_report(readings: DataFrame) -> dict[str, DataFrame]:
     return {
         "correlations": A.weather_correlation(readings),
@@ -112,11 +154,15 @@ def insights(readings: DataFrame) -> DataFrame:
 def complete_analysis(
     readings: DataFrame, sample_size: int | None = None
 ) -> dict[str, dict[str, DataFrame]]:
-    """All reports over the non-null readings, or a sample; nothing below 100 rows."""
-    rows = sample_readings(readings, sample_size) if sample_size is not None else readings
-    rows = project_readings(rows).persist()
-    if len(rows.limit(MIN_ROWS).take(MIN_ROWS)) < MIN_ROWS:
-        rows.unpersist()
+    """All reports over the non-null readings, or a sample; nothing below 100 rows.
+
+    A sample is stored once. The full table is not cached: every report scans only the few
+    columns it needs, which costs less than keeping all of them.
+    """
+    rows = project_readings(readings)
+    if sample_size is not None:
+        rows = durable(project_readings(sample_readings(readings, sample_size)))
+    if rows.limit(MIN_ROWS).count() < MIN_ROWS:
         return {}
     return {
         "weather": weather_report(rows),

@@ -44,13 +44,15 @@ def split_entries(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted, rejected
 
 
-def append_entries(entries: DataFrame, readings_path: str, rejected_path: str) -> None:
-    """Validate once, append accepted rows as readings and keep the rejected ones."""
+def store_entries(
+    entries: DataFrame, readings_path: str, rejected_path: str, mode: str = "append"
+) -> None:
+    """Write accepted rows as readings and keep the rejected ones with their errors."""
     accepted, rejected = split_entries(validate_entries(entries))
     stamped = (
         accepted.withColumn("hour", F.hour("timestamp"))
         .withColumn("weekday", F.weekday("timestamp"))
         .withColumn("month", F.month("timestamp"))
     )
-    write_readings(stamped, readings_path, mode="append")
-    rejected.write.mode("append").parquet(rejected_path)
+    write_readings(stamped, readings_path, mode=mode)
+    rejected.write.mode(mode).parquet(rejected_path)

@@ -14,9 +14,8 @@ from meterlens.operators.sessions import (
     stream_session_counts,
     tumbling_counts,
 )
-from meterlens.schema import STREAM_STATS
-from meterlens.sources.entry import append_entries
-from meterlens.sources.tables import append_metrics
+from meterlens.sources.entry import store_entries
+from meterlens.sources.tables import anomaly_rows
 
 
 def read_stream(
@@ -73,19 +72,31 @@ def exact_dedup(stream: DataFrame, item: str, delay: str) -> DataFrame:
 def append_entries_stream(
     entries: DataFrame, readings_path: str, rejected_path: str, checkpoint: str
 ) -> DataStreamWriter:
-    """Validate entered readings per micro-batch; accepted and rejected go to two tables."""
+    """Validate entered readings per micro-batch; accepted and rejected go to two tables.
+
+    Each batch has a folder of its own, so running it again replaces what it wrote.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_entries(batch, readings_path, rejected_path)
+        part = f"batch={batch_id}"
+        store_entries(batch, f"{readings_path}/{part}", f"{rejected_path}/{part}", "overwrite")
 
     return entries.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def append_anomalies_stream(
+    results: DataFrame, path: str, checkpoint: str
+) -> DataStreamWriter:
+    """Append the flagged readings of a stream to the anomalies table, exactly once."""
+    writer = anomaly_rows(results).writeStream.format("parquet").option("path", path)
+    return writer.option("checkpointLocation", checkpoint)
+
+
 def batch_stats(batch: DataFrame, batch_id: int, path: str) -> None:
-    """Append rows, distinct items and duplicates of a de-duplicated micro-batch."""
+    """Store rows and duplicates of a de-duplicated micro-batch as stream statistics."""
     names = ["processed", "duplicates"]
     counts = batch.agg(
         F.count("*").cast("double").alias("processed"),
         F.count_if("is_duplicate").cast("double").alias("duplicates"),
     ).unpivot([], names, "metric", "value")
-    rows = counts.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    append_metrics(rows.select(*[c for c in STREAM_STATS.names if c != "timestamp"]), path)
+    stamped = counts.withColumn("timestamp", F.current_timestamp())
+    stamped.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -165,6 +165,20 @@ def test_reports(make_readings):
     assert found["most_efficient_type"].subject == "Office"
     assert found["least_efficient_type"].subject == "Retail"
     assert reports.complete_analysis(make_readings(rows[:99])) == {}
+    df = make_readings(rows)
+    overview = reports.overview(df)
+    assert overview["stats"].first().labeled_anomalies == 40
+    assert overview["building_types"].count() == 2
+    assert reports.building_page(df, page=2, size=2)["buildings"].first().building_id == 2
+    details = reports.building_details(df, 2)
+    assert details["info"].first().year_built == 2000
+    assert details["recent"].count() == 24
+    assert details["statistics"].first().anomaly_count == 40
+    detected = df.limit(3).withColumn("detected_at", F.current_timestamp())
+    feed = reports.anomaly_feed(df, detected)
+    assert {r.source: r.row_count for r in feed["counts"].collect()} == {
+        "labeled": 20, "detected": 3,
+    }
     full = reports.complete_analysis(make_readings(rows))
     assert {k: set(v) for k, v in full.items()} == {
         "weather": {"correlations", "temperature_ranges", "trend"},

@@ -114,8 +114,8 @@ def test_entries(spark, tmp_path):
         "building_id", "meter_reading", "timestamp,wind_speed,anomaly",
     ]
     readings, bad = str(tmp_path / "readings"), str(tmp_path / "rejected")
-    entry.append_entries(forms(spark, rows), readings, bad)
-    entry.append_entries(forms(spark, [GOOD]), readings, bad)
+    entry.store_entries(forms(spark, rows), readings, bad)
+    entry.store_entries(forms(spark, [GOOD]), readings, bad)
     assert spark.read.parquet(readings).count() == 3
     assert spark.read.parquet(bad).count() == 3
     assert spark.read.parquet(readings).first().hour == 10
@@ -123,6 +123,7 @@ def test_entries(spark, tmp_path):
 
 def test_exports_keep_zeros(spark, tmp_path):
     df = spark.createDataFrame([(1, 0.0, None)], "a int, b double, c string")
+    df = df.coalesce(1)
     files.export_csv(df, str(tmp_path / "csv"))
     text = next((tmp_path / "csv").glob("part-*.csv")).read_text()
     assert text.splitlines() == ["a,b,c", "1,0.0,"]

@@ -10,7 +10,7 @@ from meterlens.operators.aggregates import building_statistics
 from meterlens.operators.bloom import bloom_dedup
 from meterlens.operators.detectors import iqr, three_sigma
 from meterlens.operators.sessions import sliding_counts, tumbling_counts
-from meterlens.schema import READINGS, STREAM_STATS
+from meterlens.schema import ANOMALIES, READINGS, STREAM_STATS
 from meterlens.sources.events import readings as derived
 from meterlens.streaming import alerts as SA
 from meterlens.streaming import readings as SR
@@ -86,6 +86,10 @@ def test_detection_equals_batch(spark, stored, tmp_path):
         streamed = drain(SR.detect(source, stats, method), "append", tmp_path)
         flagged = {r.row_id for r in streamed.where("is_anomaly").collect()}
         assert flagged == {r.row_id for r in operator(rows).where("is_anomaly").collect()}
+    path, checkpoint = str(tmp_path / "anomalies"), str(tmp_path / "checkpoint")
+    finish(SR.append_anomalies_stream(SR.detect(source, stats, "iqr"), path, checkpoint))
+    table = spark.read.schema(ANOMALIES).parquet(path)
+    assert table.count() == len(flagged) > 0 and table.first().detection_method == "iqr"
 
 
 def put(spark, rows, schema, path):
@@ -164,5 +168,6 @@ def test_entries_of_a_stream(spark, tmp_path):
     source = SR.read_stream(spark, path, spark.read.parquet(path).schema, 1)
     good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
     finish(SR.append_entries_stream(source, good, bad, str(tmp_path / "checkpoint")))
-    assert spark.read.parquet(good).first().primary_use == "New Building"
-    assert spark.read.parquet(bad).first().errors == "meter_reading"
+    stored = spark.read.option("recursiveFileLookup", True).parquet(good)
+    assert [r.primary_use for r in stored.collect()] == ["New Building"]
+    assert [r.errors for r in spark.read.parquet(bad).collect()] == ["meter_reading"]
