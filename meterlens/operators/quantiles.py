@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Bins per factor e in magnitude: neighbouring bin edges differ by 0.0015 %.
-BINS_PER_E_FOLD = 65536
+from meterlens.storage import durable
 
+# Bins per factor e in magnitude: neighbouring edges differ by 0.1 % and by 0.000006 %.
+COARSE = 1 << 10
+FINE = 1 << 24
 
-def _bin(x: str) -> str:
-    """A coarse bin that never decreases with ``x``, whatever the data."""
-    magnitude = f"floor(log1p(least(abs({x}), 1e300D)) * {BINS_PER_E_FOLD})"
-    return f"CAST(signum({x}) * {magnitude} AS BIGINT)"
+
+def _bin(x: str, per_e_fold: int) -> str:
+    """A bin that never decreases with ``x``, whatever the data."""
+    # Never null, so that joins on it add no filter that would compute it once more.
+    magnitude = f"floor(log1p(least(abs({x}), 1e300D)) * {per_e_fold})"
+    return f"coalesce(CAST(signum({x}) * {magnitude} AS BIGINT), 0L)"
+
+
+def _holds(rank: str, start: str, size: str) -> str:
+    return f"({rank} >= {start} AND {rank} < {start} + {size})"
 
 
 def exact_quantiles(
@@ -24,48 +32,58 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles of the non-null values, one row per key.
 
-    ``percentile`` keeps every distinct value of a group in one task's memory. Here equal
-    values are counted where they lie, a histogram over bins tells which bins hold the
-    wanted ranks, and only the values of those bins are ordered. ``few_keys`` states that
-    the number of keys is fixed and small, so the list of bins may be broadcast.
+    ``percentile`` keeps every distinct value of a group in one task's memory. Here a
+    histogram over coarse bins, counted where the values lie, tells which bins hold the
+    wanted ranks. Only values in those are looked at again: counted per fine bin, and
+    ordered in the fine bins with wanted ranks. ``few_keys`` states that the number of keys
+    is fixed and small; otherwise the list of bins, two per quantile and key at most, is
+    stored, so that Spark broadcasts it only if it measures small.
     """
     x = f"CAST({value} AS DOUBLE)"
-    # The join below implies these filters; stating them here keeps both uses of the
-    # counts equal, so that Spark computes and shuffles them once.
-    filled = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, x, _bin(x)])
-    counts = (
-        df.where(filled)
-        .groupBy(*keys, F.expr(_bin(x)).alias("_bin"), F.expr(x).alias("_x"))
-        .agg(F.count("*").alias("_c"))
-    )
-    by_key = f"PARTITION BY {', '.join(keys)}"
-    histogram = counts.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_c"))
-    ranked = histogram.selectExpr(
-        *keys,
-        "_bin",
-        f"sum(_c) OVER ({by_key} ORDER BY _bin) - _c AS _start",
-        "_c AS _in_bin",
-        f"sum(_c) OVER ({by_key}) AS _n",
-    )
     low = {name: f"floor({float(q)}D * (_n - 1))" for name, q in quantiles.items()}
     high = {name: f"ceil({float(q)}D * (_n - 1))" for name, q in quantiles.items()}
-
-    def holds(rank: str, start: str, size: str) -> str:
-        return f"({rank} >= {start} AND {rank} < {start} + {size})"
-
     ranks = [*low.values(), *high.values()]
-    bins = ranked.where(" OR ".join(holds(r, "_start", "_in_bin") for r in ranks))
-    bins = bins.drop("_in_bin")
-    if few_keys:
-        bins = F.broadcast(bins)
+    wanted = " OR ".join(_holds(rank, "_start", "_c") for rank in ranks)
+
+    valued = df.where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, x])).selectExpr(
+        *keys, f"{x} AS _x", f"{_bin(x, COARSE)} AS _bin"
+    )
+    by_key = f"PARTITION BY {', '.join(keys)}"
+    coarse = (
+        valued.groupBy(*keys, "_bin")
+        .agg(F.count("*").alias("_c"))
+        .selectExpr(
+            *keys, "_bin", "_c",
+            f"sum(_c) OVER ({by_key} ORDER BY _bin) - _c AS _start",
+            f"sum(_c) OVER ({by_key}) AS _n",
+        )
+        .where(wanted)
+        .drop("_c")
+    )
+    coarse = F.broadcast(coarse) if few_keys else durable(coarse)
 
-    candidates = counts.join(bins, [*keys, "_bin"]).selectExpr(
-        *keys, "_x", "_c", "_n",
-        f"_start + sum(_c) OVER ({by_key}, _bin ORDER BY _x) - _c AS _first",
+    group = [*keys, "_bin", "_start", "_n", "_fine"]
+    counts = (
+        valued.join(coarse, [*keys, "_bin"])
+        .groupBy(*group[:-1], F.expr(_bin("_x", FINE)).alias("_fine"), "_x")
+        .agg(F.count("*").alias("_c"))
+    )
+    fine = (
+        counts.groupBy(*group)
+        .agg(F.sum("_c").alias("_c"))
+        .withColumn(
+            "_start", F.expr(f"_start + sum(_c) OVER ({by_key}, _bin ORDER BY _fine) - _c")
+        )
+        .where(wanted)
+        .select(*keys, "_bin", "_fine", F.col("_start").alias("_before"))
+    )
+    first = f"_before + sum(_c) OVER ({by_key}, _bin, _fine ORDER BY _x) - _c AS _first"
+    candidates = counts.join(fine, [*keys, "_bin", "_fine"]).selectExpr(
+        *keys, "_x", "_c", "_n", first
     )
 
     def value_at(rank: str, name: str):
-        return F.expr(f"max(CASE WHEN {holds(rank, '_first', '_c')} THEN _x END) AS {name}")
+        return F.expr(f"max(CASE WHEN {_holds(rank, '_first', '_c')} THEN _x END) AS {name}")
 
     found = candidates.groupBy(*keys).agg(
         F.max("_n").alias("_n"),
