@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from meterlens.functions.hashing import bloom_size
 from meterlens.plans import catalog as Q
 from meterlens.schema import DEFAULT_THRESHOLDS, FEATURES
@@ -204,8 +206,6 @@ def with_common(body: str, extra: str = "") -> str:
 
 
 def used(name: str, text: str) -> bool:
-    import re
-
     return re.search(rf"\b(FROM|JOIN)\s+{name}\b|,\s*{name}\s+[a-z]\b", text) is not None
 
 
