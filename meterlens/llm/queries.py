@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from meterlens.llm.bpe import encode_documents
 from meterlens.llm.common import read_table, remainder
+from meterlens.llm.digests import edited_fingerprints
 from meterlens.llm.langid import predict_languages, train_language_model
 from meterlens.llm.minhash import near_duplicates
 from meterlens.llm.mixing import mix_to_targets
+from meterlens.llm.neighbours import nearest
 from meterlens.llm.secrets import find_secrets
 from meterlens.llm.warc import derive_records, responses_of_pages
 
@@ -74,3 +76,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
     model = train_language_model(docs.where(~held), key=F.col("doc_id"))
     return predict_languages(docs.withColumn("held_out", held), model, keep=("doc_id", "held_out"))
+
+
+@query
+def op3_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
