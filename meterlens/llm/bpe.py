@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -32,7 +33,9 @@ CUT_BITS = 10
 MIN_CHUNK, MAX_CHUNK = 256, 8192
 MAX_SHARED = 1 << 18
 #: Words whose ids a task keeps; it forgets them all when there are more.
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
+#: Words encoded in one call, and bytes of text planned at a time.
+CALL_WORDS, SLICE_BYTES = 10_000, 2 << 20
 WHITE = b" \t\n\r\x0b\x0c"
 
 GEAR = np.random.default_rng(20240501).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -106,10 +109,12 @@ class WordEncoder:
         if len(self.known) > MAX_WORDS:
             self.known.clear()
         new = list(set().union(*(p.split() for p in pieces)) - self.known.keys())
-        encoded = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)
-        for word, e in zip(new, encoded):
-            self.known[word] = np.array(e.ids, np.uint32).tobytes()
+        for i in range(0, len(new), CALL_WORDS):
+            words = new[i:i + CALL_WORDS]
+            encoded = self.tokenizer.encode_batch_fast(
+                [w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)
+            for word, e in zip(words, encoded):
+                self.known[word] = np.array(e.ids, np.uint32).tobytes()
 
     def encode(self, piece: bytes) -> bytes:
         """Ids of a learned piece as 32-bit numbers."""
@@ -186,27 +191,30 @@ def encode_texts(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared, words = directory.value, encoder(path)
         for batch in batches:
-            rows = []
-            for k, n, d in zip(*(c.to_pylist() for c in batch.columns)):
-                rows.append((k, n, plan_parts(d, n, shared)))
-            words.learn([piece for _, _, (pieces, owned) in rows
-                         for piece in [*(p for p, _ in pieces), *owned.values()]])
-            out: list[tuple] = []
-            for k, n, (pieces, owned) in rows:
-                if len(pieces) <= 1 and not any(h for _, h in pieces):
-                    ids = words.encode(pieces[0][0]) if pieces else b""
-                    out.append((k, n, 0, None, None, *words.finish(ids)))
-                else:
-                    out += [(k, n, i, words.encode(p) if h is None else None, h, None, None, None)
-                            for i, (p, h) in enumerate(pieces)]
-                out += [(None, None, None, words.encode(inner), h, None, None, None)
-                        for h, inner in owned.items()]
-            columns = list(zip(*out)) if out else [[] for _ in ENCODED.split(", ")]
-            kinds = [batch.schema.types[0], pa.int64(), pa.int32(), pa.binary(), pa.binary(),
-                     pa.int64(), pa.string(), pa.string()]
-            names = [key, "number", "part", "ids", "chunk", "n_tokens", "ids_sha256", "decoded_sha256"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
+            for piece in slices(batch, 2, SLICE_BYTES):
+                yield encode_slice(piece, shared, words)
+
+    def encode_slice(batch: pa.RecordBatch, shared: dict, words: WordEncoder) -> pa.RecordBatch:
+        rows = [(k, n, plan_parts(d, n, shared))
+                for k, n, d in zip(*(c.to_pylist() for c in batch.columns))]
+        words.learn([piece for _, _, (pieces, owned) in rows
+                     for piece in [*(p for p, _ in pieces), *owned.values()]])
+        out: list[tuple] = []
+        for k, n, (pieces, owned) in rows:
+            if len(pieces) <= 1 and not any(h for _, h in pieces):
+                ids = words.encode(pieces[0][0]) if pieces else b""
+                out.append((k, n, 0, None, None, *words.finish(ids)))
+            else:
+                out += [(k, n, i, words.encode(p) if h is None else None, h, None, None, None)
+                        for i, (p, h) in enumerate(pieces)]
+            out += [(None, None, None, words.encode(inner), h, None, None, None)
+                    for h, inner in owned.items()]
+        columns = list(zip(*out)) if out else [[] for _ in ENCODED.split(", ")]
+        kinds = [batch.schema.types[0], pa.int64(), pa.int32(), pa.binary(), pa.binary(),
+                 pa.int64(), pa.string(), pa.string()]
+        names = [key, "number", "part", "ids", "chunk", "n_tokens", "ids_sha256", "decoded_sha256"]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
 
     schema = StructType(docs.select(key).schema.fields + StructType.fromDDL(ENCODED).fields)
     return numbered.mapInArrow(encode, schema)
@@ -216,6 +224,17 @@ ENCODED = ("number long, part int, ids binary, chunk binary, n_tokens long, ids_
            "decoded_sha256 string")
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts have about ``most`` bytes, one row at least."""
+    sizes = np.cumsum(pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(sizes):
+        before = sizes[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(sizes, before + most, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def plan_parts(
     data: bytes, number: int, shared: dict[bytes, int]
 ) -> tuple[list[tuple[bytes, bytes | None]], dict[bytes, bytes]]:

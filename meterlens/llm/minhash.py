@@ -8,9 +8,9 @@ bin with the chance of their similarity. Bands of bins are bucket keys.
 Texts with equal sets are one class. Within a bucket of classes no pairs are emitted:
 every class is compared with a hub, the member with the most company in all its buckets,
 by exact intersection of the full sets. Where the classes of a bucket are still in several
-components, more hubs are tried, four times as many in each round, until every bucket is one
-component or each of its members has been a hub. So edges grow with the bucket, except where
-its texts truly are not alike, and no candidate pair is given up.
+components, blocks of the bucket are compared inside tasks, and only links that join
+components come out. So no candidate is given up, rows grow with the buckets and not with
+their pairs.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,11 @@ SIMILARITY = 75
 BINS = 128
 #: 32 bands of 4 bins miss a pair of similarity 0.75 with a chance of 5e-6.
 ROWS = 4
+#: Members of a bucket in one block, and rows of a block compared at a time.
+BLOCK, CHUNK = 1024, 32
+#: Sets of ``BINS`` hashes or more agree in fewer bins than this share with a chance of about
+#: 2e-5 if they are alike.
+CLEARLY_LESS = 0.55
 
 
 def _probes(bins: int, columns: int) -> np.ndarray:
@@ -160,58 +166,124 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def star_rounds(
+def star_pairs(buckets: DataFrame) -> DataFrame:
+    """(a, b) between each member of a bucket (bucket, member, company) and its hub.
+
+    The hub is the member with most company in all its buckets, the least id of those; one
+    pair a member, however large the bucket.
+    """
+    hubs = buckets.groupBy("bucket").agg(
+        F.max(F.struct("company", (-F.col("member")).alias("minus"))).alias("top")
+    ).select("bucket", (-F.col("top.minus")).alias("hub"))
+    return buckets.join(hubs, "bucket").where("member <> hub").select(
+        F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> DataFrame:
+    """The (a, b) of ``pairs`` whose full ``sets`` (member, hashes) are alike enough."""
+    return similar(pairs.join(
+        sets.select(F.col("member").alias("a"), F.col("hashes").alias("a_set")), "a"
+    ).join(sets.select(F.col("member").alias("b"), F.col("hashes").alias("b_set")), "b"), percent)
+
+
+def block_links(
+    ids: list[np.ndarray], components: list[np.ndarray], sets: list[list[np.ndarray]],
+    band: int, percent: int = SIMILARITY,
+) -> list[tuple[int, int]]:
+    """Links that join components, between two blocks of a bucket (or within one, given once).
+
+    A pair is looked at in the first band in which its signatures agree, so in one bucket
+    only, and only while its components are apart. Signatures rule out what is far from
+    alike; the rest is decided by exact intersection.
+    """
+    same = len(ids) == 1
+    left, right = (0, 0) if same else (0, 1)
+    signatures = [np.stack([(signature(s) & U(0xFFFF)).astype(np.uint16) for s in block])
+                  for block in sets]
+    sizes = [np.array([len(s) for s in block]) for block in sets]
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    out = []
+    for start in range(0, len(ids[left]), CHUNK):
+        rows = slice(start, start + CHUNK)
+        equal = signatures[left][rows, None, :] == signatures[right][None, :, :]
+        agree = equal.sum(axis=2)
+        bands = equal.reshape(*agree.shape, -1, ROWS).all(axis=3)
+        a, b = sizes[left][rows, None], sizes[right][None, :]
+        small, large = np.minimum(a, b), np.maximum(a, b)
+        look = (bands.argmax(axis=2) == band) & bands[:, :, band] & (100 * small >= percent * large)
+        look &= (small < BINS) | (agree >= CLEARLY_LESS * BINS)
+        look &= components[left][rows, None] != components[right][None, :]
+        if same:
+            look &= np.arange(start, start + len(agree))[:, None] < np.arange(len(b[0]))[None, :]
+        i, j = np.nonzero(look)
+        for at in np.argsort(-agree[i, j], kind="stable"):
+            p, q = start + i[at], j[at]
+            x, y = find(int(components[left][p])), find(int(components[right][q]))
+            if x == y:
+                continue
+            s, t = sets[left][p], sets[right][q]
+            common = np.intersect1d(s, t, assume_unique=True).size
+            if 100 * common >= percent * (len(s) + len(t) - common):
+                parent[max(x, y)] = min(x, y)
+                out.append((int(ids[left][p]), int(ids[right][q])))
+    return out
+
+
+def remaining_links(
     buckets: DataFrame, sets: DataFrame, percent: int = SIMILARITY
-) -> DataFrame | None:
-    """Verified links (a, b) between the members of ``buckets`` (bucket, member).
+) -> DataFrame:
+    """Links (a, b) between different components inside ``buckets``.
 
-    ``sets`` has (member, hashes). Links of a bucket connect whatever is alike in it, through
-    as few comparisons as hubs allow; None if no bucket has two members.
+    ``buckets`` has (bucket, band, member, n, component). Buckets are dealt in blocks of at
+    most ``BLOCK`` members, and each pair of blocks is a group of its own, so no group grows with its
+    bucket and no pair becomes a row.
     """
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = buckets.join(sizes, "bucket")
-    company = shared.groupBy("member").agg(F.sum("n").alias("company"))
-    open_buckets = durable(shared.join(company, "member").select("bucket", "member", "n", "company"))
-    needed = durable(sets.join(company.select("member"), "member", "left_semi"))
-    links, tested = None, None
-    slots = 1
-    while True:
-        largest = open_buckets.agg(F.max("n")).first()[0]
-        if largest is None:
-            return links
-        # Each slot of a bucket has a hub: its member with most company, the least id of those.
-        last = slots >= 4 * largest
-        slot = F.col("member") if last else F.pmod(F.xxhash64("member"), F.lit(slots))
-        hubs = open_buckets.groupBy("bucket", slot.alias("slot")).agg(
-            F.max(F.struct("company", (-F.col("member")).alias("minus"))).alias("top")
-        ).select("bucket", (-F.col("top.minus")).alias("hub"))
-        pairs = open_buckets.join(hubs, "bucket")
-        if "component" in open_buckets.columns:
-            of_hub = open_buckets.select(
-                "bucket", F.col("member").alias("hub"), F.col("component").alias("hub_component"))
-            pairs = pairs.join(of_hub, ["bucket", "hub"]).where("component <> hub_component")
-        pairs = pairs.where("member <> hub").select(
-            F.least("member", "hub").alias("a"), F.greatest("member", "hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = durable(pairs)
-        with_sets = pairs.join(
-            needed.select(F.col("member").alias("a"), F.col("hashes").alias("a_set")), "a"
-        ).join(needed.select(F.col("member").alias("b"), F.col("hashes").alias("b_set")), "b")
-        found = durable(similar(with_sets, percent))
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if last:
-            return links
-        components = connected(links)
-        labelled = open_buckets.drop("component").join(
-            components, open_buckets.member == components.node, "left"
-        ).select("bucket", "member", "n", "company",
-                 F.coalesce("component", "member").alias("component"))
-        several = labelled.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-        open_buckets = durable(labelled.join(several.select("bucket"), "bucket", "left_semi"))
-        slots *= 4
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("member"), blocks).cast("int")
+    # A block meets every block: as the first of the pair or the second.
+    cells = buckets.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    ).select("bucket", "band", "member", "component", "own",
+             F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    shipped = cells.join(sets, "member")
+
+    def cell(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = [g for _, g in rows.groupby("own", sort=True)]
+        if rows["low"].iloc[0] != rows["high"].iloc[0] and len(parts) < 2:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        found = block_links(
+            [g["member"].to_numpy() for g in parts], [g["component"].to_numpy() for g in parts],
+            [[np.frombuffer(h, U) for h in g["hashes"]] for g in parts],
+            int(rows["band"].iloc[0]), percent)
+        return pd.DataFrame({"a": [min(p) for p in found], "b": [max(p) for p in found]}, dtype="int64")
+
+    return shipped.groupBy("bucket", "low", "high").applyInPandas(cell, "a long, b long")
+
+
+def bucket_links(buckets: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> DataFrame:
+    """Verified links (a, b) that connect whatever is alike in ``buckets`` (bucket, band, member, n).
+
+    Stars first; then, in buckets whose members are still in several components, what hubs
+    could not show.
+    """
+    company = buckets.groupBy("member").agg(F.sum("n").alias("company"))
+    shared = buckets.join(company, "member")
+    sets = durable(sets.join(company.select("member"), "member", "left_semi"))
+    stars = durable(verified(star_pairs(shared), sets, percent))
+    components = connected(stars)
+    labelled = buckets.join(components, buckets.member == components.node, "left").select(
+        "bucket", "band", "member", "n", F.coalesce("component", "member").alias("component"))
+    several = labelled.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rest = labelled.join(several.select("bucket"), "bucket", "left_semi")
+    return stars.unionByName(durable(remaining_links(rest, sets, percent)))
 
 
 def near_duplicates(
@@ -234,17 +306,14 @@ def near_duplicates(
     chosen = with_set.join(
         classes, (with_set.set_id == classes.set_id) & (with_set[key] == classes.member)
     ).select("member", "bands").dropDuplicates(["member", "bands"])
-    buckets = chosen.select("member", F.explode("bands").alias("bucket")).distinct()
+    buckets = chosen.select("member", F.posexplode("bands").alias("band", "bucket")).distinct()
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = durable(buckets.join(sizes.select("bucket"), "bucket", "left_semi"))
+    buckets = durable(buckets.join(sizes, "bucket"))
     in_buckets = buckets.select("member").distinct()
     texts = docs.join(in_buckets, docs[key] == in_buckets.member, "left_semi")
     sets = shingle_sets(texts, key, text, words).withColumnRenamed(key, "member")
-    links = star_rounds(buckets, sets, percent)
     edges = member.where("id <> member").select(F.col("id").alias("a"), F.col("member").alias("b"))
-    if links is not None:
-        edges = edges.unionByName(links)
-    components = connected(edges)
+    components = connected(edges.unionByName(bucket_links(buckets, sets, percent)))
     component = F.coalesce(components.component, read[key])
     return read.join(components, read[key] == components.node, "left").select(
         read[key], "n_shingles", component.alias("component_id"),
