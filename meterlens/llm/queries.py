@@ -16,6 +16,7 @@ from meterlens.llm.minhash import near_duplicates
 from meterlens.llm.mixing import mix_to_targets
 from meterlens.llm.neighbours import nearest
 from meterlens.llm.secrets import find_secrets
+from meterlens.llm.suffixes import remove_repeats
 from meterlens.llm.warc import derive_records, responses_of_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +87,8 @@ def op3_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
