@@ -15,6 +15,7 @@ from meterlens.llm.langid import predict_languages, train_language_model
 from meterlens.llm.minhash import near_duplicates
 from meterlens.llm.mixing import mix_to_targets
 from meterlens.llm.neighbours import nearest
+from meterlens.llm.pitman_yor import score_texts
 from meterlens.llm.secrets import find_secrets
 from meterlens.llm.suffixes import remove_repeats
 from meterlens.llm.warc import derive_records, responses_of_pages
@@ -92,3 +93,9 @@ def op4_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False))
+    return score_texts(read_table(spark, sf_dir, "documents"), held)
