@@ -17,6 +17,7 @@ of borrowed chunks.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,11 +33,10 @@ from meterlens.storage import durable
 CUT_BITS = 10
 MIN_CHUNK, MAX_CHUNK = 256, 8192
 MAX_SHARED = 1 << 18
-#: Words whose ids a task keeps; it forgets them all when there are more.
-MAX_WORDS = 200_000
-#: Words encoded in one call, and bytes of text planned at a time.
-CALL_WORDS, SLICE_BYTES = 10_000, 2 << 20
+#: Bytes of text encoded in one call, and planned at a time.
+CALL_BYTES, SLICE_BYTES = 1 << 17, 2 << 20
 WHITE = b" \t\n\r\x0b\x0c"
+SPACE = re.compile(b"[" + WHITE + b"]")
 
 GEAR = np.random.default_rng(20240501).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -93,8 +93,20 @@ def digest(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
 
-class WordEncoder:
-    """Ids of white-space separated words by the tokenizer, remembering recent words."""
+def parts_at_spaces(piece: bytes, most: int = CALL_BYTES) -> Iterator[bytes]:
+    """The piece cut before white space, in parts of little more than ``most`` bytes."""
+    start = 0
+    while len(piece) - start > most:
+        found = SPACE.search(piece, start + most)
+        if found is None:
+            break
+        yield piece[start:found.start()]
+        start = found.start()
+    yield piece[start:]
+
+
+class PieceEncoder:
+    """Ids of pieces of text that begin and end at white space or at an end of the text."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -102,39 +114,54 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
-
-    def learn(self, pieces: list[bytes]) -> None:
-        """Encode the words of ``pieces`` that are not known yet, in one call."""
-        if len(self.known) > MAX_WORDS:
-            self.known.clear()
-        new = list(set().union(*(p.split() for p in pieces)) - self.known.keys())
-        for i in range(0, len(new), CALL_WORDS):
-            words = new[i:i + CALL_WORDS]
-            encoded = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "surrogatepass") for w in words], add_special_tokens=False)
-            for word, e in zip(words, encoded):
-                self.known[word] = np.array(e.ids, np.uint32).tobytes()
-
-    def encode(self, piece: bytes) -> bytes:
-        """Ids of a learned piece as 32-bit numbers."""
-        return b"".join(map(self.known.__getitem__, piece.split()))
+        size = self.tokenizer.get_vocab_size()
+        self.digits = list(map(str, range(size)))
+        self.strings = list(map(self.tokenizer.id_to_token, range(size)))
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece as 32-bit numbers; about ``CALL_BYTES`` go into one call."""
+        ids: list[list[bytes]] = [[] for _ in pieces]
+        call: list[tuple[int, bytes]] = []
+        size = 0
+
+        def flush() -> None:
+            texts = [part.decode("utf-8", "surrogatepass") for _, part in call]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for (i, _), one in zip(call, found):
+                ids[i].append(np.array(one.ids, np.uint32).tobytes())
+            call.clear()
+
+        for i, piece in enumerate(pieces):
+            for part in parts_at_spaces(piece):
+                call.append((i, part))
+                size += len(part)
+                if size >= CALL_BYTES:
+                    flush()
+                    size = 0
+        flush()
+        return [b"".join(x) for x in ids]
+
+    def decode(self, numbers: list[int]) -> str:
+        """As the tokenizer decodes; without a decoder it joins tokens by blanks."""
+        if self.tokenizer.decoder is None:
+            return " ".join(map(self.strings.__getitem__, numbers))
+        return self.tokenizer.decode(numbers, skip_special_tokens=False)
 
     def finish(self, ids: bytes) -> tuple[int, str, str]:
         """(number of ids, digest of the ids, digest of the decoded text)."""
         numbers = np.frombuffer(ids, np.uint32).tolist()
-        text = self.tokenizer.decode(numbers, skip_special_tokens=False)
-        return (len(numbers), hashlib.sha256(" ".join(map(str, numbers)).encode()).hexdigest(),
-                hashlib.sha256(text.encode()).hexdigest())
+        shown = " ".join(map(self.digits.__getitem__, numbers))
+        return (len(numbers), hashlib.sha256(shown.encode()).hexdigest(),
+                hashlib.sha256(self.decode(numbers).encode()).hexdigest())
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[str, PieceEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for a tokenizer file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
 
 
@@ -189,26 +216,25 @@ def encode_texts(
         shared_chunks(numbered, "_number", "_data", max_shared))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared, words = directory.value, encoder(path)
+        shared, codec = directory.value, encoder(path)
         for batch in batches:
             for piece in slices(batch, 2, SLICE_BYTES):
-                yield encode_slice(piece, shared, words)
+                yield encode_slice(piece, shared, codec)
 
-    def encode_slice(batch: pa.RecordBatch, shared: dict, words: WordEncoder) -> pa.RecordBatch:
+    def encode_slice(batch: pa.RecordBatch, shared: dict, codec: PieceEncoder) -> pa.RecordBatch:
         rows = [(k, n, plan_parts(d, n, shared))
                 for k, n, d in zip(*(c.to_pylist() for c in batch.columns))]
-        words.learn([piece for _, _, (pieces, owned) in rows
-                     for piece in [*(p for p, _ in pieces), *owned.values()]])
+        found = iter(codec.encode([piece for _, _, (pieces, owned) in rows for piece in
+                                   [*(p for p, h in pieces if h is None), *owned.values()]]))
         out: list[tuple] = []
         for k, n, (pieces, owned) in rows:
             if len(pieces) <= 1 and not any(h for _, h in pieces):
-                ids = words.encode(pieces[0][0]) if pieces else b""
-                out.append((k, n, 0, None, None, *words.finish(ids)))
+                ids = next(found) if pieces else b""
+                out.append((k, n, 0, None, None, *codec.finish(ids)))
             else:
-                out += [(k, n, i, words.encode(p) if h is None else None, h, None, None, None)
-                        for i, (p, h) in enumerate(pieces)]
-            out += [(None, None, None, words.encode(inner), h, None, None, None)
-                    for h, inner in owned.items()]
+                out += [(k, n, i, next(found) if h is None else None, h, None, None, None)
+                        for i, (_, h) in enumerate(pieces)]
+            out += [(None, None, None, next(found), h, None, None, None) for h in owned]
         columns = list(zip(*out)) if out else [[] for _ in ENCODED.split(", ")]
         kinds = [batch.schema.types[0], pa.int64(), pa.int32(), pa.binary(), pa.binary(),
                  pa.int64(), pa.string(), pa.string()]
@@ -289,9 +315,9 @@ def encode_documents(
     ).select("number", key, F.col("p.ids").alias("ids"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
+        codec = encoder(path)
         for batch in batches:
-            done = [words.finish(b"".join(p)) for p in batch.column(2).to_pylist()]
+            done = [codec.finish(b"".join(p)) for p in batch.column(2).to_pylist()]
             counts, ids, texts = zip(*done) if done else ([], [], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
