@@ -30,7 +30,7 @@ def exact_quantiles(
     quantiles: dict[str, float],
     few_keys: bool = False,
 ) -> DataFrame:
-    """Linearly interpolated quantiles of the non-null values, one row per key.
+    """Linearly interpolated quantiles of the values that are not null or NaN, one row per key.
 
     ``percentile`` keeps every distinct value of a group in one task's memory. Here a
     histogram over coarse bins, counted where the values lie, tells which bins hold the
@@ -45,7 +45,8 @@ def exact_quantiles(
     ranks = [*low.values(), *high.values()]
     wanted = " OR ".join(_holds(rank, "_start", "_c") for rank in ranks)
 
-    valued = df.where(" AND ".join(f"{c} IS NOT NULL" for c in [*keys, x])).selectExpr(
+    present = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, x])
+    valued = df.where(f"{present} AND NOT isnan({x})").selectExpr(
         *keys, f"{x} AS _x", f"{_bin(x, COARSE)} AS _bin"
     )
     by_key = f"PARTITION BY {', '.join(keys)}"

@@ -40,3 +40,8 @@ def test_two_keys_and_integers(spark):
     for r in exact_quantiles(df, ["a", "b"], "v", {"q": 0.3}).collect():
         values = [v for a, b, v in rows if (a, b) == (r.a, r.b)]
         assert r.q == pytest.approx(np.percentile(values, 30))
+
+
+def test_nan_is_left_out(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, float("nan")), (1, 3.0)], "k int, v double")
+    assert exact_quantiles(df, ["k"], "v", {"p50": 0.5}).first()["p50"] == 2.0
