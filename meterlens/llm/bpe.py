@@ -11,7 +11,8 @@ document's own text, so the ids agree exactly with those of the whole text.
 Which chunks are shared is decided by digests. The directory of shared chunks sent to the
 executors has at most ``MAX_SHARED`` entries, those with the most copies; a chunk outside it is
 encoded where it stands. That bounds memory and changes no result. Texts move only as the ids
-of borrowed chunks.
+of their parts, once. A chunk with many copies lends its ids in several lanes, so that no task
+joins all its borrowers.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from meterlens.storage import durable
 CUT_BITS = 10
 MIN_CHUNK, MAX_CHUNK = 256, 8192
 MAX_SHARED = 1 << 18
+#: Copies of a chunk that borrow from one lane.
+LANE_COPIES = 128
 #: Bytes of text encoded in one call, and planned at a time.
 CALL_BYTES, SLICE_BYTES = 1 << 17, 2 << 20
 WHITE = b" \t\n\r\x0b\x0c"
@@ -165,8 +168,10 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def shared_chunks(docs: DataFrame, number: str, data: str, max_shared: int) -> dict[bytes, int]:
-    """Digest of each shared chunk and the least ``number`` of a row that holds it.
+def shared_chunks(
+    docs: DataFrame, number: str, data: str, max_shared: int
+) -> dict[bytes, tuple[int, int]]:
+    """Digest of each shared chunk: the least ``number`` of a row that holds it, and its lanes.
 
     At most ``max_shared`` entries: those with at least so many copies that they fit.
     """
@@ -194,19 +199,20 @@ def shared_chunks(docs: DataFrame, number: str, data: str, max_shared: int) -> d
         if total > max_shared:
             break
         least = row["copies"]
-    rows = counted.where(F.col("copies") >= least).select("chunk", "owner").collect()
-    return {bytes(row["chunk"]): row["owner"] for row in rows}
+    rows = counted.where(F.col("copies") >= least).collect()
+    return {bytes(row["chunk"]): (row["owner"], -(-row["copies"] // LANE_COPIES)) for row in rows}
 
 
 def encode_texts(
     docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
     max_shared: int = MAX_SHARED,
 ) -> DataFrame:
-    """One row per row of ``docs``: (key, number, part, ids, borrowed).
+    """Rows of three kinds: whole texts, parts of texts, and chunks that others borrow.
 
-    The ids of a text are its parts' ids in order of ``part``, as 32-bit numbers; ``borrowed``
-    is the digest of a chunk whose ids stand in the part's place, to be resolved by
-    :func:`resolve`. ``number`` identifies the row.
+    The ids of a text are its parts' ids in order of ``part``, as 32-bit numbers; a part with a
+    ``chunk`` has the ids of that chunk, from lane ``lane``. A row without a part lends a
+    chunk's ids in ``lane`` lanes. ``number`` and the key identify the text. A text of one part
+    is finished at once.
     """
     spark = docs.sparkSession
     data = F.coalesce(F.encode(text, "UTF-8"), F.lit(b""))
@@ -230,15 +236,18 @@ def encode_texts(
         for k, n, (pieces, owned) in rows:
             if len(pieces) <= 1 and not any(h for _, h in pieces):
                 ids = next(found) if pieces else b""
-                out.append((k, n, 0, None, None, *codec.finish(ids)))
+                out.append((k, n, 0, None, None, None, *codec.finish(ids)))
             else:
-                out += [(k, n, i, next(found) if h is None else None, h, None, None, None)
+                out += [(k, n, i, next(found), None, None, None, None, None) if h is None else
+                        (k, n, i, None, h, (n + i) % shared[h][1], None, None, None)
                         for i, (_, h) in enumerate(pieces)]
-            out += [(None, None, None, next(found), h, None, None, None) for h in owned]
+            out += [(None, None, None, next(found), h, shared[h][1], None, None, None)
+                    for h in owned]
         columns = list(zip(*out)) if out else [[] for _ in ENCODED.split(", ")]
         kinds = [batch.schema.types[0], pa.int64(), pa.int32(), pa.binary(), pa.binary(),
-                 pa.int64(), pa.string(), pa.string()]
-        names = [key, "number", "part", "ids", "chunk", "n_tokens", "ids_sha256", "decoded_sha256"]
+                 pa.int64(), pa.int64(), pa.string(), pa.string()]
+        names = [key, "number", "part", "ids", "chunk", "lane", "n_tokens", "ids_sha256",
+                 "decoded_sha256"]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
 
@@ -246,8 +255,8 @@ def encode_texts(
     return numbered.mapInArrow(encode, schema)
 
 
-ENCODED = ("number long, part int, ids binary, chunk binary, n_tokens long, ids_sha256 string, "
-           "decoded_sha256 string")
+ENCODED = ("number long, part int, ids binary, chunk binary, lane long, n_tokens long, "
+           "ids_sha256 string, decoded_sha256 string")
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
@@ -262,7 +271,7 @@ def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordB
 
 
 def plan_parts(
-    data: bytes, number: int, shared: dict[bytes, int]
+    data: bytes, number: int, shared: dict[bytes, tuple[int, int]]
 ) -> tuple[list[tuple[bytes, bytes | None]], dict[bytes, bytes]]:
     """(parts in order, chunks to encode for others) of one text.
 
@@ -277,7 +286,7 @@ def plan_parts(
         h = digest(chunk)
         inner = inner_range(chunk) if h in shared else None
         if inner is not None:
-            if shared[h] == number:
+            if shared[h][0] == number:
                 owned[h] = chunk[inner[0]:inner[1]]
             else:
                 if last + inner[0] > done:
@@ -303,16 +312,22 @@ def encode_documents(
     encoded = durable(encode_texts(docs, path, text, key, max_shared))
     whole = encoded.where("n_tokens is not null").select(
         key, "n_tokens", "ids_sha256", "decoded_sha256")
-    owned = encoded.where("part is null").select("chunk", F.col("ids").alias("lent")).dropDuplicates(["chunk"])
+    lent = encoded.where("part is null").select(
+        "chunk", F.explode(F.sequence(F.lit(0), F.col("lane") - 1)).alias("lane"),
+        F.col("ids").alias("lent")).dropDuplicates(["chunk", "lane"])
     parts = encoded.where("part is not null and n_tokens is null")
-    # Rows equal in key and text repeat every part as often as the first.
-    copies = parts.where("part = 0").groupBy("number").agg(F.count("*").alias("copies"))
-    parts = parts.dropDuplicates(["number", "part"])
-    filled = parts.join(owned, "chunk", "left").select(
-        key, "number", "part", F.coalesce("ids", "lent").alias("ids"))
-    joined = filled.groupBy("number").agg(
-        F.first(key).alias(key), F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("p")
-    ).select("number", key, F.col("p.ids").alias("ids"))
+    borrowed = parts.where("chunk is not null").drop("ids").join(lent, ["chunk", "lane"])
+    columns = [key, "number", "part"]
+    filled = parts.where("chunk is null").select(*columns, "ids").unionByName(
+        borrowed.select(*columns, F.col("lent").alias("ids")))
+    # Rows equal in key and text repeat every part as often as the first. Both groupings need
+    # the rows of a number together: one shuffle serves them.
+    once = filled.repartition("number").groupBy(*columns).agg(
+        F.first("ids").alias("ids"), F.count("*").alias("copies"))
+    joined = once.groupBy(key, "number").agg(
+        F.max("copies").alias("copies"),
+        F.array_sort(F.collect_list(F.struct("part", "ids"))).alias("p")
+    ).select("copies", key, F.col("p.ids").alias("ids"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(path)
@@ -322,12 +337,12 @@ def encode_documents(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
                  pa.array(ids, pa.string()), pa.array(texts, pa.string())],
-                names=["number", key, "n_tokens", "ids_sha256", "decoded_sha256"])
+                names=["copies", key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    schema = StructType(joined.select("number", key).schema.fields + StructType.fromDDL(
+    schema = StructType(joined.select("copies", key).schema.fields + StructType.fromDDL(
         "n_tokens long, ids_sha256 string, decoded_sha256 string").fields)
     assembled = joined.mapInArrow(finish, schema)
-    repeated = assembled.join(copies, "number").withColumn(
+    repeated = assembled.withColumn(
         "_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     out = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
     return whole.select(*out).unionByName(repeated.select(*out))
