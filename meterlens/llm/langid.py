@@ -123,18 +123,25 @@ def document_frequencies(
 
 
 def bounded_sample(
-    train: DataFrame, text: str, label: str, key: Column, languages: int, max_rows: int
+    train: DataFrame, text: str, label: str, key: Column, sizes: dict[str, int], max_rows: int
 ) -> DataFrame:
     """At most ``max_rows`` rows, the same number per label, in the order of a key's hash.
 
-    Ranks at most that number are kept in every task before a shuffle of keys; the order holds no
-    text, so only the chosen rows' texts move.
+    ``sizes`` are the labels' numbers of rows. Hashes are spread evenly, so the least part of
+    them that holds twice the wanted rows is all that is ranked: what moves depends on
+    ``max_rows``, not on the table.
     """
-    per_label = max(1, max_rows // max(1, languages))
+    per_label = max(1, max_rows // max(1, len(sizes)))
     order = F.xxhash64(key, F.length(text), F.lit(17))
     ranked = train.select(text, label, order.alias("_order"))
+    low = F.lit(None).cast("long")
+    for name, n in sizes.items():
+        share = 2 * per_label / n
+        bound = (1 << 63) - 1 if share >= 1 else int(share * 2.0 ** 64) - (1 << 63)
+        low = F.when(F.col(label) == name, F.lit(bound)).otherwise(low)
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_order"))
-    return ranked.withColumn("_rank", rank).where(F.col("_rank") <= per_label)
+    return ranked.where(F.col("_order") <= low).withColumn("_rank", rank).where(
+        F.col("_rank") <= per_label)
 
 
 def fit_ftrl(
@@ -211,8 +218,8 @@ def train_language_model(
     counted, rows = document_frequencies(train, "_text", orders, bits)
     idf = np.log((1 + rows) / (1 + counted)) + 1
     # Distinct labels, checked against the bound.
-    languages = sorted(
-        row[0] for row in train.select("_label").distinct().limit(max_rows + 1).collect())
+    sizes = dict(train.groupBy("_label").count().limit(max_rows + 1).collect())
+    languages = sorted(sizes)
     if len(languages) > max_rows:
         raise ValueError(f"more than {max_rows} languages")
     if not languages:
@@ -229,7 +236,7 @@ def train_language_model(
                 "counts": pa.array([c.astype(np.int32).tobytes() for _, c in found], pa.binary()),
             })
 
-    sample = bounded_sample(train, "_text", "_label", F.col("_key"), len(languages), max_rows)
+    sample = bounded_sample(train, "_text", "_label", F.col("_key"), sizes, max_rows)
     chosen = sorted(
         sample.select("_text", "_label", "_order").mapInArrow(
             features, "label string, order long, found binary, counts binary").collect(),
