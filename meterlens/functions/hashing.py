@@ -17,16 +17,18 @@ def bloom_size(capacity: int, error_rate: float) -> tuple[int, int]:
 def bloom_position(item: str, number: str | int, bits: int) -> Column:
     """The bit of column ``item`` under hash ``number``, a column or a constant.
 
-    It is the 128-bit MD5 of "item_number" modulo ``bits`` (below 2**31). The 32 hex
-    digits are taken as 2, 15 and 15: the largest pieces a long holds.
+    It is the 128-bit MD5 of "item_number" modulo ``bits`` (below 2**47). The 32 hex
+    digits are taken as 2, 15 and 15, the largest pieces a long holds; from 2**31 bits on as
+    eight times 4, so that a remainder times the step still fits.
     """
-    if bits >= 1 << 31:
-        raise ValueError("a filter must have fewer than 2**31 bits")
+    if bits >= 1 << 47:
+        raise ValueError("a filter must have fewer than 2**47 bits")
+    first, width = (2, 15) if bits < 1 << 31 else (4, 4)
     digest = f"md5(concat_ws('_', {item}, CAST({number} AS STRING)))"
-    step = (1 << 60) % bits
-    rest = f"CAST(conv(substring({digest}, 1, 2), 16, 10) AS BIGINT)"
-    for start in (3, 18):
-        piece = f"CAST(conv(substring({digest}, {start}, 15), 16, 10) AS BIGINT)"
+    step = (1 << 4 * width) % bits
+    rest = f"CAST(conv(substring({digest}, 1, {first}), 16, 10) AS BIGINT)"
+    for start in range(1 + first, 33, width):
+        piece = f"CAST(conv(substring({digest}, {start}, {width}), 16, 10) AS BIGINT)"
         rest = f"({rest} * {step} + {piece} % {bits}) % {bits}"
     return F.expr(rest)
 

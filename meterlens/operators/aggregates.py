@@ -155,8 +155,10 @@ def complete_weather(readings: DataFrame, wind: bool = True) -> DataFrame:
     return readings.na.drop(subset=subset)
 
 
-def weather_correlation(readings: DataFrame, wind: bool = True) -> DataFrame:
-    """One row of correlations with the reading, none below 100 usable rows.
+def weather_correlation(
+    readings: DataFrame, wind: bool = True, min_rows: int = MIN_WEATHER_ROWS
+) -> DataFrame:
+    """One row of correlations with the reading, none below ``min_rows`` usable rows.
 
     ``wind=False`` is the dashboard form: wind may be missing, and a correlation that does
     not exist is 0.
@@ -170,17 +172,22 @@ def weather_correlation(readings: DataFrame, wind: bool = True) -> DataFrame:
         value = guarded_corr(reading, F.col(source))
         outputs.append((value if wind else F.coalesce(value, F.lit(0.0))).alias(name))
     result = complete_weather(readings, wind).agg(F.count("*").alias("sample_size"), *outputs)
-    return result.where(F.col("sample_size") >= MIN_WEATHER_ROWS)
+    return result.where(F.col("sample_size") >= min_rows)
 
 
-def temperature_ranges(readings: DataFrame, wind: bool = True) -> DataFrame:
-    """Mean, sample std and count of readings in five equal-width temperature bins."""
+def temperature_ranges(
+    readings: DataFrame, wind: bool = True, min_rows: int = MIN_WEATHER_ROWS
+) -> DataFrame:
+    """Mean, sample std and count of readings in five equal-width temperature bins.
+
+    No rows below ``min_rows`` complete readings; 0 is no guard.
+    """
     usable = complete_weather(readings, wind).select("meter_reading", "air_temperature")
     bounds = usable.agg(
         F.min("air_temperature").alias("_lo"),
         F.max("air_temperature").alias("_hi"),
         F.count("*").alias("_n"),
-    ).where(F.col("_n") >= MIN_WEATHER_ROWS)
+    ).where(F.col("_n") >= min_rows)
     number = equal_width_bin(F.col("air_temperature"), F.col("_lo"), F.col("_hi"))
     return (
         usable.crossJoin(F.broadcast(bounds))

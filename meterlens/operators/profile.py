@@ -6,17 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from meterlens.operators.filters import columns_of_kind
 from meterlens.operators.quantiles import exact_quantiles
 
-# A value list is shown below this many distinct values, with this many
-# values, for the first so many text columns, when there are fewer than so many.
+# Fixed value: a column's values are listed below this many distinct ones.
 LISTED_BELOW = 20
-LISTED_VALUES = 10
-PROFILED_COLUMNS = 5
-MAX_TEXT_COLUMNS = 10
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -69,14 +64,12 @@ def numeric_describe(df: DataFrame) -> DataFrame:
     return moments.join(F.broadcast(quartiles), "column_name", "left")
 
 
-def categorical_profile(df: DataFrame) -> DataFrame:
-    """Distinct values of text columns; short lists are shown.
+def categorical_profile(df: DataFrame, listed_below: int = LISTED_BELOW) -> DataFrame:
+    """Distinct values of every text column; all of them are listed when fewer than ``listed_below``.
 
-    Tables with ten or more text columns give no rows, as in the profile they mirror.
-    Values are de-duplicated in a shuffle and only ten per column are ever gathered.
+    Values are de-duplicated in a shuffle, and only those of short lists are gathered.
     """
-    texts = columns_of_kind(df, "string")
-    columns = texts[:PROFILED_COLUMNS] if len(texts) < MAX_TEXT_COLUMNS else []
+    columns = columns_of_kind(df, "string")
     if not columns:
         empty = "column_name string, distinct_values bigint, listed array<string>"
         return df.sparkSession.createDataFrame([], empty)
@@ -88,18 +81,15 @@ def categorical_profile(df: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("_c"))
     )
     sizes = distinct.groupBy("column_name").agg(F.count("*").alias("distinct_values"))
-    first = Window.partitionBy("column_name").orderBy("value")
+    # One row per text column.
+    short = F.broadcast(sizes.where(F.col("distinct_values") < listed_below))
     listed = (
-        distinct.select("column_name", "value", F.row_number().over(first).alias("_rn"))
-        .where(F.col("_rn") <= LISTED_VALUES)
+        distinct.join(short, "column_name", "left_semi")
         .groupBy("column_name")
-        .agg(F.array_sort(F.collect_list("value")).alias("_values"))
-    )
-    return sizes.join(F.broadcast(listed), "column_name").select(
-        "column_name",
-        "distinct_values",
-        F.when(F.col("distinct_values") < LISTED_BELOW, F.col("_values")).alias("listed"),
+        .agg(F.array_sort(F.collect_list("value")).alias("listed"))
     )
+    return sizes.join(F.broadcast(listed), "column_name", "left").select(
+        "column_name", "distinct_values", "listed")
 
 
 def label_distribution(df: DataFrame) -> DataFrame:

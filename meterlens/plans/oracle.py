@@ -266,7 +266,7 @@ def side(column: str) -> str:
 def listed(table: str, column: str) -> str:
     return f"""SELECT '{column}' AS column_name, count(DISTINCT {column}) AS distinct_values,
   coalesce(CASE WHEN count(DISTINCT {column}) < 20 THEN array_to_string(
-    list_slice(list_sort(list(DISTINCT {column})), 1, 10), '|') END, '') AS listed
+    list_sort(list(DISTINCT {column})), '|') END, '') AS listed
 FROM {table}"""
 
 

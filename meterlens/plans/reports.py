@@ -152,9 +152,9 @@ def insights(readings: DataFrame) -> DataFrame:
 
 
 def complete_analysis(
-    readings: DataFrame, sample_size: int | None = None
+    readings: DataFrame, sample_size: int | None = None, min_rows: int = MIN_ROWS
 ) -> dict[str, dict[str, DataFrame]]:
-    """All reports over the non-null readings, or a sample; nothing below 100 rows.
+    """All reports over the non-null readings, or a sample; nothing below ``min_rows`` rows.
 
     A sample is stored once. The full table is not cached: every report scans only the few
     columns it needs, which costs less than keeping all of them.
@@ -162,7 +162,7 @@ def complete_analysis(
     rows = project_readings(readings)
     if sample_size is not None:
         rows = durable(project_readings(sample_readings(readings, sample_size)))
-    if rows.limit(MIN_ROWS).count() < MIN_ROWS:
+    if rows.limit(min_rows).count() < min_rows:
         return {}
     return {
         "weather": weather_report(rows),

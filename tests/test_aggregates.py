@@ -24,6 +24,8 @@ def test_weather_needs_100_rows(make_readings):
 
     assert A.weather_correlation(rows(99)).count() == 0
     assert A.temperature_ranges(rows(99)).count() == 0
+    assert A.weather_correlation(rows(99), min_rows=0).first().sample_size == 99
+    assert A.temperature_ranges(rows(99), min_rows=0).count() == 5
     row = A.weather_correlation(rows(100)).first()
     x = np.arange(100.0)
     assert row.temperature == pytest.approx(np.corrcoef(x, x * x % 17)[0, 1])
@@ -119,7 +121,11 @@ def test_profile(spark):
     assert found == {"0": pytest.approx(100 / 3), "1": pytest.approx(100 / 3)}
     assert R.label_distribution(df.select("n")).count() == 0
     many = df.select(*[F.lit("x").alias(f"c{i}") for i in range(10)])
-    assert R.categorical_profile(many).count() == 0
+    assert sorted(R.categorical_profile(many).collect()) == sorted(
+        (f"c{i}", 1, ["x"]) for i in range(10))
+    fifteen = spark.range(15).select(F.format_string("v%02d", "id").alias("t"))
+    assert len(R.categorical_profile(fifteen).first().listed) == 15
+    assert R.categorical_profile(fifteen, listed_below=15).first().listed is None
 
 
 def test_explanations(spark, make_readings):

@@ -88,7 +88,7 @@ def test_bloom_sizes():
 def test_bloom_positions_are_the_full_digest(spark):
     items = [f"{i}_{i * 7.25:.2f}" for i in range(300)]
     df = spark.createDataFrame([(t,) for t in items], "t string")
-    for bits in (9585, 2**31 - 1):
+    for bits in (9585, 2**31 - 1, 2**31, 2**40 + 7):
         got = df.select("t", bloom_position("t", 4, bits).alias("p")).collect()
         for row in got:
             digest = hashlib.md5(f"{row.t}_4".encode()).hexdigest()
