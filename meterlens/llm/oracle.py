@@ -3,3 +3,75 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+#: Lower-cases A-Z only, unlike ``lower``.
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+# CRC-32 of each distinct word: bytes from the hexadecimal form of its UTF-8, the table from its rule.
+ORACLES["op12_importance_resampling"] = rf"""
+WITH words AS (
+    SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text,
+           coalesce(regexp_extract_all({LOWERED}, '{TERM}'), []) AS ws FROM documents
+    UNION ALL
+    SELECT 'b', row_number() OVER (), item_id, text,
+           coalesce(regexp_extract_all({LOWERED}, '{TERM}'), []) FROM benchmark),
+entries AS (
+    SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256))::BIGINT AS i)),
+tokens AS (SELECT side, r, unnest(ws) AS w FROM words),
+hashed AS (
+    SELECT w, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(strlen(w)),
+        lambda k: (16 * (instr('0123456789ABCDEF', substr(hex(encode(w)), 2 * k::INT + 1, 1)) - 1)
+            + instr('0123456789ABCDEF', substr(hex(encode(w)), 2 * k::INT + 2, 1)) - 1)::BIGINT)),
+        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT w FROM tokens), entries),
+placed AS (SELECT side, r, bucket FROM tokens JOIN hashed USING (w)),
+counts AS (
+    SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+    FROM placed GROUP BY bucket),
+totals AS (SELECT sum(s)::BIGINT AS all_s, sum(t)::BIGINT AS all_t FROM counts),
+gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1) * (all_s + 10000))::DOUBLE
+                                   / ((s + 1) * (all_t + 10000))::DOUBLE))::BIGINT AS gain
+    FROM counts, totals),
+weights AS (
+    SELECT r, sum(gain)::BIGINT AS weight FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY r),
+scored AS (
+    SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((
+               ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+               / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (r) WHERE side = 'd')
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+             count(*) FILTER (n_features >= 20) OVER () AS eligible FROM scored)
+"""
+
+ORACLES["op13_ranked_search"] = rf"""
+WITH terms AS (
+    SELECT doc_id, regexp_extract_all({LOWERED}, '{TERM}') AS ws FROM documents WHERE text IS NOT NULL),
+lengths AS (SELECT doc_id, len(ws)::BIGINT AS n FROM terms WHERE len(ws) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS all_terms FROM lengths),
+postings AS (
+    SELECT doc_id, w, count(*)::BIGINT AS tf
+    FROM (SELECT doc_id, unnest(ws) AS w FROM terms) GROUP BY doc_id, w),
+held AS (SELECT w, count(*)::BIGINT AS df FROM postings GROUP BY w),
+weights AS (
+    SELECT w, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+    FROM held, totals),
+item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWERED}, '{TERM}')) AS w
+    FROM benchmark WHERE text IS NOT NULL),
+scores AS (
+    SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (
+        1000 * tf + 20 * (50 + (50 * n * docs) // all_terms))))::BIGINT AS score
+    FROM item_terms JOIN weights USING (w) JOIN postings USING (w) JOIN lengths USING (doc_id), totals
+    GROUP BY item_id, doc_id),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank
+    FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""

@@ -16,7 +16,10 @@ from meterlens.llm.minhash import near_duplicates
 from meterlens.llm.mixing import mix_to_targets
 from meterlens.llm.neighbours import nearest
 from meterlens.llm.pitman_yor import score_texts
+from meterlens.llm.ranking import rank_documents
+from meterlens.llm.resampling import resample
 from meterlens.llm.secrets import find_secrets
+from meterlens.llm.simhash import simhash_groups
 from meterlens.llm.suffixes import remove_repeats
 from meterlens.llm.warc import derive_records, responses_of_pages
 
@@ -99,3 +102,18 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False))
     return score_texts(read_table(spark, sf_dir, "documents"), held)
+
+
+@query
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

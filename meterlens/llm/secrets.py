@@ -1,6 +1,6 @@
 """Secret scan: fixed patterns, and a randomness test battery over token-like runs.
 
-Runs of 16 or more characters from ``[A-Za-z0-9+/_=-]`` are candidates if an encoding can be
+Runs of 16 or more characters from ``[A-Za-z0-9+/_-]`` with their padding are candidates if an encoding can be
 inferred (hex, base 32, base 64 or its URL form: digits and letters of the needed kinds).
 Over the digit values of its encoding each candidate gets
 
@@ -39,7 +39,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "random")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: An equals sign is padding at the end of a run and separates runs elsewhere.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
 HEX_DIGITS = "0123456789abcdef"
 BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
