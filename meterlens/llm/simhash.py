@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -112,62 +111,83 @@ def posting_lists(prints: DataFrame, long: int = LONG) -> DataFrame:
     return triples.where(F.col("n") <= long).unionByName(sized(fine))
 
 
-def pairs_in_blocks(left: np.ndarray, right: np.ndarray | None, bits: int = BITS) -> list[tuple[int, int]]:
-    """Links that join what is apart, between two blocks or, with None, within one.
+def linked_rows(prints: np.ndarray, group: np.ndarray, own: np.ndarray, across: np.ndarray,
+                bits: int = BITS) -> list[tuple[int, int]]:
+    """Links between rows of equal ``group`` (ascending) that join what is apart.
 
-    Tallies the positional bytes each pair shares and counts bits where they reach the minimum.
+    Every pair of a group has the positional bytes it shares tallied; where they reach the minimum
+    its bits are counted. In a group that stands for two different blocks (``across``) only pairs between
+    the blocks count. Pairs are looked at by distance in the group, all groups at once.
     """
-    same = right is None
-    right = left if same else right
-    a, b = left.view(np.uint8).reshape(-1, 8), right.view(np.uint8).reshape(-1, 8)
-    parent: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while parent.get(x, x) != x:
-            parent[x] = parent.get(parent[x], parent[x])
-            x = parent[x]
-        return x
-
-    out = []
-    step = max(1, (1 << 20) // max(1, len(b)))
-    for start in range(0, len(a), step):
-        rows = a[start:start + step]
-        tally = np.zeros((len(rows), len(b)), np.uint8)
-        for position in range(8):
-            tally += rows[:, position, None] == b[None, :, position]
-        i, j = np.nonzero(tally >= 8 - bits)
-        if same:
-            i, j = i[i + start < j], j[i + start < j]
-        close = ONES[rows[i] ^ b[j]].sum(axis=1) <= bits
-        for x, y in zip(left[start + i[close]].tolist(), right[j[close]].tolist()):
-            p, q = find(x), find(y)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-                out.append((x, y))
-    return out
+    n, parent, out = len(prints), np.arange(len(prints)), []
+    ends = np.searchsorted(group, group, side="right")
+    # Rows whose group reaches on to the row at this distance.
+    rows, distance = np.arange(n), 1
+    while True:
+        rows = rows[rows + distance < ends[rows]]
+        if not len(rows):
+            return out
+        look = rows[~across[rows] | (own[rows] != own[rows + distance])]
+        look = look[parent[look] != parent[look + distance]]
+        differing = (prints[look] ^ prints[look + distance]).view(np.uint8).reshape(-1, 8)
+        enough = (differing == 0).sum(axis=1) >= 8 - bits
+        close = ONES[differing[enough]].sum(axis=1) <= bits
+        for i in look[enough][close].tolist():
+            a, b = i, i + distance
+            while parent[a] != a:
+                a = parent[a]
+            while parent[b] != b:
+                b = parent[b]
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((int(prints[i].view(np.int64)), int(prints[i + distance].view(np.int64))))
+        while close.any():  # every row's root, for the pairs to come
+            up = parent[parent]
+            if (up == parent).all():
+                break
+            parent = up
+        distance += 1
 
 
 def links(lists: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     """(a, b): verified links between fingerprints that connect whatever is linked in ``lists``.
 
-    Every two blocks of a list are a group of their own; no group grows with its list.
+    Every two blocks of a list are a group of their own; no group grows with its list. Groups are
+    mostly small, so a task reads them in order and compares many at a time.
     """
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("print"), blocks).cast("int")
+    group = ["positions", "bytes", "low", "high"]
     cells = lists.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))
-    ).select("positions", "bytes", "print", "own", F.least("own", "other").alias("low"),
-             F.greatest("own", "other").alias("high"))
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        prints, own = rows["print"].to_numpy(np.int64), rows["own"].to_numpy()
-        low, high = int(rows["low"].iloc[0]), int(rows["high"].iloc[0])
-        found = pairs_in_blocks(np.ascontiguousarray(prints[own == low]),
-                                None if low == high else np.ascontiguousarray(prints[own == high]), bits)
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    grouped = cells.groupBy("positions", "bytes", "low", "high")
-    return grouped.applyInPandas(compare, "a long, b long")
+    ).select("positions", "bytes", F.least("own", "other").alias("low"),
+             F.greatest("own", "other").alias("high"), "own", "print")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(columns: list[np.ndarray]) -> pa.RecordBatch:
+            positions, places, low, high, own, prints = columns
+            starts = np.ones(len(prints), bool)
+            starts[1:] = np.any([c[1:] != c[:-1] for c in columns[:4]], axis=0)
+            pairs = linked_rows(prints.view(np.uint64), np.cumsum(starts), own, low != high, bits)
+            a, b = zip(*pairs) if pairs else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+        held = None
+        for batch in batches:
+            columns = [np.array(c.to_numpy(zero_copy_only=False)) for c in batch.columns]
+            if held is not None:
+                columns = [np.concatenate(c) for c in zip(held, columns)]
+            # The last group may go on in the next batch.
+            same = np.all([c == c[-1] for c in columns[:4]], axis=0)
+            cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+            held = [c[cut:] for c in columns]
+            if cut:
+                yield found([c[:cut] for c in columns])
+        if held is not None and len(held[0]):
+            yield found(held)
+
+    ordered = cells.repartition(*group).sortWithinPartitions(*group, "own", "print")
+    return ordered.mapInArrow(compare, "a long, b long")
 
 
 def simhash_groups(
