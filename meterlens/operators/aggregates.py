@@ -10,13 +10,14 @@ from meterlens.functions.arrival import arrival
 from meterlens.functions.numeric import (
     equal_width_bin,
     guarded_corr,
+    nan_to_null,
     percent,
     size_class,
     temperature_label,
     weekday_name,
 )
 from meterlens.operators.filters import non_null_readings
-from meterlens.operators.quantiles import exact_quantiles
+from meterlens.operators.quantiles import distribution
 
 # Least rows for weather results, least rows of a reported hour or day
 # (exclusive), and the rate in percent above which a building is marked (exclusive).
@@ -108,6 +109,11 @@ def building_detail(readings: DataFrame) -> DataFrame:
     )
 
 
+def known_readings(readings: DataFrame) -> DataFrame:
+    """Rows whose reading is a number: NaN is a missing reading, as null is."""
+    return readings.where(nan_to_null(F.col("meter_reading")).isNotNull())
+
+
 def _moments() -> list[Column]:
     return [
         F.avg("meter_reading").alias("mean"),
@@ -119,26 +125,29 @@ def _moments() -> list[Column]:
 
 
 def building_moments(readings: DataFrame) -> DataFrame:
-    """Per building: mean, population std, min, max and count of non-null readings."""
-    return non_null_readings(readings).groupBy("building_id").agg(*_moments())
+    """Per building: mean, population std, min, max and count of its readings."""
+    return known_readings(readings).groupBy("building_id").agg(*_moments())
 
 
-def building_quartiles(readings: DataFrame) -> DataFrame:
-    quartiles = {"median": 0.5, "q75": 0.75, "q25": 0.25}
-    return exact_quantiles(
-        non_null_readings(readings), ["building_id"], "meter_reading", quartiles
-    )
+QUARTILES = {"median": 0.5, "q75": 0.75, "q25": 0.25}
 
 
-def building_statistics(readings: DataFrame) -> DataFrame:
-    """Per building: the moments, median and quartiles."""
-    return building_moments(readings).join(building_quartiles(readings), "building_id")
+def building_statistics(readings: DataFrame, latest: bool = False) -> DataFrame:
+    """Per building: the moments, median and quartiles; with ``latest`` its last reading too.
+
+    The table is scanned twice: for a histogram, and for the values at the wanted ranks.
+    """
+    last = (arrival(), {"timestamp": "timestamp", "meter_reading": "meter_reading"})
+    stats = distribution(
+        readings, ["building_id"], "meter_reading", QUARTILES, latest=last if latest else None
+    )
+    return stats.withColumnRenamed("std_pop", "std").drop("std_samp")
 
 
 def latest_with_moments(readings: DataFrame) -> DataFrame:
-    """The last non-null reading of each building and its moments, in one aggregation."""
+    """The last reading of each building and its moments, in one aggregation."""
     order = arrival()
-    return non_null_readings(readings).groupBy("building_id").agg(
+    return known_readings(readings).groupBy("building_id").agg(
         F.max_by("timestamp", order).alias("timestamp"),
         F.max_by("meter_reading", order).alias("meter_reading"),
         *_moments(),
@@ -164,32 +173,48 @@ def weather_correlation(
     not exist is 0.
     """
     reading = F.col("meter_reading")
-    columns = {"temperature": "air_temperature", "wind_speed": "wind_speed"}
-    if wind and "cloud_coverage" in readings.columns:
-        columns["cloud_coverage"] = "cloud_coverage"
-    outputs = []
-    for name, source in columns.items():
-        value = guarded_corr(reading, F.col(source))
-        outputs.append((value if wind else F.coalesce(value, F.lit(0.0))).alias(name))
-    result = complete_weather(readings, wind).agg(F.count("*").alias("sample_size"), *outputs)
-    return result.where(F.col("sample_size") >= min_rows)
+    columns = ["air_temperature", "wind_speed"]
+    columns += ["cloud_coverage"] if wind and "cloud_coverage" in readings.columns else []
+    found = complete_weather(readings, wind).agg(
+        F.count("*").alias("sample_size"),
+        *[guarded_corr(reading, F.col(c)).alias(f"{c}_r") for c in columns],
+    )
+    return correlations(found, wind, min_rows)
+
+
+def correlations(
+    moments: DataFrame, wind: bool = True, min_rows: int = MIN_WEATHER_ROWS
+) -> DataFrame:
+    """The same from a row with the sample size and each correlation, ``<column>_r``."""
+    names = {"air_temperature_r": "temperature", "wind_speed_r": "wind_speed"}
+    if wind and "cloud_coverage_r" in moments.columns:
+        names["cloud_coverage_r"] = "cloud_coverage"
+    values = [
+        (F.col(c) if wind else F.coalesce(c, F.lit(0.0))).alias(name) for c, name in names.items()
+    ]
+    return moments.where(F.col("sample_size") >= min_rows).select("sample_size", *values)
 
 
 def temperature_ranges(
-    readings: DataFrame, wind: bool = True, min_rows: int = MIN_WEATHER_ROWS
+    readings: DataFrame, wind: bool = True, min_rows: int = MIN_WEATHER_ROWS,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Mean, sample std and count of readings in five equal-width temperature bins.
 
-    No rows below ``min_rows`` complete readings; 0 is no guard.
+    No rows below ``min_rows`` complete readings; 0 is no guard. The full analysis names all
+    bins, an empty one with count 0; ``wind=False``, the dashboard form, leaves those out.
+    ``bounds`` may give the row of least and greatest temperature and count (_lo, _hi, _n).
     """
     usable = complete_weather(readings, wind).select("meter_reading", "air_temperature")
-    bounds = usable.agg(
-        F.min("air_temperature").alias("_lo"),
-        F.max("air_temperature").alias("_hi"),
-        F.count("*").alias("_n"),
-    ).where(F.col("_n") >= min_rows)
+    if bounds is None:
+        bounds = usable.agg(
+            F.min("air_temperature").alias("_lo"),
+            F.max("air_temperature").alias("_hi"),
+            F.count("*").alias("_n"),
+        )
+    bounds = bounds.where((F.col("_n") >= min_rows) & (F.col("_n") > 0))
     number = equal_width_bin(F.col("air_temperature"), F.col("_lo"), F.col("_hi"))
-    return (
+    found = (
         usable.crossJoin(F.broadcast(bounds))
         .groupBy(number.alias("bin"))
         .agg(
@@ -197,8 +222,12 @@ def temperature_ranges(
             F.stddev_samp("meter_reading").alias("std"),
             F.count("*").alias("count"),
         )
-        .withColumn("temp_range", temperature_label(F.col("bin")))
     )
+    if wind:
+        # The single row of bounds, or none below the guard, gives the five bins or none.
+        every = bounds.select(F.explode(F.sequence(F.lit(1), F.lit(5))).alias("bin"))
+        found = every.join(found, "bin", "left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
+    return found.withColumn("temp_range", temperature_label(F.col("bin")))
 
 
 def weather_trend(readings: DataFrame, wind: bool = True) -> DataFrame:
@@ -225,13 +254,27 @@ def weather_trend(readings: DataFrame, wind: bool = True) -> DataFrame:
 
 def type_performance(readings: DataFrame) -> DataFrame:
     """Per type: statistics rounded to 2 places first, rates from the rounded values."""
+    return rated_types(
+        readings.where(F.col("primary_use").isNotNull()).groupBy("primary_use").agg(
+            F.avg("meter_reading").alias("mean"),
+            F.stddev_samp("meter_reading").alias("std"),
+            F.count("meter_reading").alias("readings"),
+            F.sum("anomaly").alias("anomalies"),
+            F.avg("square_feet").alias("area_mean"),
+        )
+    )
+
+
+def rated_types(measured: DataFrame) -> DataFrame:
+    """The same from the measures of each type."""
     half_even = F.bround
-    rounded = readings.where(F.col("primary_use").isNotNull()).groupBy("primary_use").agg(
-        half_even(F.avg("meter_reading"), 2).alias("meter_reading_mean"),
-        half_even(F.stddev_samp("meter_reading"), 2).alias("meter_reading_std"),
-        F.count("meter_reading").alias("meter_reading_count"),
-        F.sum("anomaly").alias("anomaly_sum"),
-        half_even(F.avg("square_feet"), 2).alias("square_feet_mean"),
+    rounded = measured.select(
+        "primary_use",
+        half_even("mean", 2).alias("meter_reading_mean"),
+        half_even("std", 2).alias("meter_reading_std"),
+        F.col("readings").alias("meter_reading_count"),
+        F.col("anomalies").alias("anomaly_sum"),
+        half_even("area_mean", 2).alias("square_feet_mean"),
     )
     rate = F.when(
         F.col("meter_reading_count") > 0,
@@ -257,14 +300,23 @@ def _pattern(readings: DataFrame, key) -> DataFrame:
 def size_performance(readings: DataFrame) -> DataFrame:
     """Per size class; areas without a class are left out."""
     classed = readings.withColumn("size_category", size_class(F.col("square_feet")))
-    by_class = _pattern(classed.where(F.col("size_category").isNotNull()), "size_category")
+    return rated_sizes(
+        _pattern(classed.where(F.col("size_category").isNotNull()), "size_category")
+    )
+
+
+def rated_sizes(by_class: DataFrame) -> DataFrame:
     return by_class.withColumn("anomaly_rate", percent(F.col("anomalies"), F.col("count")))
 
 
 def hourly_patterns(readings: DataFrame) -> DataFrame:
     """Per hour, with a flag for peak hours: over 10 readings, mean above the overall mean."""
     overall = readings.agg(F.avg("meter_reading").alias("_overall"))
-    by_hour = _pattern(readings.where(F.col("hour").isNotNull()), "hour")
+    return marked_hours(_pattern(readings.where(F.col("hour").isNotNull()), "hour"), overall)
+
+
+def marked_hours(by_hour: DataFrame, overall: DataFrame) -> DataFrame:
+    """The same from the measures of each hour and a row with the mean of all, ``_overall``."""
     peak = (F.col("count") > MIN_PERIOD_ROWS) & (F.col("mean") > F.col("_overall"))
     return (
         by_hour.crossJoin(F.broadcast(overall))
@@ -275,7 +327,10 @@ def hourly_patterns(readings: DataFrame) -> DataFrame:
 
 def weekday_patterns(readings: DataFrame) -> DataFrame:
     """Per weekday, with its name and whether it has enough readings to be shown."""
-    by_day = _pattern(readings.where(F.col("weekday").isNotNull()), "weekday")
+    return named_days(_pattern(readings.where(F.col("weekday").isNotNull()), "weekday"))
+
+
+def named_days(by_day: DataFrame) -> DataFrame:
     return by_day.withColumns(
         {
             "day_name": weekday_name(F.col("weekday")),
@@ -290,22 +345,27 @@ def monthly_patterns(readings: DataFrame) -> DataFrame:
 
 def anomaly_comparison(readings: DataFrame) -> DataFrame:
     """One row comparing anomalies and normal readings; means need both classes."""
-    counts = readings.agg(
-        F.count("*").alias("total_readings"),
-        F.coalesce(F.sum("anomaly"), F.lit(0)).alias("total_anomalies"),
-        F.count_if(labelled()).alias("_anomalous"),
-        F.count_if(F.col("anomaly") == 0).alias("_normal"),
-        F.avg(F.when(labelled(), F.col("meter_reading"))).alias("_anomaly_avg"),
-        F.avg(F.when(F.col("anomaly") == 0, F.col("meter_reading"))).alias("_normal_avg"),
-    )
-    both = (F.col("_anomalous") > 0) & (F.col("_normal") > 0)
+    return compared(readings.agg(
+        F.count("*").alias("rows"),
+        F.sum("anomaly").alias("anomalies"),
+        F.count_if(labelled()).alias("anomalous"),
+        F.count_if(F.col("anomaly") == 0).alias("normal"),
+        F.avg(F.when(labelled(), F.col("meter_reading"))).alias("anomalous_mean"),
+        F.avg(F.when(F.col("anomaly") == 0, F.col("meter_reading"))).alias("normal_mean"),
+    ))
+
+
+def compared(measured: DataFrame) -> DataFrame:
+    """The same from the measures of all readings."""
+    both = (F.col("anomalous") > 0) & (F.col("normal") > 0)
     anomaly_avg, normal_avg = F.col("anomaly_avg"), F.col("normal_avg")
-    return counts.select(
-        "total_readings",
-        "total_anomalies",
-        percent(F.col("total_anomalies"), F.col("total_readings")).alias("anomaly_rate"),
-        F.when(both, F.col("_anomaly_avg")).alias("anomaly_avg"),
-        F.when(both, F.col("_normal_avg")).alias("normal_avg"),
+    total = F.coalesce("anomalies", F.lit(0))
+    return measured.select(
+        F.col("rows").alias("total_readings"),
+        total.alias("total_anomalies"),
+        percent(total, F.col("rows")).alias("anomaly_rate"),
+        F.when(both, F.col("anomalous_mean")).alias("anomaly_avg"),
+        F.when(both, F.col("normal_mean")).alias("normal_avg"),
     ).withColumns(
         {
             "difference": anomaly_avg - normal_avg,
@@ -316,9 +376,14 @@ def anomaly_comparison(readings: DataFrame) -> DataFrame:
 
 def anomaly_by_type(readings: DataFrame, n: int = 5) -> DataFrame:
     """The n types with most anomalies and the rate within each type."""
-    by_type = readings.where(F.col("primary_use").isNotNull()).groupBy("primary_use").agg(
-        F.count_if(labelled()).alias("anomalies"), F.count("*").alias("total")
+    return most_anomalous_types(
+        readings.where(F.col("primary_use").isNotNull()).groupBy("primary_use").agg(
+            F.count_if(labelled()).alias("anomalies"), F.count("*").alias("total")
+        ), n
     )
+
+
+def most_anomalous_types(by_type: DataFrame, n: int = 5) -> DataFrame:
     return (
         by_type.where(F.col("anomalies") > 0)
         .withColumn("rate", percent(F.col("anomalies"), F.col("total")))
@@ -329,7 +394,12 @@ def anomaly_by_type(readings: DataFrame, n: int = 5) -> DataFrame:
 
 def worst_building(readings: DataFrame) -> DataFrame:
     """The building with most anomalies, none when there are no anomalies."""
-    counts = readings.groupBy("building_id").agg(F.sum("anomaly").alias("anomaly_count"))
+    return most_anomalous_building(
+        readings.groupBy("building_id").agg(F.sum("anomaly").alias("anomaly_count"))
+    )
+
+
+def most_anomalous_building(counts: DataFrame) -> DataFrame:
     top = counts.orderBy(F.desc("anomaly_count"), "building_id").limit(1)
     return top.where(F.col("anomaly_count") > 0)
 

@@ -10,7 +10,8 @@ from meterlens.functions.hashing import bloom_position, bloom_size
 from meterlens.functions.numeric import fixed_text, percent
 
 # A table of set bits has at most as many rows as the filter has bits; up to this many
-# (about 40 MB) it is broadcast, beyond it is joined.
+# (about 40 MB) it is broadcast and looked up in place. Beyond, every distinct item meets its
+# bits in one join, however many hashes there are.
 BROADCAST_BITS = 1_000_000
 
 
@@ -61,34 +62,47 @@ def bloom_packed(bits: DataFrame) -> DataFrame:
     )
 
 
-def _look_up(rows: DataFrame, positions: list[str], table: DataFrame, value: str, bits: int):
-    """Columns ``_v0``, ``_v1``, … with ``value`` of each position's bit, null if not set."""
-    for i, position in enumerate(positions):
-        side = table.select(F.col("bit").alias(position), F.col(value).alias(f"_v{i}"))
-        side = F.broadcast(side) if bits <= BROADCAST_BITS else side
-        rows = rows.join(side, position, "left")
-    return rows
-
+def _last_set(
+    rows: DataFrame, table: DataFrame, value: str, capacity: int, error_rate: float
+) -> DataFrame:
+    """Add ``_last``, the greatest ``value`` of the bits of ``_item``; null if one isn't set.
 
-def _with_positions(rows: DataFrame, item: str, bits: int, hashes: int):
-    """Add the bits of column ``item`` and return their column names as well."""
-    names = [f"_p{i}" for i in range(hashes)]
-    columns = {n: bloom_position(item, i, bits) for i, n in enumerate(names)}
-    return rows.withColumns(columns), names
+    ``table`` has (bit, ``value``). A small one is broadcast. A large one is joined with the
+    bits of each distinct item once; the items found then go back to their rows.
+    """
+    bits, hashes = bloom_size(capacity, error_rate)
+    if bits <= BROADCAST_BITS:
+        for i in range(hashes):
+            side = table.select(F.col("bit").alias("_bit"), F.col(value).alias(f"_v{i}"))
+            rows = rows.withColumn("_bit", bloom_position("_item", i, bits)).join(
+                F.broadcast(side), "_bit", "left"
+            ).drop("_bit")
+        values = [F.col(f"_v{i}") for i in range(hashes)]
+        every = F.lit(True)
+        for v in values:
+            every = every & v.isNotNull()
+        return rows.withColumn("_last", F.when(every, F.greatest(*values) if hashes > 1 else values[0]))
+    items = rows.select("_item").distinct()
+    placed = _placed(items.withColumn("_key", F.col("_item")), capacity, error_rate)
+    # An item sets a bit once, whatever number of its hashes fall on it.
+    sought = placed.groupBy("_key", "bit").agg(F.lit(1).alias("_one"))
+    found = (
+        sought.join(table.select("bit", F.col(value).alias("_value")), "bit", "left")
+        .groupBy("_key")
+        .agg(F.count("*").alias("_n"), F.count("_value").alias("_set"), F.max("_value").alias("_last"))
+        .where("_n = _set")
+        .select("_key", "_last")
+    )
+    return rows.join(found, rows["_item"].eqNullSafe(found["_key"]), "left").drop("_key")
 
 
 def bloom_probe(
     rows: DataFrame, item: Column, set_bits: DataFrame, capacity: int, error_rate: float
 ) -> DataFrame:
     """Add ``maybe_present``: all bits of the row's item are set."""
-    bits, hashes = bloom_size(capacity, error_rate)
-    placed, names = _with_positions(rows.withColumn("_item", item), "_item", bits, hashes)
-    marked = set_bits.select("bit", F.lit(True).alias("_set"))
-    found = _look_up(placed, names, marked, "_set", bits)
-    present = F.lit(True)
-    for i in range(hashes):
-        present = present & F.col(f"_v{i}").isNotNull()
-    return found.select(*rows.columns, present.alias("maybe_present"))
+    marked = set_bits.select("bit", F.lit(1).alias("_set"))
+    found = _last_set(rows.withColumn("_item", item), marked, "_set", capacity, error_rate)
+    return found.select(*rows.columns, F.col("_last").isNotNull().alias("maybe_present"))
 
 
 def first_set_bits(
@@ -115,7 +129,6 @@ def bloom_dedup(
     first row is the least of all rows with that bit, and a row is a duplicate when every
     one of its bits was set before it. ``known`` holds bits set before the first row.
     """
-    bits, hashes = bloom_size(capacity, error_rate)
     order = arrival() if order is None else order
     table = first_set_bits(rows, item, order, capacity, error_rate)
     if known is not None:
@@ -123,14 +136,10 @@ def bloom_dedup(
         table = table.unionByName(earlier).groupBy("bit").agg(
             F.min("first_set").alias("first_set")
         )
-    placed, names = _with_positions(
-        rows.withColumns({"item": item, "_order": order}), "item", bits, hashes
-    )
-    found = _look_up(placed, names, table, "first_set", bits)
-    all_set = F.lit(True)
-    for i in range(hashes):
-        all_set = all_set & (F.col(f"_v{i}") < F.col("_order"))
-    return found.select(*rows.columns, "item", all_set.alias("is_duplicate"))
+    named = rows.withColumns({"_item": item, "_order": order})
+    found = _last_set(named, table, "first_set", capacity, error_rate)
+    duplicate = F.coalesce(F.col("_last") < F.col("_order"), F.lit(False))
+    return found.select(*rows.columns, F.col("_item").alias("item"), duplicate.alias("is_duplicate"))
 
 
 def bloom_stats(deduplicated: DataFrame, capacity: int, error_rate: float) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meterlens.functions.numeric import label_text, reading_context
 from meterlens.operators.filters import available, non_null_readings
-from meterlens.operators.sampling import sample_readings, stratified_split
+from meterlens.operators.sampling import sample_readings, stratified_sample, stratified_split
 from meterlens.operators.thresholds import explain_rows, feature_thresholds, with_defaults
 from meterlens.schema import FEATURES, PRIMARY_USES
 from meterlens.sources.tables import append_metrics
@@ -24,6 +24,10 @@ LEARNING_RATE = 0.1
 ROUNDS = 100
 SEED = 42
 TEST_SHARE = 0.2
+# The trees are fitted on at most this many labelled rows, drawn from each label in
+# proportion. Every round reads them several times, in few tasks; all rows are scored.
+FIT_ROWS = 50_000
+FIT_TASKS = 4
 
 
 def training_set(readings: DataFrame) -> DataFrame:
@@ -39,10 +43,11 @@ def class_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("anomaly").agg(F.count("*").alias("row_count"))
 
 
-def train(rows: DataFrame, rounds: int = ROUNDS) -> PipelineModel:
-    """Fit assembler and trees; the assembler keeps the order of the features."""
+def train(rows: DataFrame, rounds: int = ROUNDS, fit_rows: int = FIT_ROWS) -> PipelineModel:
+    """Fit assembler and trees on at most ``fit_rows`` rows; the order of the features is kept."""
     shared_folder(rows.sparkSession)  # the trees checkpoint their intermediate data there
     features = [c for c in rows.columns if c in FEATURES]
+    rows = durable(stratified_sample(rows, fit_rows, "anomaly", SEED).coalesce(FIT_TASKS))
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     trees = GBTClassifier(
         labelCol="anomaly", featuresCol="features", maxDepth=MAX_DEPTH, stepSize=LEARNING_RATE,
@@ -63,14 +68,20 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def with_missing_features(rows: DataFrame, features: list[str]) -> DataFrame:
+    """Add the features the table lacks as 0, and their names as ``missing_features``."""
+    missing = [c for c in features if c not in rows.columns]
+    names = F.array(*[F.lit(c) for c in missing]).cast("array<string>")
+    return rows.withColumns({**{c: F.lit(0.0) for c in missing}, "missing_features": names})
+
+
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Add prediction, its text and confidence, both probabilities and missing features.
 
     Features the table lacks count as 0 and are named in ``missing_features``.
     """
     features = model_features(model)
-    missing = [c for c in features if c not in rows.columns]
-    typed = rows.withColumns({c: F.lit(0.0) for c in missing}) if missing else rows
+    typed = with_missing_features(rows, features)
     typed = typed.withColumns({f"_{c}": F.col(c).cast("double") for c in features})
     plain = model.copy()
     plain.stages[0].setInputCols([f"_{c}" for c in features])
@@ -84,7 +95,7 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
         F.when(prediction == 1, anomalous).otherwise(normal).alias("confidence"),
         normal.alias("probability_normal"),
         anomalous.alias("probability_anomaly"),
-        F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing_features"),
+        "missing_features",
     )
 
 
@@ -205,7 +216,7 @@ def run_training(
     return report
 
 
-def scored_test_rows(readings: DataFrame, rounds: int) -> DataFrame:
+def scored_test_rows(readings: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Train on four fifths of the readings and score the last fifth with explanations."""
     split = durable(stratified_split(training_set(readings), "anomaly", TEST_SHARE, SEED))
     model = train(split.where(~F.col("is_test")).drop("is_test"), rounds)

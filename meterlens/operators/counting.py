@@ -15,14 +15,18 @@ def trailing_count(
     ts: str = "timestamp",
     bit: str = "bit",
     max_rows: int = MAX_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Ones in [t - window, t] for every key and time t of ``bits``, both ends included.
 
+    With ``weight`` a row stands for that column's number of ones.
+
     The count is a difference of two running totals: up to t, and before t - window. So
     each time becomes two points on one line per key, instead of a frame that would reread
     the whole window for every row. Rows of equal key and time are merged first.
     """
-    per_time = bits.groupBy(*keys, ts).agg(F.count_if(F.col(bit) == 1).alias("_ones"))
+    ones = F.count_if(F.col(bit) == 1) if weight is None else F.sum(weight)
+    per_time = bits.groupBy(*keys, ts).agg(ones.alias("_ones"))
     length = F.expr(f"INTERVAL '{int(window_seconds)}' SECOND")
     # At equal times the start of a window (0) precedes the ones of that time (1).
     opening = F.struct(

@@ -11,13 +11,12 @@ from pyspark.sql.window import Window
 from meterlens.functions.numeric import fixed_text
 from meterlens.operators.aggregates import (
     building_moments,
-    building_quartiles,
     building_statistics,
     latest_reading,
     latest_with_moments,
 )
 from meterlens.operators.filters import non_null_readings
-from meterlens.operators.ordering import MAX_ROWS, find_hot_keys, look_back
+from meterlens.operators.ordering import MAX_ROWS, find_hot_keys, hot_keys_of, look_back
 from meterlens.storage import durable
 
 # Limits of the three methods and the votes the ensemble needs.
@@ -143,8 +142,13 @@ def iqr(readings: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     return _named(rows, "iqr", "iqr", [*READING, "lower_bound", "upper_bound"])
 
 
-def _moving(readings: DataFrame, rows: int, max_rows: int) -> DataFrame:
-    """Each non-null reading with mean and population std of the previous ``rows``."""
+def _moving(
+    readings: DataFrame, rows: int, max_rows: int, stats: DataFrame | None = None
+) -> DataFrame:
+    """Each non-null reading with mean and population std of the previous ``rows``.
+
+    Hot buildings are found in the counts of ``stats`` instead of by a scan of their own.
+    """
     def outputs(window):
         before = window.rowsBetween(-rows, -1)
         return {
@@ -154,7 +158,10 @@ def _moving(readings: DataFrame, rows: int, max_rows: int) -> DataFrame:
         }
 
     usable = non_null_readings(readings).select(*READING)
-    hot = find_hot_keys(usable, ["building_id"], max_rows)
+    if stats is None:
+        hot = find_hot_keys(usable, ["building_id"], max_rows)
+    else:
+        hot = hot_keys_of(stats, ["building_id"], "count", max_rows)
     moved = look_back(usable, ["building_id"], ["timestamp", "row_id"], rows, outputs, hot)
     return moved.withColumns(
         {"current_reading": F.col("meter_reading"), "enough": F.col("n_readings") >= rows}
@@ -178,12 +185,14 @@ def moving_average_asof(
     range_hours: int | None = None,
     as_of=None,
     factor: float = MA_FACTOR,
+    ends: DataFrame | None = None,
 ) -> DataFrame:
     """One verdict per building over the range of hours ending at ``as_of``.
 
     The first ``window_rows + 1`` readings of the closed range count; the last of them is
     the current one, the others are its history. Without ``as_of`` each building's range
-    ends at its own latest reading; buildings with no reading in the range give no row.
+    ends at its own latest reading, which ``ends`` (building_id, timestamp) may give;
+    buildings with no reading in the range give no row.
     """
     hours = window_rows + 1 if range_hours is None else range_hours
     length = F.expr(f"INTERVAL '{int(hours)}' HOUR")
@@ -194,7 +203,9 @@ def moving_average_asof(
         end = F.lit(as_of).cast(readings.schema["timestamp"].dataType)
         in_range = usable.where(F.col("timestamp").between(end - length, end))
     else:
-        ends = durable(usable.groupBy("building_id").agg(F.max("timestamp").alias("_end")))
+        if ends is None:
+            ends = durable(usable.groupBy("building_id").agg(F.max("timestamp").alias("timestamp")))
+        ends = ends.select("building_id", F.col("timestamp").alias("_end"))
         in_range = usable.join(ends, "building_id").where(
             F.col("timestamp") >= F.col("_end") - length
         )
@@ -258,10 +269,12 @@ def ensemble(
     """Majority vote of the three methods for every non-null reading.
 
     ``details`` is a struct with each method's verdict, the votes and the mean confidence.
+    The readings are scanned three times: twice for the statistics, once for the verdicts.
     """
+    counted = None
     if stats is None:
-        stats = durable(building_statistics(readings))
-    rows = with_statistics(_moving(readings, window_rows, max_rows), stats)
+        stats = counted = durable(building_statistics(readings))
+    rows = with_statistics(_moving(readings, window_rows, max_rows, counted), stats)
     rows = rows.withColumns({**sigma_columns(), **iqr_columns(), **moving_average_columns()})
     rows = rows.withColumns(ensemble_columns())
     extra = [*READING, "votes", "sigma_anomaly", "iqr_anomaly", "ma_anomaly"]
@@ -287,15 +300,21 @@ def detect_batch(
         readings = readings.join(building_ids.select("building_id"), "building_id", "left_semi")
     elif building_ids is not None:
         readings = readings.where(F.col("building_id").isin(list(building_ids)))
-    rows = latest_with_moments(readings)
     prefix = METHODS.get(method, "ensemble")
+    quartiles = prefix in ("iqr", "ensemble")
+    # Last reading, moments and quartiles together; the moving average takes its ends from it.
+    rows = durable(
+        building_statistics(readings, latest=True) if quartiles else latest_with_moments(readings)
+    )
+    ends = rows.select("building_id", "timestamp")
     if prefix in ("sigma", "ensemble"):
         rows = rows.withColumns(sigma_columns())
-    if prefix in ("iqr", "ensemble"):
-        rows = rows.join(building_quartiles(readings), "building_id")
+    if quartiles:
         rows = rows.withColumns(iqr_columns())
     if prefix in ("ma", "ensemble"):
-        recent = moving_average_asof(readings, window_rows, range_hours, as_of).select(
+        recent = moving_average_asof(
+            readings, window_rows, range_hours, as_of, ends=ends
+        ).select(
             "building_id",
             F.col("is_anomaly").alias("ma_anomaly"),
             F.col("confidence").alias("ma_confidence"),

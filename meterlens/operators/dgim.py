@@ -13,9 +13,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from meterlens.functions.arrival import micros
-from meterlens.operators.ordering import MAX_ROWS, find_hot_keys, look_back
+from meterlens.operators.ordering import (
+    CHUNK,
+    MAX_ROWS,
+    HotKeys,
+    find_hot_keys,
+    look_back,
+    split_hot_keys,
+)
+from meterlens.storage import durable
 
 # Fixed value: bytes counted per bucket.
 BUCKET_BYTES = 16
@@ -75,6 +84,17 @@ def to_buckets(levels: list[list[int]]) -> list[dict]:
     ]
 
 
+def from_buckets(buckets: list) -> list[list[int]]:
+    """The times per level of buckets listed newest first."""
+    levels: list[list[int]] = []
+    for bucket in reversed(buckets):
+        level = int(bucket["size"]).bit_length() - 1
+        while len(levels) <= level:
+            levels.append([])
+        levels[level].append(int(bucket["at"]))
+    return levels
+
+
 def estimates(buckets: Column) -> dict[str, Column]:
     """Statistics of a bucket list.
 
@@ -100,6 +120,68 @@ def estimates(buckets: Column) -> dict[str, Column]:
     }
 
 
+def fold_buckets(
+    ones: DataFrame, keys: list[str], window: int, state: DataFrame | None = None
+) -> DataFrame:
+    """(keys, _buckets) after the ``ones`` (keys, _at, _ones, _clock) of each key, in order.
+
+    ``state`` gives the buckets a key starts with; keys with a state but no ones keep it.
+    """
+    columns = [*keys, "_at", "_ones", "_clock", "_buckets"]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, levels = None, []
+        for batch in batches:
+            done = []
+            for *row_key, at, count, clock, start in zip(*[batch[c].tolist() for c in columns]):
+                if row_key != key:
+                    if key is not None:
+                        done.append([*key, to_buckets(levels)])
+                    key, levels = row_key, []
+                if start is not None:
+                    levels = from_buckets(start)
+                else:
+                    advance(levels, int(at), int(count), int(clock), window)
+            if done:
+                yield pd.DataFrame(done, columns=[*keys, "_buckets"])
+        if key is not None:
+            yield pd.DataFrame([[*key, to_buckets(levels)]], columns=[*keys, "_buckets"])
+
+    schema = T.StructType([
+        *[ones.schema[k] for k in keys], T.StructField("_buckets", BUCKETS)
+    ])
+    rows = ones.withColumn("_buckets", F.lit(None).cast(BUCKETS))
+    if state is not None:  # the least time: a state comes first
+        zero = F.lit(0).cast("long")
+        rows = rows.unionByName(state.select(
+            *keys, F.lit(-(1 << 62)).alias("_at"), zero.alias("_ones"), zero.alias("_clock"), "_buckets"
+        ))
+    return (
+        rows.repartition(*keys).sortWithinPartitions(*keys, "_at").mapInPandas(fold, schema)
+    )
+
+
+def fold_chunks(chunks: DataFrame, keys: list[str], window: int, hot: HotKeys) -> DataFrame:
+    """The same for hot keys, whose rows are numbered in consecutive chunks.
+
+    A round folds the next chunk of every key and stores the buckets for the round after it; a task
+    sees one chunk of a key, and rounds are as many as the chunks of the hottest key.
+    """
+    turn = Window.partitionBy(*keys).orderBy(CHUNK)
+    # One row per chunk and key in it: fewer than chunks and hot keys together.
+    turns = durable(chunks.select(*keys, CHUNK).distinct().withColumn(
+        "_round", F.row_number().over(turn)))
+    rounds = turns.agg(F.max("_round")).first()[0] or 0
+    state = None
+    for number in range(1, rounds + 1):
+        due = turns.where(F.col("_round") == number).select(*keys, CHUNK)
+        ones = chunks.join(F.broadcast(due), [*keys, CHUNK], "left_semi").drop(CHUNK)
+        state = durable(fold_buckets(ones, keys, window, state))
+    if state is None:
+        return fold_buckets(chunks.drop(CHUNK), keys, window)
+    return state
+
+
 def dgim_state(
     bits: DataFrame,
     keys: list[str],
@@ -113,7 +195,8 @@ def dgim_state(
     Bits of equal key and time (ordered by ``row_id``) are merged before anything is
     shuffled by key. A pause longer than the window empties all buckets, so only what
     follows a key's last such pause is folded. Each task reads its keys in order, a batch of
-    rows at a time, and holds the buckets of one key only.
+    rows at a time, and holds the buckets of one key only. A key with more than ``max_rows`` bits is
+    folded a chunk of its time after the other, the buckets being handed on.
     """
     window = int(window_seconds) * 1_000_000
     per_time = bits.groupBy(*keys, ts).agg(
@@ -139,31 +222,14 @@ def dgim_state(
     starts = spaced.where("_restart").groupBy(*keys).agg(F.max("_at").alias("_start"))
     recent = spaced.join(starts, keys).where(F.col("_at") >= F.col("_start"))
 
-    columns = [*keys, "_at", "_ones", "_clock"]
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, levels = None, []
-        for batch in batches:
-            done = []
-            for *row_key, at, ones, clock in zip(*[batch[c].tolist() for c in columns]):
-                if row_key != key:
-                    if key is not None:
-                        done.append([*key, to_buckets(levels)])
-                    key, levels = row_key, []
-                advance(levels, at, ones, clock, window)
-            if done:
-                yield pd.DataFrame(done, columns=[*keys, "_buckets"])
-        if key is not None:
-            yield pd.DataFrame([[*key, to_buckets(levels)]], columns=[*keys, "_buckets"])
-
-    key_fields = [bits.schema[k] for k in keys]
-    schema = T.StructType([*key_fields, T.StructField("_buckets", BUCKETS)])
-    folded = (
-        recent.select(*columns)
-        .repartition(*keys)
-        .sortWithinPartitions(*keys, "_at")
-        .mapInPandas(fold, schema)
-    )
+    recent = recent.select(*keys, "_at", "_ones", "_clock")
+    if hot is None:
+        folded = fold_buckets(recent, keys, window)
+    else:
+        cold, chunks = split_hot_keys(recent, keys, ["_at"], hot)
+        folded = fold_buckets(cold, keys, window).unionByName(
+            fold_chunks(chunks, keys, window, hot)
+        )
     totals = per_time.groupBy(*keys).agg(
         F.sum("_bits").alias("total_bits"), F.max(ts).alias("last_time")
     )

@@ -160,6 +160,40 @@ def join_on_merge_key(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right.select(*extra), key)
 
 
+def schema_sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Where each column occurs and its type on either side; reads no data."""
+    ours, theirs = dict(left.dtypes), dict(right.dtypes)
+    names = [*ours, *[c for c in theirs if c not in ours]]
+    rows = [(c, ours.get(c), theirs.get(c)) for c in names]
+    kinds = "column_name string, left_type string, right_type string"
+    side = F.when(F.col("right_type").isNull(), "left only").when(
+        F.col("left_type").isNull(), "right only"
+    ).otherwise("common")
+    return left.sparkSession.createDataFrame(rows, kinds).withColumn("side", side)
+
+
+def row_compare(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Each distinct row of the shared columns, and how often it is in both, only left, only right.
+
+    A multiset intersection and both differences in one aggregation: copies are counted where
+    they lie, so a row repeated a million times is shuffled once a task. Nulls are equal.
+    """
+    shared = [c for c in left.columns if c in right.columns]
+    if not shared:
+        raise ValueError("no common columns")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    both = left.select(*shared, one.alias("_l"), none.alias("_r")).unionByName(
+        right.select(*shared, none.alias("_l"), one.alias("_r"))
+    )
+    counted = both.groupBy(*shared).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    return counted.select(
+        *shared,
+        F.least("_l", "_r").alias("in_both"),
+        F.greatest(F.col("_l") - F.col("_r"), none).alias("left_only"),
+        F.greatest(F.col("_r") - F.col("_l"), none).alias("right_only"),
+    )
+
+
 def schema_compare(left: DataFrame, right: DataFrame) -> DataFrame:
     """Where each column occurs, and how many values it holds on either side."""
     def filled(df: DataFrame, name: str) -> DataFrame:

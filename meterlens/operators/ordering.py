@@ -36,7 +36,14 @@ def find_hot_keys(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS) -> H
 
     Keys must not be null. The result also serves tables with fewer rows per key.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
+    return hot_keys_of(df.groupBy(*keys).agg(F.count("*").alias("_n")), keys, "_n", max_rows)
+
+
+def hot_keys_of(
+    counted: DataFrame, keys: list[str], count: str, max_rows: int = MAX_ROWS
+) -> HotKeys | None:
+    """The same from a table of rows per key, where one is at hand."""
+    counts = counted.select(*keys, F.col(count).alias("_n")).where(F.col("_n") > max_rows)
     rows = counts.agg(F.sum("_n")).first()[0]
     if rows is None:
         return None
@@ -53,7 +60,7 @@ def split_hot_keys(
         .repartitionByRange(hot.chunks, *keys, *order)
         .withColumn(CHUNK, F.spark_partition_id())
     )
-    return cold, durable(chunks)
+    return cold, durable(chunks, CHUNK)
 
 
 def look_back(

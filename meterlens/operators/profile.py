@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.operators.filters import columns_of_kind
-from meterlens.operators.quantiles import exact_quantiles
+from meterlens.operators.quantiles import distribution
 
 # Fixed value: a column's values are listed below this many distinct ones.
 LISTED_BELOW = 20
@@ -28,40 +26,44 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def column_statistics(
-    df: DataFrame, columns: list[str], key: str, statistics: dict[str, Callable]
+def column_distributions(
+    df: DataFrame, columns: list[str], key: str, quantiles: dict[str, float]
 ) -> DataFrame:
-    """One row per column with the given aggregates of its values as doubles.
+    """The distribution of each column's numbers, one row per column that has any.
 
-    All columns are aggregated side by side in one pass, and only the single row of results
-    is turned: unpivoting the rows first would multiply them by the number of columns.
+    A row becomes one (column, value) pair per column inside a task and goes straight into
+    the histogram; only counted bins are shuffled.
     """
-    wide = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias(key),
-                *[f(F.col(c).cast("double")).alias(name) for name, f in statistics.items()],
-            ).alias(f"_{i}")
-            for i, c in enumerate(columns)
-        ]
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], columns, key, "value"
     )
-    return wide.select(F.inline(F.array(*[f"_{i}" for i in range(len(columns))])))
+    return distribution(long, [key], "value", quantiles, few_keys=True)
 
 
 def numeric_describe(df: DataFrame) -> DataFrame:
-    """count, mean, sample std, min, exact quartiles and max of every numeric column."""
+    """count, mean, sample std, min, exact quartiles and max of every numeric column.
+
+    NaN counts as missing in all of them. A column without values has count 0.
+    """
     columns = columns_of_kind(df, "numeric")
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], columns, "column_name", "value"
-    )
-    moments = column_statistics(
-        df, columns, "column_name",
-        {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max},
-    )
-    quartiles = exact_quantiles(
-        long, ["column_name"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, few_keys=True
+    if not columns:
+        empty = ("column_name string, count bigint, mean double, std double, min double, "
+                 "p25 double, p50 double, p75 double, max double")
+        return df.sparkSession.createDataFrame([], empty)
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    found = column_distributions(df, columns, "column_name", quartiles)
+    # One row per column, known to the optimizer.
+    names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name")
+    every = df.sparkSession.range(1).select(names)
+    return every.join(F.broadcast(found), "column_name", "left").select(
+        "column_name",
+        F.coalesce("count", F.lit(0).cast("long")).alias("count"),
+        "mean",
+        F.col("std_samp").alias("std"),
+        "min",
+        *quartiles,
+        "max",
     )
-    return moments.join(F.broadcast(quartiles), "column_name", "left")
 
 
 def categorical_profile(df: DataFrame, listed_below: int = LISTED_BELOW) -> DataFrame:

@@ -1,21 +1,23 @@
-"""Exact quantiles of groups of any size."""
+"""Moments and exact quantiles of groups of any size, from one histogram."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlens.storage import durable
 
-# Bins per factor e in magnitude: neighbouring edges differ by 0.1 % and by 0.000006 %.
-COARSE = 1 << 10
+# Bins per factor e in magnitude: neighbouring edges differ by 0.4 % and by 0.000006 %.
+COARSE = 1 << 8
 FINE = 1 << 24
+# Above minus the logarithm of the least positive double.
+SHIFT = 746
 
 
 def _bin(x: str, per_e_fold: int) -> str:
-    """A bin that never decreases with ``x``, whatever the data."""
+    """A bin that never decreases with ``x``, equally fine at every magnitude; 0 has its own."""
     # Never null, so that joins on it add no filter that would compute it once more.
-    magnitude = f"floor(log1p(least(abs({x}), 1e300D)) * {per_e_fold})"
+    magnitude = f"floor((ln(least(abs({x}), 1e308D)) + {SHIFT}) * {per_e_fold})"
     return f"coalesce(CAST(signum({x}) * {magnitude} AS BIGINT), 0L)"
 
 
@@ -30,14 +32,32 @@ def exact_quantiles(
     quantiles: dict[str, float],
     few_keys: bool = False,
 ) -> DataFrame:
-    """Linearly interpolated quantiles of the values that are not null or NaN, one row per key.
+    """Linearly interpolated quantiles of the values that are not null or NaN, one row per key."""
+    return distribution(df, keys, value, quantiles, few_keys).select(*keys, *quantiles)
+
+
+def distribution(
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    quantiles: dict[str, float],
+    few_keys: bool = False,
+    latest: tuple[Column, dict[str, str]] | None = None,
+) -> DataFrame:
+    """count, mean, std_pop, std_samp, min, max and quantiles per key, in two scans.
+
+    Nulls and NaN count in none of them, so all describe the same values.
 
     ``percentile`` keeps every distinct value of a group in one task's memory. Here a
     histogram over coarse bins, counted where the values lie, tells which bins hold the
     wanted ranks. Only values in those are looked at again: counted per fine bin, and
-    ordered in the fine bins with wanted ranks. ``few_keys`` states that the number of keys
-    is fixed and small; otherwise the list of bins, two per quantile and key at most, is
-    stored, so that Spark broadcasts it only if it measures small.
+    ordered in the fine bins with wanted ranks. Each bin also carries the mean and the squared
+    deviations of its values, which merge into those of the key without loss of digits.
+
+    ``latest`` is an order of rows and columns, output names to sources, to take from
+    the last row of each key. ``few_keys`` states that the number of keys
+    is fixed and small; otherwise Spark broadcasts the stored list of bins, two per
+    quantile and key at most, only if it measures small.
     """
     x = f"CAST({value} AS DOUBLE)"
     low = {name: f"floor({float(q)}D * (_n - 1))" for name, q in quantiles.items()}
@@ -46,22 +66,43 @@ def exact_quantiles(
     wanted = " OR ".join(_holds(rank, "_start", "_c") for rank in ranks)
 
     present = " AND ".join(f"{c} IS NOT NULL" for c in [*keys, x])
-    valued = df.where(f"{present} AND NOT isnan({x})").selectExpr(
-        *keys, f"{x} AS _x", f"{_bin(x, COARSE)} AS _bin"
-    )
+    usable = df.where(f"{present} AND NOT isnan({x})")
+    valued = usable.selectExpr(*keys, f"{x} AS _x", f"{_bin(x, COARSE)} AS _bin")
     by_key = f"PARTITION BY {', '.join(keys)}"
+    order, taken = latest or (None, {})
+    partial = [F.max("_order").alias("_order")] if taken else []
+    partial += [F.max_by(source, "_order").alias(f"_l_{name}") for name, source in taken.items()]
+    rows = usable.withColumn("_order", order) if taken else usable
     coarse = (
-        valued.groupBy(*keys, "_bin")
-        .agg(F.count("*").alias("_c"))
+        rows.withColumns({"_x": F.expr(x), "_bin": F.expr(_bin(x, COARSE))})
+        .groupBy(*keys, "_bin")
+        .agg(
+            F.count("*").alias("_c"),
+            F.avg("_x").alias("_m"),
+            F.var_pop("_x").alias("_v"),
+            F.min("_x").alias("_lo"),
+            F.max("_x").alias("_hi"),
+            *partial,
+        )
         .selectExpr(
-            *keys, "_bin", "_c",
+            "*",
             f"sum(_c) OVER ({by_key} ORDER BY _bin) - _c AS _start",
             f"sum(_c) OVER ({by_key}) AS _n",
+            f"sum(_c * _m) OVER ({by_key}) / sum(_c) OVER ({by_key}) AS _mean",
+        )
+        .selectExpr(
+            *keys, "_bin", "_c", "_start", "_n", "_mean",
+            f"sum(_c * (_v + (_m - _mean) * (_m - _mean))) OVER ({by_key}) AS _m2",
+            f"min(_lo) OVER ({by_key}) AS _min",
+            f"max(_hi) OVER ({by_key}) AS _max",
+            *[f"max_by(_l_{name}, _order) OVER ({by_key}) AS _l_{name}" for name in taken],
         )
         .where(wanted)
         .drop("_c")
     )
-    coarse = F.broadcast(coarse) if few_keys else durable(coarse)
+    described = durable(coarse)
+    coarse = described.select(*keys, "_bin", "_start", "_n")
+    coarse = F.broadcast(coarse) if few_keys else coarse
 
     group = [*keys, "_bin", "_start", "_n", "_fine"]
     counts = (
@@ -91,7 +132,7 @@ def exact_quantiles(
         *[value_at(rank, f"_low_{name}") for name, rank in low.items()],
         *[value_at(rank, f"_high_{name}") for name, rank in high.items()],
     )
-    return found.selectExpr(
+    found = found.selectExpr(
         *keys,
         *[
             f"_low_{name} + (_high_{name} - _low_{name}) * ({float(q)}D * (_n - 1) - {low[name]})"
@@ -99,3 +140,16 @@ def exact_quantiles(
             for name, q in quantiles.items()
         ],
     )
+    # Every key has a bin with a wanted rank, and each of its rows bears the key's moments.
+    moments = ["_n", "_mean", "_m2", "_min", "_max", *[f"_l_{name}" for name in taken]]
+    per_key = described.groupBy(*keys).agg(*[F.first(c).alias(c) for c in moments]).selectExpr(
+        *keys,
+        "_n AS count",
+        "_mean AS mean",
+        "sqrt(_m2 / _n) AS std_pop",
+        "CASE WHEN _n > 1 THEN sqrt(_m2 / (_n - 1)) END AS std_samp",
+        "_min AS min",
+        "_max AS max",
+        *[f"_l_{name} AS {name}" for name in taken],
+    )
+    return per_key.join(F.broadcast(found) if few_keys else found, keys)

@@ -69,6 +69,29 @@ def sample_fraction(readings: DataFrame, fraction: float, seed: int = 42) -> Dat
     return non_null_readings(readings).sample(fraction=fraction, seed=seed)
 
 
+def stratified_sample(
+    rows: DataFrame, n: int, label: str = "anomaly", seed: int = 42
+) -> DataFrame:
+    """At most ``n`` rows, of every label its share of them, rounded down; all if there are fewer.
+
+    A null label is a label of its own.
+    """
+    keyed = _keyed(rows, F.coalesce(F.col(label).cast("string"), F.lit("")), seed)
+    total = rows.agg(F.count("*").alias("_total")).first()[0]
+    if total <= n:
+        return rows
+    cuts = _cuts(
+        keyed.select("_stratum", "_key"),
+        lambda size: F.floor(size * F.lit(n / total)).cast("long"),
+    )
+    # One row per label.
+    return (
+        keyed.join(F.broadcast(cuts), "_stratum")
+        .where(F.col("_key") <= F.col("_cut"))
+        .drop("_stratum", "_key", "_cut")
+    )
+
+
 def stratified_split(
     rows: DataFrame, label: str = "anomaly", test_share: float = 0.2, seed: int = 42
 ) -> DataFrame:

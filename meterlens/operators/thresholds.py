@@ -7,33 +7,26 @@ from pyspark.sql import functions as F
 
 from meterlens.functions.numeric import fixed_text, severity
 from meterlens.operators.filters import available, non_null_readings
-from meterlens.operators.profile import column_statistics
-from meterlens.operators.quantiles import exact_quantiles
+from meterlens.operators.profile import column_distributions
 from meterlens.schema import DEFAULT_THRESHOLDS, FEATURES, THRESHOLDS
 
 
 def feature_thresholds(readings: DataFrame, features: list[str] | None = None) -> DataFrame:
     """mean, sample std, mean ± 3 std and quartiles of each available feature.
 
-    Rows without a reading are left out, other nulls only from their own column.
+    Rows without a reading are left out, other nulls and NaN only from their own column.
     """
     columns = available(readings, features or FEATURES)
-    usable = non_null_readings(readings).select(
-        *[F.col(c).cast("double").alias(c) for c in columns]
+    found = column_distributions(
+        non_null_readings(readings), columns, "parameter", {"q1": 0.25, "q3": 0.75}
     )
-    moments = column_statistics(
-        usable, columns, "parameter", {"mean": F.avg, "std": F.stddev_samp}
-    ).where(F.col("mean").isNotNull())
-    long = usable.unpivot([], columns, "parameter", "value")
-    quartiles = exact_quantiles(
-        long, ["parameter"], "value", {"q1": 0.25, "q3": 0.75}, few_keys=True
-    )
-    return moments.join(F.broadcast(quartiles), "parameter").select(
+    std = F.col("std_samp")
+    return found.select(
         "parameter",
         "mean",
-        "std",
-        (F.col("mean") - 3 * F.col("std")).alias("min"),
-        (F.col("mean") + 3 * F.col("std")).alias("max"),
+        std.alias("std"),
+        (F.col("mean") - 3 * std).alias("min"),
+        (F.col("mean") + 3 * std).alias("max"),
         "q1",
         "q3",
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,20 @@ from meterlens.operators import profile as R
 from meterlens.operators import sampling as S
 from meterlens.operators import sessions as W
 from meterlens.operators import thresholds as X
+from meterlens.operators.alerts import process_alerts
 from meterlens.operators.counting import trailing_count
 from meterlens.plans import reports
+from meterlens.schema import FEATURES, READINGS
 from meterlens.sources import tables
 from meterlens.sources.entry import validate_entries
 from meterlens.sources.events import readings as load
-from meterlens.sources.files import typed_readings
-from meterlens.storage import durable
+from meterlens.sources.files import (
+    head_csv,
+    judged_readings,
+    read_csv_checked,
+    split_judged,
+)
+from meterlens.storage import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,7 +49,6 @@ CAPACITY, ERROR_RATE = 10000, 0.1
 DEMO_CAPACITY, DEMO_ERROR_RATE = 1000, 0.01
 HOUR, DAY = 3600, 86400
 SAMPLE = 1000
-ROUNDS = 3
 
 
 def query(function: Query) -> Query:
@@ -58,14 +65,57 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-@query
-def ingest_readings(spark, folder):
-    """Readings as CSV text, NaN for missing numbers, brought back to types."""
-    rows = load(spark, folder)
+def readings_csv(spark, folder):
+    """Readings as CSV files, NaN for missing numbers, among them lines that can't be loaded.
+
+    Every 97th reading is written again without its last field, with a building that is no
+    number, and without a time; every 89th has a wind speed that is no number in a copy.
+    """
+    rows = load(spark, folder).select(*READINGS.names)
     numbers = [c for c in rows.columns if c not in ("timestamp", "primary_use")]
     text = {c: F.coalesce(F.col(c).cast("string"), F.lit("NaN")) for c in numbers}
     raw = rows.withColumns({**text, "timestamp": F.col("timestamp").cast("string")})
-    return typed_readings(raw)
+    row = F.col("row_id").cast("long")
+    path = f"{shared_folder(spark)}/meterlens/{uuid.uuid4().hex}"
+
+    def put(lines):
+        lines.write.mode("append").option("header", True).csv(path)
+
+    put(raw)
+    few = raw.where(row % 97 == 0)
+    put(few.drop("month"))
+    put(few.withColumn("building_id", F.concat(F.lit("b"), "building_id")))
+    put(few.withColumn("timestamp", F.lit("")))
+    put(raw.where(row % 89 == 0).withColumn("wind_speed", F.lit("calm")))
+    return read_csv_checked(spark, path, READINGS.names)
+
+
+@query
+def ingest_readings(spark, folder):
+    """CSV text parsed, typed and split; copies with one bad value are loaded without it."""
+    return split_judged(judged_readings(readings_csv(spark, folder)))[0]
+
+
+@query
+def ingest_rejects(spark, folder):
+    """The quarantine of the same files: reasons, how often, and how many were loaded."""
+    quarantine = split_judged(judged_readings(readings_csv(spark, folder)))[1]
+    reason = F.concat_ws(";", "reasons")
+    fields = F.size(F.split("line", ",", -1))
+    return quarantine.groupBy(reason.alias("reasons"), "loaded", fields.alias("fields")).agg(
+        F.count("*").alias("row_count"))
+
+
+@query
+def head_types(spark, folder):
+    """Types and values of the first 50 lines of the CSV files, inferred from these alone."""
+    rows = load(spark, folder).select("row_id", "meter_reading", "primary_use")
+    path = f"{shared_folder(spark)}/meterlens/{uuid.uuid4().hex}"
+    rows.orderBy("row_id").coalesce(1).write.option("header", True).csv(path)
+    head = head_csv(spark, path, 50)
+    kinds = F.create_map(*[F.lit(x) for pair in head.dtypes for x in pair])
+    return R.null_profile(head).select(
+        "column_name", kinds[F.col("column_name")].alias("data_type"), "non_null")
 
 
 @query
@@ -250,6 +300,12 @@ def insights(spark, folder):
     return rounded(reports.insights(load(spark, folder)), 9, "value")
 
 
+@query
+def full_analysis(spark, folder):
+    """All numbers of the full run over the non-null readings."""
+    return rounded(reports.flat_analysis(reports.complete_analysis(load(spark, folder))), 6, "value")
+
+
 @query
 def feature_thresholds(spark, folder):
     result = X.feature_thresholds(load(spark, folder))
@@ -429,11 +485,85 @@ def classification_report(spark, folder):
 @query
 def gbt_score(spark, folder):
     """Train on four fifths of the readings, score the last fifth."""
-    scored = C.scored_test_rows(load(spark, folder), rounds=ROUNDS)
+    scored = C.scored_test_rows(load(spark, folder))
     return scored.select("row_id", "anomaly", "prediction", "prediction_label", "confidence",
                          "probability_normal", "probability_anomaly", "anomaly_count")
 
 
+def consistent(scored):
+    """What holds for a scored row, whatever the trees have learned."""
+    normal, anomalous = F.col("probability_normal"), F.col("probability_anomaly")
+    prediction = F.col("prediction")
+    return scored.select(
+        "*",
+        (F.abs(normal + anomalous - 1) < 1e-9).alias("sums_to_one"),
+        (prediction == F.when(anomalous > normal, 1).otherwise(0)).alias("is_likelier"),
+        (F.col("confidence") == F.greatest(normal, anomalous)).alias("confidence_is_greater"),
+        (F.col("prediction_label") == F.when(prediction == 1, "Anomaly").otherwise("Normal")).alias(
+            "label_fits"),
+    )
+
+
+@query
+def gbt_facts(spark, folder):
+    """Which rows are scored, their explanations, and the consistency of their predictions."""
+    scored = C.scored_test_rows(load(spark, folder))
+    return consistent(scored).select(
+        "row_id", "anomaly", "anomaly_count", F.size("missing_features").alias("n_missing"),
+        "sums_to_one", "is_likelier", "confidence_is_greater", "label_fits")
+
+
+@query
+def classification_form(spark, folder):
+    """Every 50th reading as a classification form without cloud cover and pressure."""
+    rows = load(spark, folder)
+    model = C.train(C.training_set(rows))
+    forms = rows.where(F.col("row_id") % 50 == 0).select(
+        "row_id", "meter_reading", "primary_use", "square_feet", "floor_count", "year_built",
+        "air_temperature", "wind_speed", "dew_temperature", "hour",
+        F.col("weekday").alias("day_of_week"), "timestamp")
+    found = C.classify(model, forms)
+    in_range = F.col("anomaly_probability").between(0, 1)
+    fits = F.col("predicted_anomaly") == F.when(F.col("anomaly_probability") > 0.5, 1).otherwise(0)
+    return rounded(found.select(
+        "row_id", "known_type", in_range.alias("is_probability"), fits.alias("prediction_fits"),
+        "use_per_area", "building_age", "is_weekend", "is_business_hours"), 9, "use_per_area")
+
+
+@query
+def missing_features(spark, folder):
+    """Readings without two of the features: their names, and the zeros that stand for them."""
+    rows = events_only(spark, folder).drop("wind_speed")
+    typed = C.with_missing_features(rows, FEATURES)
+    return typed.select(
+        "row_id", F.concat_ws(",", "missing_features").alias("missing_features"),
+        "wind_speed", "square_feet", "floor_count", "meter_reading")
+
+
+@query
+def recent_detections(spark, folder):
+    """The latest rows of an anomalies table, each detected an hour after its reading."""
+    stored = tables.anomaly_rows(D.iqr(events_only(spark, folder)))
+    detected = stored.withColumn("detected_at", F.col("timestamp") + F.expr("INTERVAL 1 HOUR"))
+    return rounded(P.recent_detections(detected).drop("details"), 9, "anomaly_score")
+
+
+@query
+def iso_times(spark, folder):
+    return events_only(spark, folder).select(
+        "row_id", numeric.iso_text(F.col("timestamp")).alias("iso"))
+
+
+@query
+def row_compare(spark, folder):
+    """Rounded readings of odd and of all rows as multisets: copies count as often as they occur."""
+    rows = events_only(spark, folder).select(
+        "row_id", "hour", "wind_speed", F.floor("meter_reading").alias("reading"))
+    odd = rows.where("row_id % 2 = 1").drop("row_id")
+    few = rows.where("row_id % 3 = 0").withColumn("extra", F.lit(1))
+    return P.row_compare(odd, few)
+
+
 def labelled_items(spark, folder):
     rows = P.labeled_anomalies(events_only(spark, folder))
     return rows.select("row_id", "building_id", "timestamp", "meter_reading")
@@ -482,18 +612,17 @@ def exact_dedup(spark, folder):
     return B.exact_dedup(labelled_items(spark, folder), B.reading_item())
 
 
+def scored_alerts(spark, folder):
+    scored = D.three_sigma(events_only(spark, folder)).where(F.col("anomaly") == 1)
+    return scored.select("row_id", "building_id", "timestamp",
+                         F.col("confidence").alias("anomaly_score"))
+
+
 @query
 def alert_dedup(spark, folder):
     """Labelled readings as alerts scored by 3-sigma: de-duplicated, counted per hour."""
-    scored = D.three_sigma(events_only(spark, folder)).where(F.col("anomaly") == 1)
-    alerts = scored.select("row_id", "building_id", "timestamp",
-                           F.col("confidence").alias("anomaly_score"))
-    marked = durable(B.bloom_dedup(alerts, B.alert_item(), CAPACITY, 0.01))
-    fresh = marked.select(
-        F.lit(0).alias("stream"), "timestamp", (~F.col("is_duplicate")).cast("int").alias("bit")
-    )
-    counts = trailing_count(fresh, ["stream"], HOUR).drop("stream")
-    return marked.drop("anomaly_score").join(counts, "timestamp")
+    processed, _ = process_alerts(scored_alerts(spark, folder), CAPACITY, 0.01, HOUR)
+    return processed.drop("anomaly_score")
 
 
 def anomaly_bits(spark, folder):

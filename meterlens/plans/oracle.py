@@ -6,7 +6,7 @@ import re
 
 from meterlens.functions.hashing import bloom_size
 from meterlens.plans import catalog as Q
-from meterlens.schema import DEFAULT_THRESHOLDS, FEATURES
+from meterlens.schema import DEFAULT_THRESHOLDS, FEATURES, PRIMARY_USES
 
 READINGS = """
 SELECT e.event_id AS row_id, e.user_id AS building_id, e.ts AS "timestamp",
@@ -330,7 +330,21 @@ SELECT row_id, building_id * 2 - 5 AS building_id, meter_reading - 0.5 AS meter_
 FROM r"""
 
 Q_ORACLES = {
-    "ingest_readings": "SELECT * FROM r",
+    "ingest_readings": """SELECT * FROM r UNION ALL
+SELECT * REPLACE (CAST(NULL AS DOUBLE) AS wind_speed) FROM r WHERE row_id % 89 = 0""",
+    "iso_times": """SELECT row_id, strftime("timestamp", '%Y-%m-%dT%H:%M:%S') AS iso FROM r""",
+    "missing_features": """SELECT row_id, 'wind_speed,square_feet,floor_count' AS missing_features,
+  CAST(0 AS DOUBLE) AS wind_speed, CAST(0 AS DOUBLE) AS square_feet,
+  CAST(0 AS DOUBLE) AS floor_count, meter_reading FROM r""",
+    "recent_detections": """SELECT building_id, "timestamp", meter_reading,
+  round(iqr_confidence, 9) AS anomaly_score, 'iqr' AS detection_method,
+  "timestamp" + INTERVAL 1 HOUR AS detected_at FROM judged WHERE iqr_anomaly
+ORDER BY detected_at DESC, building_id, "timestamp" DESC LIMIT 20""",
+    "classification_form": f"""SELECT row_id, primary_use IN ({', '.join(repr(u) for u in PRIMARY_USES)})
+  AS known_type, true AS is_probability, true AS prediction_fits,
+  round(CASE WHEN square_feet > 0 THEN meter_reading / square_feet END, 9) AS use_per_area,
+  CAST(2025 - year_built AS INTEGER) AS building_age, "weekday" >= 5 AS is_weekend,
+  "hour" BETWEEN 8 AND 18 AS is_business_hours FROM r WHERE row_id % 50 = 0""",
     "table_counts": """SELECT 'meter_readings' AS table_name, count(*) AS row_count FROM r
 UNION ALL SELECT 'anomalies', count(*) FROM judged WHERE sigma_anomaly""",
     "entry_validate": f"SELECT *, errors = '' AS is_valid FROM ({ENTRY})",
@@ -528,12 +542,47 @@ FROM (SELECT building_id, count(*) FILTER (anomaly = 1) AS ones FROM r GROUP BY
 
 LABELS = ['Very Cold', 'Cold', 'Moderate', 'Warm', 'Hot']
 EXTRA = {
+    "row_compare": (
+        """
+rounded_rows AS (SELECT row_id, "hour", wind_speed, CAST(floor(meter_reading) AS BIGINT) AS reading FROM r),
+odd AS (SELECT "hour", wind_speed, reading FROM rounded_rows WHERE row_id % 2 = 1),
+few AS (SELECT "hour", wind_speed, reading FROM rounded_rows WHERE row_id % 3 = 0),
+both_sides AS (SELECT "hour", wind_speed, reading, CAST(sum(l) AS BIGINT) AS l, CAST(sum(x) AS BIGINT) AS x
+  FROM (SELECT *, 1 AS l, 0 AS x FROM odd UNION ALL SELECT *, 0, 1 FROM few) GROUP BY ALL)""",
+        """SELECT "hour", wind_speed, reading, least(l, x) AS in_both,
+  greatest(l - x, 0) AS left_only, greatest(x - l, 0) AS right_only FROM both_sides""",
+    ),
+    "gbt_facts": (
+        f"""\nlong_all AS ({long_features('r')}),
+split AS ({Q_ORACLES['stratified_split']}),
+outside AS ({OUTSIDE.format('thresholds')})""",
+        """SELECT s.row_id, s.anomaly, CAST(count(o.parameter) AS INTEGER) AS anomaly_count,
+  0 AS n_missing, true AS sums_to_one, true AS is_likelier, true AS confidence_is_greater,
+  true AS label_fits FROM split s LEFT JOIN outside o ON o.row_id = s.row_id
+WHERE s.is_test GROUP BY 1, 2""",
+    ),
+    "ingest_rejects": (
+        "\nfew AS (SELECT * FROM r WHERE row_id % 97 = 0)",
+        """SELECT reasons, loaded, fields, count(*) AS row_count FROM (
+  SELECT 'line does not fit the header' AS reasons, false AS loaded, 17 AS fields FROM few
+  UNION ALL SELECT 'building_id: b' || building_id, false, 18 FROM few
+  UNION ALL SELECT 'timestamp: missing', false, 18 FROM few
+  UNION ALL SELECT 'wind_speed: calm', true, 18 FROM r WHERE row_id % 89 = 0
+) GROUP BY ALL""",
+    ),
+    "head_types": (
+        "\nhead AS (SELECT * FROM r ORDER BY row_id LIMIT 50)",
+        """SELECT 'row_id' AS column_name, 'int' AS data_type, count(row_id) AS non_null FROM head
+UNION ALL SELECT 'meter_reading', 'double', count(meter_reading) FROM head
+UNION ALL SELECT 'primary_use', 'string', count(primary_use) FROM head""",
+    ),
     "insights": (INSIGHTS, "SELECT kind, subject, round(value, 9) AS value FROM found"),
     "temperature_ranges": (
         BINNED,
-        f"""SELECT bin, round(avg(meter_reading), 9) AS mean,
-  round(stddev_samp(meter_reading), 9) AS std, count(*) AS "count", ({LABELS})[bin] AS temp_range
-FROM binned GROUP BY bin""",
+        f"""SELECT CAST(g.bin AS INTEGER) AS bin, round(avg(meter_reading), 9) AS mean,
+  round(stddev_samp(meter_reading), 9) AS std, count(meter_reading) AS "count",
+  ({LABELS})[g.bin] AS temp_range
+FROM range(1, 6) g(bin) LEFT JOIN binned b ON b.bin = g.bin GROUP BY g.bin""",
     ),
     "anomalous_parameters": (
         f"\nlong_all AS ({long_features('r')})",
@@ -586,3 +635,76 @@ FROM items JOIN marked USING (row_id)""",
 
 ORACLES = {name: with_common(body) for name, body in Q_ORACLES.items()}
 ORACLES.update({name: with_common(body, extra) for name, (extra, body) in EXTRA.items()})
+
+# The tables of the full run: report, table, query, subject and numbers of each.
+FULL_RUN = [
+    ("weather", "correlations", "weather_correlation", "NULL",
+     ["sample_size", "temperature", "wind_speed", "cloud_coverage"]),
+    ("weather", "temperature_ranges", "temperature_ranges", "temp_range",
+     ["bin", "mean", "std", "count"]),
+    ("weather", "trend", "weather_trend", "measure",
+     ["points", "slope", "intercept", "x_min", "x_max", "y_min", "y_max"]),
+    ("buildings", "types", "type_performance", "primary_use",
+     ["meter_reading_mean", "meter_reading_std", "meter_reading_count", "anomaly_sum",
+      "square_feet_mean", "anomaly_rate", "consumption_per_sqft"]),
+    ("buildings", "sizes", "size_performance", "size_category",
+     ["mean", "count", "anomalies", "anomaly_rate"]),
+    ("temporal", "hours", "hourly_patterns", "hour", ["mean", "count", "anomalies"]),
+    ("temporal", "weekdays", "weekday_patterns", "day_name",
+     ["weekday", "mean", "count", "anomalies"]),
+    ("temporal", "months", "monthly_patterns", "month", ["mean", "count", "anomalies"]),
+    ("anomalies", "comparison", "anomaly_comparison", "NULL",
+     ["total_readings", "total_anomalies", "anomaly_rate", "anomaly_avg", "normal_avg",
+      "difference", "percent_difference"]),
+    ("anomalies", "types", "anomaly_by_type", "primary_use", ["anomalies", "total", "rate"]),
+    ("insights", "insights", "insights", "kind", ["value"]),
+]
+
+
+def full_run() -> str:
+    """Every number of the full run, which reads the usable readings only."""
+    def over_usable(name: str) -> str:
+        extra, body = EXTRA.get(name) or ("", Q_ORACLES[name])
+        extra, body = (re.sub(r"\bFROM\s+r\b", "FROM usable", x) for x in (extra, body))
+        return with_common(body, extra)
+
+    numbers = [
+        f"""SELECT '{report}' AS report, '{table}' AS table_name,
+  CAST("{subject}" AS VARCHAR) AS subject, '{measure}' AS measure, CAST("{measure}" AS DOUBLE) AS value
+FROM ({over_usable(name)})""".replace('"NULL"', "NULL")
+        for report, table, name, subject, measures in FULL_RUN for measure in measures
+    ]
+    peaks = f"""SELECT 'temporal', 'peak_hours', CAST("hour" AS VARCHAR), 'listed', 1.0
+FROM ({over_usable('hourly_patterns')}) WHERE is_peak"""
+    return f"""SELECT report, table_name, subject, measure, round(value, 6) AS value
+FROM ({' UNION ALL '.join([*numbers, peaks])}) WHERE value IS NOT NULL"""
+
+
+ORACLES["full_analysis"] = full_run()
+
+# Buckets after each bit of a building, newest first. The leading levels with two buckets, k of
+# them, move up: the new bucket is followed by each such level's newer one at double size.
+ORACLES["dgim_count"] = with_common("SELECT * FROM estimated", f"""
+bits AS (SELECT building_id, "timestamp", anomaly = 1 AS one, epoch_us("timestamp") AS t,
+    row_number() OVER (PARTITION BY building_id ORDER BY "timestamp", row_id) AS i FROM r),
+folded AS (
+  SELECT DISTINCT building_id, CAST(0 AS BIGINT) AS i,
+    CAST([] AS STRUCT(t BIGINT, size BIGINT)[]) AS b FROM bits
+  UNION ALL
+  SELECT f.building_id, n.i, list_filter(CASE WHEN n.one THEN list_concat(
+      [struct_pack(t := n.t, size := CAST(1 AS BIGINT))],
+      list_transform(range(f.k), lambda j: struct_pack(
+        t := f.b[2 * j + 1].t, size := 2 * f.b[2 * j + 1].size)),
+      f.b[2 * f.k + 1:]) ELSE f.b END, lambda x: x.t >= n.t - {14 * Q.DAY * 1_000_000})
+  FROM (SELECT *, len(list_filter(range(40), lambda j: len(b) >= 2 * j + 2
+          AND b[2 * j + 2].size = CAST(1 AS BIGINT) << j)) AS k FROM folded) f
+  JOIN bits n ON n.building_id = f.building_id AND n.i = f.i + 1),
+ends AS (SELECT building_id, count(*) AS total_bits, max("timestamp") AS last_time FROM bits GROUP BY 1),
+sizes AS (SELECT f.building_id, total_bits, last_time, list_transform(b, lambda x: x.size) AS s
+  FROM folded f JOIN ends l ON l.building_id = f.building_id AND l.total_bits = f.i),
+estimated AS (SELECT building_id, total_bits, last_time,
+  CAST(coalesce(list_sum(s), 0) - coalesce(list_sum(list_transform(list_distinct(s),
+    lambda x: x - (x >> 1))), 0) AS BIGINT) AS estimate_per_size,
+  CAST(coalesce(list_sum(s), 0) - coalesce(list_max(s) - (list_max(s) >> 1), 0) AS BIGINT)
+    AS estimate_classic,
+  CAST(len(s) AS INTEGER) AS bucket_count, CAST(len(s) * 16 AS INTEGER) AS memory_bytes FROM sizes)""").replace("WITH ", "WITH RECURSIVE ", 1)

@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.functions.numeric import guarded_corr
 from meterlens.operators import aggregates as A
 from meterlens.operators import filters as P
 from meterlens.operators.filters import project_readings
+from meterlens.operators.rollup import WEATHER, part, rollup, weather_moments
 from meterlens.operators.sampling import sample_readings
 from meterlens.storage import durable
 
@@ -61,49 +61,76 @@ def anomaly_feed(
     return {"labeled": labelled, "detected": detected, "counts": counts}
 
 
-def weather_report(readings: DataFrame) -> dict[str, DataFrame]:
+def weather_report(readings: DataFrame, wind: bool = True) -> dict[str, DataFrame]:
+    """Correlations, temperature bins and lines, in two scans."""
+    moments = weather_moments(readings, wind)
+    bounds = moments.select(
+        F.col("air_temperature_min").alias("_lo"),
+        F.col("air_temperature_max").alias("_hi"),
+        F.col("sample_size").alias("_n"),
+    )
+    line = ["points", "slope", "intercept", "min", "max"]
+    lines = moments.select(F.inline(F.array(*[
+        F.struct(F.lit(m).alias("measure"), *[F.col(f"{m}_{c}").alias(c) for c in line])
+        for m in WEATHER
+    ]))).where(F.col("points") > 0)
+    ends = {
+        f"y_{end}": F.col("intercept") + F.col("slope") * F.col(f"x_{end}") for end in ("min", "max")
+    }
     return {
-        "correlations": A.weather_correlation(readings),
-        "temperature_ranges": A.temperature_ranges(readings),
-        "trend": A.weather_trend(readings),
+        "correlations": A.correlations(moments, wind),
+        "temperature_ranges": A.temperature_ranges(readings, wind, bounds=bounds),
+        "trend": lines.withColumnsRenamed({"min": "x_min", "max": "x_max"}).withColumns(ends),
     }
 
 
 def weather_dashboard(readings: DataFrame) -> dict[str, DataFrame]:
     """The dashboard form: wind may be missing, undefined correlations are 0."""
-    return {
-        "correlations": A.weather_correlation(readings, wind=False),
-        "temperature_ranges": A.temperature_ranges(readings, wind=False),
-        "trend": A.weather_trend(readings, wind=False),
-    }
+    return weather_report(readings, wind=False)
 
 
-def building_report(readings: DataFrame) -> dict[str, DataFrame]:
+def building_report(base: DataFrame) -> dict[str, DataFrame]:
+    """By type and size, from the rolled-up measures."""
     return {
-        "types": A.type_performance(readings),
-        "sizes": A.size_performance(readings),
+        "types": A.rated_types(part(base, "primary_use")),
+        "sizes": A.rated_sizes(_patterns(base, "size_category")),
     }
 
 
-def temporal_report(readings: DataFrame) -> dict[str, DataFrame]:
-    hours = A.hourly_patterns(readings)
+def _patterns(base: DataFrame, dimension: str) -> DataFrame:
+    return part(base, dimension).select(
+        dimension, "mean", F.col("readings").alias("count"), "anomalies")
+
+
+def temporal_report(base: DataFrame) -> dict[str, DataFrame]:
+    """By hour, weekday and month, from the rolled-up measures."""
+    overall = part(base).select(F.col("mean").alias("_overall"))
+    hours = A.marked_hours(_patterns(base, "hour"), overall)
     return {
         "hours": hours,
-        "weekdays": A.weekday_patterns(readings),
-        "months": A.monthly_patterns(readings),
+        "weekdays": A.named_days(_patterns(base, "weekday")),
+        "months": _patterns(base, "month"),
         "peak_hours": hours.where("is_peak").select("hour"),
     }
 
 
-def anomaly_report(readings: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "comparison": A.anomaly_comparison(readings),
-        "types": A.anomaly_by_type(readings),
-    }
+def anomaly_report(base: DataFrame) -> dict[str, DataFrame]:
+    """Anomalies against normal readings and by type, from the rolled-up measures."""
+    types = part(base, "primary_use").select(
+        "primary_use", F.col("anomalous").alias("anomalies"), F.col("rows").alias("total"))
+    return {"comparison": A.compared(part(base)), "types": A.most_anomalous_types(types)}
+
 
+def insights(
+    readings: DataFrame, base: DataFrame | None = None, min_hours: int = MIN_HOURS
+) -> DataFrame:
+    """One row (kind, subject, value) per finding that applies, in one scan of the readings.
+
+    ``base`` is their ``rollup``, if there is one. A peak hour needs more than ``min_hours``
+    different hours.
+    """
+    base = rollup(readings) if base is None else base
 
-def insights(readings: DataFrame) -> DataFrame:
-    """One row (kind, subject, value) per finding that applies."""
     def finding(rows: DataFrame, kind: str, subject, value) -> DataFrame:
         return rows.select(
             F.lit(kind).alias("kind"),
@@ -111,36 +138,24 @@ def insights(readings: DataFrame) -> DataFrame:
             value.cast("double").alias("value"),
         )
 
-    mean = F.avg("meter_reading")
-    types = (
-        readings.where(F.col("primary_use").isNotNull())
-        .groupBy("primary_use")
-        .agg(mean.alias("mean"))
-        .where(F.col("mean").isNotNull())
-    )
+    types = part(base, "primary_use").where(F.col("mean").isNotNull())
     # Equal means: the first name in the alphabet, at either end.
     ends = types.agg(
         F.count("*").alias("n"),
         F.min(F.struct("mean", "primary_use")).alias("low"),
         F.min(F.struct((-F.col("mean")).alias("minus"), "primary_use")).alias("high"),
     ).where(F.col("n") > 1)
-    worst = A.worst_building(readings)
-    correlation = readings.agg(
-        guarded_corr(F.col("meter_reading"), F.col("air_temperature")).alias("r")
-    ).where(F.abs("r") > NOTABLE_CORRELATION)
+    worst = A.most_anomalous_building(
+        part(base, "building_id").select("building_id", F.col("anomalies").alias("anomaly_count")))
+    correlation = part(base).select(F.col("temperature_r").alias("r")).where(
+        F.abs("r") > NOTABLE_CORRELATION)
     direction = F.when(F.col("r") > 0, "increases").otherwise("decreases")
-    hours = (
-        readings.where(F.col("hour").isNotNull())
-        .groupBy("hour")
-        .agg(mean.alias("mean"))
-        .agg(
-            F.count("*").alias("n"),
-            F.min(
-                F.when(F.col("mean").isNotNull(), F.struct((-F.col("mean")).alias("minus"), "hour"))
-            ).alias("top"),
-        )
-        .where(F.col("n") > MIN_HOURS)
-    )
+    hours = part(base, "hour").agg(
+        F.count("*").alias("n"),
+        F.min(
+            F.when(F.col("mean").isNotNull(), F.struct((-F.col("mean")).alias("minus"), "hour"))
+        ).alias("top"),
+    ).where(F.col("n") > min_hours)
     findings = [
         finding(ends, "most_efficient_type", F.col("low.primary_use"), F.col("low.mean")),
         finding(ends, "least_efficient_type", F.col("high.primary_use"), -F.col("high.minus")),
@@ -156,18 +171,53 @@ def complete_analysis(
 ) -> dict[str, dict[str, DataFrame]]:
     """All reports over the non-null readings, or a sample; nothing below ``min_rows`` rows.
 
-    A sample is stored once. The full table is not cached: every report scans only the few
-    columns it needs, which costs less than keeping all of them.
+    A sample is stored once. The full table is scanned three times: for the rolled-up
+    measures, the weather, and the temperature bins.
     """
     rows = project_readings(readings)
     if sample_size is not None:
         rows = durable(project_readings(sample_readings(readings, sample_size)))
     if rows.limit(min_rows).count() < min_rows:
         return {}
+    base = rollup(rows)
     return {
         "weather": weather_report(rows),
-        "buildings": building_report(rows),
-        "temporal": temporal_report(rows),
-        "anomalies": anomaly_report(rows),
-        "insights": {"insights": insights(rows)},
+        "buildings": building_report(base),
+        "temporal": temporal_report(base),
+        "anomalies": anomaly_report(base),
+        "insights": {"insights": insights(rows, base)},
     }
+
+
+# The column that names a row of each table of the full run; others have one row.
+SUBJECTS = {
+    ("weather", "temperature_ranges"): "temp_range",
+    ("weather", "trend"): "measure",
+    ("buildings", "types"): "primary_use",
+    ("buildings", "sizes"): "size_category",
+    ("temporal", "hours"): "hour",
+    ("temporal", "weekdays"): "day_name",
+    ("temporal", "months"): "month",
+    ("temporal", "peak_hours"): "hour",
+    ("anomalies", "types"): "primary_use",
+    ("insights", "insights"): "kind",
+}
+
+
+def flat_analysis(results: dict[str, dict[str, DataFrame]]) -> DataFrame | None:
+    """All numbers of a full run as rows (report, table_name, subject, measure, value)."""
+    parts = []
+    for report, tables in results.items():
+        for name, rows in tables.items():
+            subject = SUBJECTS.get((report, name))
+            named = F.col(subject).cast("string") if subject else F.lit(None).cast("string")
+            kinds = dict(rows.dtypes)
+            numbers = [c for c in rows.columns if c != subject and kinds[c] not in ("string", "boolean")]
+            if not numbers:  # a list of subjects
+                rows, numbers = rows.withColumn("listed", F.lit(1)), ["listed"]
+            long = rows.select(
+                F.lit(report).alias("report"), F.lit(name).alias("table_name"),
+                named.alias("subject"), *[F.col(c).cast("double").alias(c) for c in numbers],
+            ).unpivot(["report", "table_name", "subject"], numbers, "measure", "value")
+            parts.append(long.where(F.col("value").isNotNull()))
+    return reduce(DataFrame.unionByName, parts) if parts else None

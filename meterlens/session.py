@@ -17,8 +17,24 @@ SETTINGS = {
 }
 
 
-def session_builder(name: str = "meterlens") -> SparkSession.Builder:
+# Bytes of a shuffle that one task should read.
+TASK_BYTES = 256 << 20
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions for shuffles of as many bytes as the input; fewer are merged at run time."""
+    return max(200, -(-input_bytes // TASK_BYTES))
+
+
+def session_builder(name: str = "meterlens", input_bytes: int | None = None) -> SparkSession.Builder:
+    """A builder with these settings; ``input_bytes``, if known, sizes the shuffles.
+
+    Spark's 200 partitions would each get half a terabyte of a 100 TB sort. Adaptive execution
+    merges small partitions but doesn't make more of them.
+    """
     builder = SparkSession.builder.appName(name)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes))
     return builder

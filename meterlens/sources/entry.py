@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlens.sources.tables import write_readings
+from meterlens.sources.tables import write_batch, write_readings
 
 # The last id of the buildings known from the start, and default types.
 LAST_KNOWN_BUILDING = 199
@@ -45,14 +45,17 @@ def split_entries(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def store_entries(
-    entries: DataFrame, readings_path: str, rejected_path: str, mode: str = "append"
+    entries: DataFrame, readings_path: str, rejected_path: str, batch: str | None = None
 ) -> None:
-    """Write accepted rows as readings and keep the rejected ones with their errors."""
+    """Add accepted rows to the readings and keep the rejected ones with their errors.
+
+    Entries of the same named ``batch`` are replaced in both tables.
+    """
     accepted, rejected = split_entries(validate_entries(entries))
     stamped = (
         accepted.withColumn("hour", F.hour("timestamp"))
         .withColumn("weekday", F.weekday("timestamp"))
         .withColumn("month", F.month("timestamp"))
     )
-    write_readings(stamped, readings_path, mode=mode)
-    rejected.write.mode(mode).parquet(rejected_path)
+    write_readings(stamped, readings_path, "append", batch)
+    write_batch(rejected, rejected_path, batch)

@@ -24,8 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` once and read it back.
+def durable(df: DataFrame, *partitions: str) -> DataFrame:
+    """Write ``df`` once and read it back, in a folder per value of ``partitions`` if named.
 
     The lineage ends at the written table, so losing an executor repeats nothing, and
     Catalyst then plans with the measured file size: it broadcasts the table only when
@@ -33,5 +33,6 @@ def durable(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/meterlens/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partitions) if partitions else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -15,7 +15,7 @@ from meterlens.operators.sessions import (
     tumbling_counts,
 )
 from meterlens.sources.entry import store_entries
-from meterlens.sources.tables import anomaly_rows
+from meterlens.sources.tables import append_anomalies, batch_name, write_batch
 
 
 def read_stream(
@@ -74,11 +74,11 @@ def append_entries_stream(
 ) -> DataStreamWriter:
     """Validate entered readings per micro-batch; accepted and rejected go to two tables.
 
-    Each batch has a folder of its own, so running it again replaces what it wrote.
+    The tables are those of ``store_entries`` and ``write_readings``: loads, forms and
+    streams add batches to the same folders, and a batch run again replaces its own.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        part = f"batch={batch_id}"
-        store_entries(batch, f"{readings_path}/{part}", f"{rejected_path}/{part}", "overwrite")
+        store_entries(batch, readings_path, rejected_path, batch_name(checkpoint, batch_id))
 
     return entries.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
@@ -86,17 +86,25 @@ def append_entries_stream(
 def append_anomalies_stream(
     results: DataFrame, path: str, checkpoint: str
 ) -> DataStreamWriter:
-    """Append the flagged readings of a stream to the anomalies table, exactly once."""
-    writer = anomaly_rows(results).writeStream.format("parquet").option("path", path)
-    return writer.option("checkpointLocation", checkpoint)
+    """Add the flagged readings of a stream to the anomalies table, each batch once.
 
+    A file sink would keep a list of its own files, and a reader who finds it sees no others.
+    Here every batch is a folder like that of a batch run, replaced if it runs again.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_anomalies(batch, path, batch_name(checkpoint, batch_id))
+
+    return results.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
-def batch_stats(batch: DataFrame, batch_id: int, path: str) -> None:
+
+def batch_stats(batch: DataFrame, batch_id: int, path: str, name: str) -> None:
     """Store rows and duplicates of a de-duplicated micro-batch as stream statistics."""
     names = ["processed", "duplicates"]
     counts = batch.agg(
         F.count("*").cast("double").alias("processed"),
         F.count_if("is_duplicate").cast("double").alias("duplicates"),
     ).unpivot([], names, "metric", "value")
-    stamped = counts.withColumn("timestamp", F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    stamped = counts.withColumns(
+        {"timestamp": F.current_timestamp(), "batch_id": F.lit(batch_id).cast("long")}
+    )
+    write_batch(stamped, path, name)

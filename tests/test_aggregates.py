@@ -25,7 +25,12 @@ def test_weather_needs_100_rows(make_readings):
     assert A.weather_correlation(rows(99)).count() == 0
     assert A.temperature_ranges(rows(99)).count() == 0
     assert A.weather_correlation(rows(99), min_rows=0).first().sample_size == 99
-    assert A.temperature_ranges(rows(99), min_rows=0).count() == 5
+    bins = A.temperature_ranges(rows(99), min_rows=0).orderBy("bin").collect()
+    assert [r.bin for r in bins] == [1, 2, 3, 4, 5] and sum(r["count"] for r in bins) == 99
+    empty = [(r["mean"], r.std) for r in bins if r["count"] == 0]
+    assert empty == [(None, None)]
+    assert A.temperature_ranges(rows(99), wind=False, min_rows=0).count() == 4
+    assert A.temperature_ranges(rows(0), min_rows=0).count() == 0
     row = A.weather_correlation(rows(100)).first()
     x = np.arange(100.0)
     assert row.temperature == pytest.approx(np.corrcoef(x, x * x % 17)[0, 1])
@@ -110,6 +115,50 @@ def test_merge_keys(spark):
     assert sides == {"row_id": "common", "v": "common", "w": "right only"}
 
 
+def test_rows_as_multisets(spark):
+    schema = "a int, b string, {} int"
+    left = spark.createDataFrame([(1, "x", 0)] * 3 + [(2, None, 0), (3, "z", 0)], schema.format("l"))
+    right = spark.createDataFrame([(1, "x", 5), (2, None, 6), (2, None, 7), (4, "w", 8)], schema.format("r"))
+    found = {r.a: (r.b, r.in_both, r.left_only, r.right_only) for r in P.row_compare(left, right).collect()}
+    assert found == {1: ("x", 1, 2, 0), 2: (None, 1, 0, 1), 3: ("z", 0, 1, 0), 4: ("w", 0, 0, 1)}
+    with pytest.raises(ValueError):
+        P.row_compare(left.select("l"), right)
+    sides = {r.column_name: (r.left_type, r.right_type, r.side) for r in P.schema_sides(
+        left, right.withColumn("a", F.col("a").cast("long"))).collect()}
+    assert sides == {"a": ("int", "bigint", "common"), "b": ("string", "string", "common"),
+                     "l": ("int", None, "left only"), "r": (None, "int", "right only")}
+
+
+def test_nan_is_missing_in_all_statistics(spark, make_readings):
+    nan = float("nan")
+    df = make_readings([{"meter_reading": x, "air_temperature": x} for x in (1.0, nan, 3.0, None)])
+    stats = A.building_statistics(df).first()
+    assert (stats["count"], stats["mean"], stats["std"], stats["min"], stats["max"], stats["median"]) == (
+        2, 2.0, 1.0, 1.0, 3.0, 2.0)
+    moments = A.building_moments(df).first()
+    assert {c: moments[c] for c in moments.asDict()} == {
+        c: stats[c] for c in ("building_id", "mean", "std", "min", "max", "count")}
+    described = {r.column_name: r for r in R.numeric_describe(df).collect()}
+    row = described["meter_reading"]
+    assert (row["count"], row["mean"], row["p50"], row["max"]) == (2, 2.0, 2.0, 3.0)
+    assert row["std"] == pytest.approx(2 ** 0.5)
+    empty = R.numeric_describe(df.where("false")).collect()
+    assert {r["count"] for r in empty} == {0} and {r["mean"] for r in empty} == {None}
+    limits = {r.parameter: r for r in X.feature_thresholds(df).collect()}
+    assert (limits["air_temperature"]["mean"], limits["air_temperature"]["q1"]) == (2.0, 1.5)
+    latest = A.building_statistics(df, latest=True).first()
+    assert (latest.meter_reading, latest.timestamp) == (3.0, START + dt.timedelta(hours=2))
+
+
+def test_merged_moments_keep_their_digits(make_readings):
+    """Squared deviations merge over bins: large values that hardly differ keep their spread."""
+    values = [1e9 + i % 7 for i in range(400)] + [-1e9 - i % 3 for i in range(100)]
+    for part in (values[:400], values):
+        row = A.building_statistics(make_readings([{"meter_reading": v} for v in part])).first()
+        assert row["mean"] == pytest.approx(np.mean(part), rel=1e-12)
+        assert row["std"] == pytest.approx(np.std(part), rel=1e-7)
+
+
 def test_profile(spark):
     rows = [(1, "a", None), (2, "b", 1), (3, "a", 0)]
     df = spark.createDataFrame(rows, "n int, t string, my_label int")

@@ -8,11 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from meterlens.plans.catalog import QUERIES
+from meterlens.plans.oracle import ORACLES
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
-# Trained trees and sketch states have no SQL twin; they are tested on their own.
-WITHOUT_SQL = {"gbt_score", "dgim_count"}
+# Trained trees have no SQL twin; they are tested on their own.
+WITHOUT_SQL = {"gbt_score"}
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +42,8 @@ def test_same_rows_as_sql(spark, folder, database, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_sketch_query_runs(spark, folder):

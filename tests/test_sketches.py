@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,18 @@ def test_dedup_joins_large_filters(spark, monkeypatch):
     df = spark.createDataFrame(rows, ITEM_SCHEMA)
     marked = B.bloom_dedup(df, F.col("name"), CAPACITY, ERROR)
     assert {r.row_id: r.is_duplicate for r in marked.collect()} == expected
+    # Four hashes, one join on bits; the other brings items back to their rows.
+    plan = marked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert len(re.findall(r"Join \[bit#", plan)) == 1
+    assert len(re.findall(r"(?:SortMerge|ShuffledHash|BroadcastHash)Join ", plan)) == 2
+    with_null = df.unionByName(spark.createDataFrame([(900, START, None)], ITEM_SCHEMA))
+    flags = {r.row_id: r.is_duplicate for r in B.bloom_dedup(
+        with_null, F.col("name"), CAPACITY, ERROR).collect()}
+    assert len(flags) == 301 and flags[900] is not None
+    bits = B.bloom_build(df.where("row_id < 100"), F.col("name"), CAPACITY, ERROR)
+    filled = {r.bit for r in bits.collect()}
+    for r in B.bloom_probe(df, F.col("name"), bits, CAPACITY, ERROR).collect():
+        assert r.maybe_present == (bits_of(r.name, 1870, 4) <= filled)
 
 
 def test_known_bits_and_probe(spark):
@@ -164,6 +177,28 @@ def test_dgim_equals_one_by_one(spark, window, max_rows):
         assert counted[key].memory_bytes == 16 * len(model.buckets)
 
 
+def test_a_hot_key_is_folded_in_chunks(spark, monkeypatch):
+    """One key with nearly all bits: no fold sees more than a chunk, the state is handed on."""
+    rng = random.Random(2)
+    rows, at = [], 0
+    for i in range(6000):
+        at += rng.choice([1, 2, 3])
+        rows.append((i, int(i % 50 == 0), START + dt.timedelta(seconds=at), int(rng.random() < 0.7)))
+    model = Model(4000)
+    for _, key, when, bit in rows:
+        if key == 0:
+            model.add((when - START).total_seconds(), bit)
+    seen = []
+    fold = G.fold_buckets
+    monkeypatch.setattr(G, "fold_buckets", lambda ones, *rest: (
+        seen.append(ones.count()), fold(ones, *rest))[1])
+    df = spark.createDataFrame(rows, BIT_SCHEMA)
+    state = {r.k: r for r in G.dgim_state(df, ["k"], 4000, max_rows=500).collect()}
+    origin = (START - dt.datetime(1970, 1, 1)).total_seconds()
+    assert [(b["at"] / 1e6 - origin, b["size"]) for b in state[0].buckets] == model.buckets
+    assert len(seen) > 8 and max(seen) < 1500 < sum(seen)
+
+
 def test_many_ones_at_once():
     for ones in (1, 2, 3, 7, 64, 1000):
         at_once, singly = [[1], [0]], [[1], [0]]

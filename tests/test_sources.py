@@ -39,8 +39,8 @@ def test_csv_to_readings(spark, tmp_path):
     assert got[2, dt.datetime(2016, 1, 4, 1)].meter_reading is None
     known = {f.name: f.dataType for f in READINGS.fields}
     for field in rows.schema.fields:
-        assert field.name == "reading_month" or known[field.name] == field.dataType
-    folders = {p.name for p in (tmp_path / "readings").glob("reading_month=*")}
+        assert field.name in ("batch", "reading_month") or known[field.name] == field.dataType
+    folders = {p.name for p in (tmp_path / "readings").glob("batch=*/reading_month=*")}
     assert folders == {"reading_month=2016-01", "reading_month=2016-02"}
 
 
@@ -51,6 +51,41 @@ def test_labels_need_a_features_column(spark, tmp_path):
         files.ingest_features_csv(spark, labels, features, str(tmp_path / "out"))
 
 
+def test_rejected_lines(spark, tmp_path):
+    features = write(
+        tmp_path / "features.csv",
+        f"{HEADER}\n1,2016-01-01 00:00:00,5.0,0,7432,2008\n"
+        "2,2016-01-01 00:00:00,5.0\n"                          # fields missing
+        "3,2016-01-01 00:00:00,5.0,0,7432,2008,7,8\n"          # fields too many
+        "x,2016-01-01 00:00:00,5.0,0,7432,2008\n"
+        "4,someday,5.0,0,7432,2008\n"
+        ",2016-01-01 00:00:00,5.0,0,7432,2008\n"
+        "5,2016-01-01 00:00:00,high,0,\"big\",NaN\n"
+        "6,2016-01-01 00:00:00, nan ,0,null,\n",
+    )
+    labels = write(tmp_path / "train.csv", "building_id,timestamp,meter_reading,anomaly\n")
+    target, bad = str(tmp_path / "readings"), str(tmp_path / "bad")
+    rows = files.ingest_features_csv(spark, labels, features, target, bad)
+    assert sorted((r.building_id, r.meter_reading, r.square_feet) for r in rows.collect()) == [
+        (1, 5.0, 7432.0), (5, None, None), (6, None, None)]
+    got = {r.line: (r.reasons, r.loaded) for r in spark.read.parquet(bad).collect()}
+    assert len(got) == 6
+    assert got["2,2016-01-01 00:00:00,5.0"] == (["line does not fit the header"], False)
+    assert got["3,2016-01-01 00:00:00,5.0,0,7432,2008,7,8"][1] is False
+    assert got["x,2016-01-01 00:00:00,5.0,0,7432,2008"] == (["building_id: x"], False)
+    assert got["4,someday,5.0,0,7432,2008"] == (["timestamp: someday"], False)
+    by_reason = {tuple(reasons): loaded for reasons, loaded in got.values()}
+    assert by_reason["building_id: missing",] is False
+    assert by_reason["meter_reading: high", "square_feet: big"] is True
+
+
+def test_head_types_come_from_the_head(spark, tmp_path):
+    path = write(tmp_path / "x.csv", "a,b\n" + "\n".join(f"{i},{i}" for i in range(10)) + "\nx,y\n")
+    assert dict(files.head_csv(spark, path, 10).dtypes) == {"a": "int", "b": "int"}
+    assert files.head_csv(spark, path, 10).count() == 10
+    assert dict(files.head_csv(spark, path, 11).dtypes) == {"a": "string", "b": "string"}
+
+
 def test_head_of_csv(spark, tmp_path):
     path = write(tmp_path / "x.csv", "a,b\n" + "\n".join(f"{i},t{i}" for i in range(1500)))
     head = files.head_csv(spark, path)
@@ -119,6 +154,17 @@ def test_entries(spark, tmp_path):
     assert spark.read.parquet(readings).count() == 3
     assert spark.read.parquet(bad).count() == 3
     assert spark.read.parquet(readings).first().hour == 10
+    # A named batch is replaced; loads and forms share one table with all columns.
+    for _ in range(2):
+        entry.store_entries(forms(spark, [GOOD, (-1, *GOOD[1:])]), readings, bad, "monday")
+    assert spark.read.parquet(readings).count() == 4
+    assert spark.read.parquet(bad).count() == 4
+    entry.store_entries(forms(spark, [(-1, *GOOD[1:])]), readings, bad, "monday")
+    stored = spark.read.parquet(readings)
+    assert stored.count() == 3
+    assert stored.columns == [*READINGS.names, "batch", "reading_month"]
+    ids = [r.row_id for r in stored.collect()]
+    assert len(set(ids)) == 3 and all(0 <= i < 10**18 for i in ids)
 
 
 def test_exports_keep_zeros(spark, tmp_path):
