@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RECORDS: list[list[str]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``.
@@ -34,5 +38,26 @@ def durable(df: DataFrame, *partitions: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/meterlens/{uuid.uuid4().hex}"
     writer = df.write.partitionBy(*partitions) if partitions else df.write
+    for record in _RECORDS:
+        record.append(path)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables ``durable`` writes in the block, in order."""
+    paths: list[str] = []
+    _RECORDS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not paths]
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that ``durable`` wrote and nothing will read any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)

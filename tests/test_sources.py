@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from meterlens.operators.detectors import detect_batch
 from meterlens.schema import ANOMALIES, READINGS, TABLES
 from meterlens.sources import entry, files, tables
-from meterlens.storage import durable, shared_folder
+from meterlens.storage import durable, recorded, remove_tables, shared_folder
 from tests.conftest import START
 
 
@@ -178,6 +178,19 @@ def test_exports_keep_zeros(spark, tmp_path):
     assert json.loads(text) == {"a": 1, "b": 0.0, "c": None}
 
 
+def test_durable_tables_can_be_removed(spark):
+    with recorded() as outer:
+        first = durable(spark.range(3))
+        with recorded() as inner:
+            second = durable(spark.range(4))
+    durable(spark.range(5))
+    assert (len(outer), len(inner)) == (2, 1) and outer[1] == inner[0]
+    remove_tables(spark, inner)
+    assert first.count() == 3
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        second.count()
+
+
 def test_durable_tables_live_in_the_shared_folder(spark):
     kept = durable(spark.range(10).withColumn("x", F.rand()))
     assert kept.collect() == kept.collect()
