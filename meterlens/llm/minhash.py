@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterlens.llm.shingles import U, mix64, shingle_set
-from meterlens.storage import durable
+from meterlens.storage import durable, recorded, remove_tables
 
 WORDS = 5
 SIMILARITY = 75
@@ -299,6 +299,20 @@ def near_duplicates(
     No rows give none.
     """
     read = durable(shingled(docs, key, text, words))
+    with recorded() as made:
+        components = linked_components(docs, read, key, text, words, percent)
+    # The components are the last table of their making; sets and buckets have been read.
+    remove_tables(docs.sparkSession, made[:-1])
+    component = F.coalesce(components.component, read[key])
+    return read.join(components, read[key] == components.node, "left").select(
+        read[key], "n_shingles", component.alias("component_id"),
+        F.coalesce(component == read[key], F.lit(True)).alias("kept"))
+
+
+def linked_components(
+    docs: DataFrame, read: DataFrame, key: str, text: str, words: int, percent: int
+) -> DataFrame:
+    """(node, component) of all ids in groups of two or more; ``read`` is ``shingled(docs)``."""
     with_set = read.where(F.col("set_id").isNotNull() & F.col(key).isNotNull())
     classes = durable(with_set.groupBy("set_id").agg(F.min(key).alias("member")))
     member = with_set.join(classes, "set_id").select(F.col(key).alias("id"), "member")
@@ -313,8 +327,4 @@ def near_duplicates(
     texts = docs.join(in_buckets, docs[key] == in_buckets.member, "left_semi")
     sets = shingle_sets(texts, key, text, words).withColumnRenamed(key, "member")
     edges = member.where("id <> member").select(F.col("id").alias("a"), F.col("member").alias("b"))
-    components = connected(edges.unionByName(bucket_links(buckets, sets, percent)))
-    component = F.coalesce(components.component, read[key])
-    return read.join(components, read[key] == components.node, "left").select(
-        read[key], "n_shingles", component.alias("component_id"),
-        F.coalesce(component == read[key], F.lit(True)).alias("kept"))
+    return connected(edges.unionByName(bucket_links(buckets, sets, percent)))

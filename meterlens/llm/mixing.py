@@ -151,15 +151,16 @@ def mix_to_targets(
     members = F.when(F.coalesce(F.size(members), F.lit(0)) > 0, members)
     members = F.coalesce(members, F.array(F.lit(None).cast("string")))
     order = F.xxhash64(F.lit(seed), F.col(key), F.col(text))
-    sized = durable(
-        docs.select(
-            F.col(key), *keep, word_count(text).alias("size"),
-            F.array_sort(F.array_distinct(members)).alias("_pattern"), order.alias("_order"),
-        )
+    # Texts are read again where they are needed: storing them would cost more than counting
+    # their words twice.
+    placed = docs.select(
+        F.col(key), *keep, F.col(text).alias("_text"),
+        F.array_sort(F.array_distinct(members)).alias("_pattern"), order.alias("_order"),
     ).withColumn("_bucket", F.pmod(F.shiftright("_order", 40), F.lit(BUCKETS)))
 
     buckets = durable(
-        sized.groupBy("_pattern", "_bucket").agg(F.sum("size").alias("words"))
+        placed.withColumn("size", word_count("_text")).groupBy("_pattern", "_bucket").agg(
+            F.sum("size").alias("words"))
     )
     # The limit is one more than is accepted, to tell a full table from one too large.
     found = (
@@ -216,17 +217,21 @@ def mix_to_targets(
         edges.alias("e"), F.col("p._pattern").eqNullSafe(F.col("e._pattern")), "left"
     ).select("p.*", F.coalesce("_edge", F.lit(0)).alias("_edge"),
              F.coalesce("_edge_rest", F.lit(0)).alias("_edge_rest"))
-    joined = sized.alias("d").join(
+    plan = durable(plan)
+    joined = placed.alias("d").join(
         F.broadcast(plan.alias("p")), F.col("d._pattern").eqNullSafe(F.col("p._pattern"))
     ).drop(F.col("p._pattern"))
     size = F.col("size")
     whole = size * F.col("_rounds")
+    on_edge = joined.where("_bucket = _edge and _rest > 0").withColumn("size", word_count("_text"))
     inside = joined.where("_bucket <> _edge or _rest = 0").withColumn(
+        "size", word_count("_text")
+    ).withColumn(
         "taken",
         whole + F.when((F.col("_bucket") < F.col("_edge")) & (F.col("_rest") > 0), size).otherwise(0))
     in_edge = Window.partitionBy("_pattern").orderBy("_order", key, "size").rowsBetween(
         Window.unboundedPreceding, -1)
-    on_edge = joined.where("_bucket = _edge and _rest > 0").withColumn(
+    on_edge = on_edge.drop("_text").withColumn(
         "_so_far", F.coalesce(F.sum("size").over(in_edge), F.lit(0))
     ).withColumn(
         "taken", whole + F.greatest(F.lit(0), F.least(size, F.col("_edge_rest") - F.col("_so_far")))

@@ -2,13 +2,10 @@
 
 Runs of 16 or more characters from ``[A-Za-z0-9+/_-]`` with their padding are candidates if an encoding can be
 inferred (hex, base 32, base 64 or its URL form: digits and letters of the needed kinds).
-Over the digit values of its encoding each candidate gets
-
-* a chi-squared statistic of alphabet uniformity; ordinary text repeats its frequent
-  letters, so its lower tail under the corpus's own letter frequencies is the p-value of
-  "this is ordinary text",
-* a runs test about the median digit and a lag-1 serial correlation, which
-  random strings pass and sequences or repeats fail.
+Over the digit values of its encoding each candidate takes three tests: chi-squared uniformity
+of the alphabet, runs about its middle, and serial correlation. Their results combine into
+one p-value of "this is ordinary text, or an ordered pattern", under the corpus's own letter
+frequencies.
 
 Benjamini-Hochberg selects candidates per length class, over the whole corpus, so the longer
 tokens' power doesn't pay for the short ones'. p-values are rounded up to steps of a
@@ -29,8 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from meterlens.storage import durable
-
 #: Fixed patterns of the three base kinds, in their order of listing.
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -46,16 +41,14 @@ HEX_DIGITS = "0123456789abcdef"
 BASE32_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 BASE64_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 ENCODINGS = {"hex": HEX_DIGITS, "base32": BASE32_DIGITS, "base64": BASE64_DIGITS}
-#: False-discovery rate, and the level of the runs and correlation tests.
+#: False-discovery rate.
 FDR = 0.01
-GUARD = 1e-3
 #: Length classes: from each of these lengths to the next.
 LENGTHS = (16, 20, 24, 32, 40, 64, 128)
 #: Steps of -log10 p.
 STEPS_PER_DECADE, MAX_DECADES = 20, 30
 
 SPAN = "struct<kind:string,start:int,end:int>"
-CANDIDATES = "struct<start:int,end:int,class:int,step:int,passes:boolean>"
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -67,6 +60,10 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)
               if m.end() - m.start() >= MIN_ACCESS]
     spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
+    return in_order(spans)
+
+
+def in_order(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
@@ -97,16 +94,17 @@ def digit_values(token: str, encoding: str) -> np.ndarray:
     return np.array([digits.index(c) for c in body])
 
 
-def _lower_tail(z: float) -> float:
-    return 0.5 * math.erfc(-z / math.sqrt(2))
+def _log_normal(x: float, mean: float, variance: float) -> float:
+    variance = max(variance, 1e-9)
+    return -0.5 * ((x - mean) ** 2 / variance + math.log(2 * math.pi * variance))
 
 
-def ordinary_text_p(values: np.ndarray, frequencies: np.ndarray) -> float:
+def uniformity_p(values: np.ndarray, frequencies: np.ndarray) -> float:
     """Chance that ordinary text repeats its digits as little as the token does.
 
     The chi-squared statistic against the uniform alphabet grows with the number of equal
-    pairs. Under letters drawn with ``frequencies`` that number has a known mean and
-    variance; the p-value is its lower tail.
+    pairs. Among digits drawn with ``frequencies`` that number has a known mean and variance; the
+    p-value is its lower tail.
     """
     n = len(values)
     counts = np.bincount(values, minlength=len(frequencies))
@@ -116,29 +114,41 @@ def ordinary_text_p(values: np.ndarray, frequencies: np.ndarray) -> float:
     variance = n * (n - 1) / 2 * (s2 * (1 - s2) + 2 * (n - 2) * (s3 - s2 * s2))
     if variance <= 0:
         return 1.0
-    return _lower_tail((pairs + 0.5 - mean) / math.sqrt(variance))
+    return 0.5 * math.erfc((mean - pairs - 0.5) / math.sqrt(2 * variance))
 
 
-def passes_guards(values: np.ndarray, alphabet: int, level: float = GUARD) -> bool:
-    """Uniformity from above, runs about the median, and serial correlation."""
-    n = len(values)
-    counts = np.bincount(values, minlength=alphabet)
-    chi = (counts**2).sum() * alphabet / n - n
-    deviation = math.sqrt(2 * (alphabet - 1) * (n - 1) / n)
-    if _lower_tail(-(chi - (alphabet - 1)) / deviation) < level:
-        return False
+def order_log_e(values: np.ndarray, frequencies: np.ndarray) -> float:
+    """Logarithm of the e-value of runs about the alphabet's middle and of serial correlation.
+
+    Each is the density of the test's statistic for random digits over the greater of its
+    densities for text's frequencies and for a pattern, which may give any value. Under either
+    its mean is at most 1.
+    """
+    n, alphabet = len(values), len(frequencies)
     high = values >= alphabet / 2
-    a, b = int(high.sum()), int(n - high.sum())
-    if not a or not b:
-        return False
     runs = 1 + int((high[1:] != high[:-1]).sum())
-    mean = 1 + 2 * a * b / n
-    variance = (mean - 1) * (mean - 2) / (n - 1)
-    if variance > 0 and 2 * _lower_tail(-abs(runs - mean) / math.sqrt(variance)) < level:
-        return False
+
+    def runs_density(share: float) -> float:
+        change = 2 * share * (1 - share)
+        return _log_normal(runs, 1 + (n - 1) * change, (n - 1) * change * (1 - change))
+
+    text = runs_density(float(frequencies[(alphabet + 1) // 2:].sum()))
+    log_e = runs_density(0.5) - max(text, -math.log(n))
     x = values - values.mean()
     r = float(x[1:] @ x[:-1]) / max(1e-12, float(x @ x))
-    return 2 * _lower_tail(-abs(r + 1 / n) * math.sqrt(n)) >= level
+    independent = _log_normal(r, -1 / n, 1 / n)
+    return log_e + independent - max(independent, -math.log(2))
+
+
+def evidence(values: np.ndarray, frequencies: np.ndarray) -> float:
+    """-log10 of the battery's one p-value: that of uniformity divided by the e-value of order.
+
+    A p-value over an e-value of other aspects of the token is a p-value again, so all
+    three tests are under false-discovery control. A sequence or repeated pattern, however
+    many different digits it has, has an e-value near 0.
+    """
+    p = max(uniformity_p(values, frequencies), 1e-99)
+    return (order_log_e(values, frequencies) - math.log(p)) / math.log(10)
 
 
 def character_counts(docs: DataFrame, text: str) -> np.ndarray:
@@ -188,27 +198,25 @@ def scan_text(text: str, frequencies: dict[str, np.ndarray]) -> tuple[list, list
         values = digit_values(token, encoding)
         if len(values) < LENGTHS[0]:
             continue
-        p = ordinary_text_p(values, frequencies[encoding])
-        step = int(min(MAX_DECADES, -math.log10(max(p, 1e-99))) * STEPS_PER_DECADE)
+        decades = min(MAX_DECADES, max(0.0, evidence(values, frequencies[encoding])))
         length = sum(len(values) >= x for x in LENGTHS) - 1
-        candidates.append(
-            (m.start(), m.end(), length, step, passes_guards(values, len(ENCODINGS[encoding]))))
+        candidates.append((m.start(), m.end(), length, int(decades * STEPS_PER_DECADE)))
     return base, candidates
 
 
 def selected_steps(candidates: DataFrame, fdr: float = FDR) -> DataFrame:
     """(class, least step) by Benjamini-Hochberg within each length class.
 
-    ``candidates`` has (class, step). At most ``len(LENGTHS)`` times the grid's steps counts
+    ``candidates`` has (class, step, n). At most ``len(LENGTHS)`` times the grid's steps counts
     are ordered.
     """
-    counts = candidates.groupBy("class", "step").agg(F.count("*").alias("n"))
+    counts = candidates.groupBy("class", "step").agg(F.sum("n").alias("n"))
     total = F.sum("n").over(Window.partitionBy("class"))
     above = F.sum("n").over(Window.partitionBy("class").orderBy(F.desc("step")))
     bound = F.pow(F.lit(10.0), -F.col("step") / STEPS_PER_DECADE)
     return (
         counts.withColumns({"total": total, "above": above})
-        .where(bound <= fdr * F.col("above") / F.col("total"))
+        .where((F.col("step") > 0) & (bound <= fdr * F.col("above") / F.col("total")))
         .groupBy("class").agg(F.min("step").alias("least"))
     )
 
@@ -219,50 +227,51 @@ def find_secrets(
     """``keep`` and ``spans``, an array of (kind, start, end), per row; code points, end exclusive.
 
     Base spans come from the fixed patterns; ``random`` spans are the battery's and touch no
-    base span. Sorted by start, then by kind as listed. A null or empty text has none; every
-    row is judged on its own, so repeated rows give equal results; no rows give none.
+    base span. Sorted by start, then by kind as listed. A null or empty text has none, a very
+    long one is scanned whole; every row is judged on its own, so repeated rows give equal results;
+    of spans that tie in start and kind the shorter comes first. No rows give none. Columns
+    not in ``keep`` are not read; names in it must differ from ``base`` and ``spans``.
+
+    Texts are read three times and nothing of them is stored: for character counts, for the
+    candidates' levels, and for the spans.
     """
     frequencies = digit_frequencies(character_counts(docs, text))
 
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[int, int], int] = {}
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                for _, _, length, step in scan_text(t or "", frequencies)[1]:
+                    counts[length, step] = counts.get((length, step), 0) + 1
+        yield pa.RecordBatch.from_arrays([
+            pa.array([c for c, _ in counts], pa.int32()), pa.array([s for _, s in counts], pa.int32()),
+            pa.array(list(counts.values()), pa.int64())], names=["class", "step", "n"])
+
+    counted = docs.select(text).mapInArrow(levels, "class int, step int, n long")
+    # At most one number for each of the length classes.
+    limits = {row["class"]: row["least"] for row in selected_steps(counted, fdr).collect()}
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+        def column(rows: list[list[tuple]]) -> pa.Array:
+            return pa.array([[dict(zip(("kind", "start", "end"), s)) for s in row] for row in rows], kind)
+
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            found = [scan_text(t or "", frequencies) for t in texts]
-            span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-            candidate = pa.list_(pa.struct([
-                ("start", pa.int32()), ("end", pa.int32()), ("class", pa.int32()),
-                ("step", pa.int32()), ("passes", pa.bool_())]))
-            names = [f.name for f in candidate.value_type]
-            yield pa.RecordBatch.from_arrays([
-                *batch.columns[:-1],
-                pa.array([[dict(zip(("kind", "start", "end"), s)) for s in b] for b, _ in found], span),
-                pa.array([[dict(zip(names, c)) for c in cs] for _, cs in found], candidate),
-            ], names=[*batch.schema.names[:-1], "base", "candidates"])
-
-    added = StructType.fromDDL(f"base array<{SPAN}>, candidates array<{CANDIDATES}>")
+            base, spans = [], []
+            for t in batch.column(batch.num_columns - 1).to_pylist():
+                found, candidates = scan_text(t or "", frequencies)
+                random = [("random", a, b) for a, b, length, step in candidates
+                          if step >= limits.get(length, 1 << 30)]
+                base.append(found)
+                spans.append(in_order(found + random))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], column(base), column(spans)],
+                names=[*batch.schema.names[:-1], "base", "spans"])
+
+    added = StructType.fromDDL(f"base array<{SPAN}>, spans array<{SPAN}>")
     schema = StructType(docs.select(*keep).schema.fields + added.fields)
-    scanned = durable(docs.select(*keep, F.col(text).alias("_text")).mapInArrow(scan, schema))
-    least = selected_steps(
-        scanned.select(F.explode("candidates").alias("c")).select("c.class", "c.step"), fdr)
-    # At most one number for each of the length classes.
-    limits = {row["class"]: row["least"] for row in least.collect()}
-
-    def chosen(c):
-        at = F.lit(1 << 30)
-        for i, value in limits.items():
-            at = F.when(c["class"] == i, F.lit(value)).otherwise(at)
-        return c["passes"] & (c["step"] >= at)
-
-    random = F.transform(
-        F.filter("candidates", chosen),
-        lambda c: F.struct(F.lit("random").alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
-    order = F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))])
-    spans = F.array_sort(F.transform(
-        F.concat("base", random),
-        lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("order"),
-                           s["end"].alias("end"), s["kind"].alias("kind"))))
-    spans = F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return scanned.select(*keep, "base", spans.alias("spans"))
+    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(scan, schema)
 
 
 def redact(docs: DataFrame, spans: str, text: str = "text", mark: str = "[SECRET]") -> DataFrame:

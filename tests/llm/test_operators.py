@@ -298,3 +298,67 @@ def test_pipeline_keeps_clean_documents(spark, folder):
     rows = corpus_pipeline.run(spark, folder)
     assert set(rows.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
     assert rows.count() > 0
+
+
+def test_secrets_in_any_punctuation(spark):
+    """Runs with inner equals signs, padding and every ASCII character around them."""
+    rng = random.Random(5)
+    alphabet = "".join(map(chr, range(32, 127)))
+    texts = ["open http://x.org/a?sessionid=ABCDEF1234567890 now", "a=b" * 40, "=" * 60,
+             "QUJDREVGR0hJSktMTU5PUA==abcdefgh1234567890", "key=" + "aB3" * 30 + "==="]
+    texts += ["".join(rng.choice(alphabet) for _ in range(300)) for _ in range(60)]
+    texts += ["".join(rng.choice("AZaz09+/_=-. ") for _ in range(300)) for _ in range(60)]
+    rows = find_secrets(table(spark, texts), keep=("doc_id", "text")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        for s in r["spans"]:
+            assert 0 <= s["start"] < s["end"] <= len(r["text"])
+            if s["kind"] == "random":
+                assert re.fullmatch(r"[A-Za-z0-9+/_-]{16,}={0,2}", r["text"][s["start"]:s["end"]])
+
+
+def test_battery_finds_random_tokens_and_few_others(spark):
+    """Planted tokens by length, among identifiers and patterns: power and false discoveries."""
+    rng = random.Random(11)
+    digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    words = "alpha index value buffer table counter handler request session module parser".split()
+
+    def name():
+        return "".join(rng.choice(words).capitalize() for _ in range(6)) + str(rng.randrange(99))
+
+    planted = {n: ["".join(rng.choice(digits) for _ in range(n)) for _ in range(40)] for n in (32, 48, 90)}
+    others = [name() for _ in range(300)]
+    others += ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "aB1" * 20, "a" * 40 + "1B",
+               "0123456789abcdef0123456789abcdeF"]
+    tokens = [(t, n) for n, ts in planted.items() for t in ts] + [(t, 0) for t in others]
+    plain = "the quick brown fox jumps over a lazy dog while seven wizards box with mighty power".split()
+    texts = [" ".join(rng.choices(plain, k=60)) + " " + t + " " + " ".join(rng.choices(words, k=60))
+             for t, _ in tokens]
+    found = by_id(find_secrets(table(spark, texts), keep=("doc_id", "text")))
+    hits = {n: 0 for n in (*planted, 0)}
+    for i, (token, n) in enumerate(tokens):
+        at = texts[i].index(token)
+        hits[n] += any(s["kind"] == "random" and s["start"] == at and s["end"] == at + len(token)
+                       for s in found[i]["spans"])
+    # 32 digits differ too little from words for the chi-squared test among so many identifiers.
+    assert hits[90] >= 39 and hits[48] >= 32, hits
+    assert hits[0] <= 0.02 * sum(hits.values()), hits
+
+
+def test_the_battery_is_fair():
+    """Over digits drawn like ordinary text p-values are not too small, e-values not too large."""
+    from meterlens.llm.secrets import evidence, order_log_e
+
+    rng = np.random.default_rng(3)
+    for concentration in (0.3, 2.0):
+        frequencies = rng.dirichlet(np.full(64, concentration))
+        for n in (20, 50, 100):
+            drawn = [rng.choice(64, n, p=frequencies) for _ in range(3000)]
+            assert np.mean([math.exp(order_log_e(v, frequencies)) for v in drawn]) < 1.1
+            strong = np.array([evidence(v, frequencies) for v in drawn])
+            assert np.mean(strong >= 1) <= 0.12 and np.mean(strong >= 2) <= 0.015
+    random_digits = [rng.integers(0, 64, 64) for _ in range(300)]
+    skewed = np.where(np.arange(64) < 12, 0.95 / 12, 0.05 / 52)
+    assert np.mean([evidence(v, skewed) > 3 for v in random_digits]) > 0.95
+    patterns = [np.arange(62), np.tile([0, 26, 53], 20), np.repeat([3, 40], 20), np.arange(64)[::-1]]
+    assert max(evidence(v, skewed) for v in patterns) < 0.5
