@@ -1,15 +1,19 @@
 """From raw documents to a tokenized training mix, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the
-columns of documents. A stage's rows are written as Parquet before the next stage reads
-them. A stage learns from its own input.
+columns of documents, whatever they are called. A stage's rows are written as Parquet before
+the next stage reads them. A stage learns from its own input.
+
+Null, empty and very long texts: language ID rejects texts without a letter, every other stage
+takes a text as it is. Copies, repeated rows among them, leave one document. Ties go to the
+smaller id. Empty documents give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlens.llm.bpe import encode_documents
@@ -19,26 +23,39 @@ from meterlens.llm.minhash import near_duplicates
 from meterlens.llm.mixing import apply_mix, mix_to_targets
 from meterlens.llm.queries import TOKENIZER
 from meterlens.llm.secrets import find_secrets, redact
-from meterlens.storage import durable
+from meterlens.storage import durable, recorded, remove_tables
 
 #: A text is rejected whose likeliest language has less than this calibrated probability.
 MIN_LANGUAGE_SCORE = 0.35
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns``, and all others as one ``row``: none of their names meets an operator's own."""
+    return docs.select(*columns, F.struct(*[c for c in docs.columns if c not in columns]).alias("row"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, those named in ``changed`` with new values."""
+    inside = rows.schema["row"].dataType.names
+    return rows.select(*[
+        changed.get(c, F.col("row")[c] if c in inside else F.col(c)).alias(c) for c in docs.columns])
+
+
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter or a likely language; fill in a missing ``lang``."""
     held = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     model = train_language_model(docs.where(~held), key=F.col("doc_id"))
-    predicted = predict_languages(docs, model, keep=tuple(docs.columns))
+    predicted = predict_languages(packed(docs, "text"), model, keep=("text", "row"))
     likely = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return predicted.where(likely).withColumn(
-        "lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return unpacked(predicted.where(likely), docs, lang=F.coalesce("row.lang", "lang_pred"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least id of each group, and all without an id."""
-    kept = durable(near_duplicates(docs).where("kept").groupBy("doc_id").agg(
-        F.count("*").alias("n")))
+    with recorded() as made:
+        kept = durable(near_duplicates(docs).where("kept").groupBy("doc_id").agg(
+            F.count("*").alias("n")))
+    remove_tables(spark, made[:-1])  # all but the ids kept
     once = docs.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi")
     # Rows that repeat an id are one document: the least of them stays.
     rest = [c for c in docs.columns if c != "doc_id"]
@@ -52,18 +69,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; no document goes."""
-    found = find_secrets(docs, keep=tuple(docs.columns))
+    found = find_secrets(packed(docs, "text"), keep=("text", "row"))
     clean = redact(found.drop("base"), "spans")
-    changed = F.size("spans") > 0
-    return clean.withColumn(
-        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
+    length = F.when(F.size("spans") > 0, F.length("text").cast("long"))
+    return unpacked(clean, docs, n_chars=F.coalesce(length, F.col("row.n_chars")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take each source's words near its target: documents repeat, or go."""
-    rest = tuple(c for c in docs.columns if c != "doc_id")
-    return apply_mix(mix_to_targets(docs, keep=rest)).select(*docs.columns)
+    rows = packed(docs, "doc_id", "source", "text", "n_chars")
+    mixed = apply_mix(mix_to_targets(rows, keep=("source", "text", "n_chars", "row")))
+    return unpacked(mixed, docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,6 +100,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    before: list[str] = []
     for _, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir))
+        with recorded() as made:
+            docs = durable(stage(spark, docs, sf_dir))
+        # What this stage read and made on its way is done with; its rows are the last table.
+        remove_tables(spark, before + made[:-1])
+        before = made[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
