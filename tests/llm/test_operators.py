@@ -234,10 +234,18 @@ def test_fingerprints(docs, texts):
     assert found[15]["near_edited"] > found[15]["near_next"]
 
 
-def test_neighbours_against_brute_force(spark):
+@pytest.mark.parametrize("index_block, query_block, rows", [(8192, 1024, 64), (150, 8, 2)])
+def test_neighbours_against_brute_force(spark, monkeypatch, index_block, query_block, rows):
+    """In one block, and in many index and query blocks."""
+    from meterlens.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "INDEX_BLOCK", index_block)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", query_block)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", rows)
     rng = np.random.default_rng(1)
     x = rng.normal(size=(900, 24)) * rng.uniform(0.5, 2, size=(900, 1))
     x[10] = x[20]
+    x[31:36] = 3 * x[40]
     rows = [(i, v.tolist(), "c") for i, v in enumerate(x)]
     rows += [(900, None, "c"), (920, [0.0] * 24, "c"), (940, [float("nan")] * 24, "c")]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, _x string")
@@ -253,6 +261,28 @@ def test_neighbours_against_brute_force(spark):
         hits += len(set(best) & {v for v, _ in ranks.values()})
         assert all(math.isclose(s, scores[v], rel_tol=1e-9, abs_tol=1e-12) for v, s in ranks.values())
     assert hits >= 0.9 * 20 * len(found)
+    # Equal vectors come in the order of their ids.
+    assert [found[40][r][0] for r in range(1, 6)] == [31, 32, 33, 34, 35]
+
+
+def test_windows_stay_small_where_vectors_have_structure():
+    """In well separated groups few vectors are verified, and nearly all neighbours found."""
+    from meterlens.llm.neighbours import SortedArrays
+
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(100, 48))
+    x = np.repeat(centres, 60, axis=0) + 0.15 * rng.normal(size=(6000, 48))
+    ids = np.arange(len(x))
+    arrays = SortedArrays(ids, x, float(np.linalg.norm(x, axis=1).max()))
+    hits = looked = 0
+    for q in range(0, 6000, 200):
+        near, scores, verified = arrays.search(q, x[q], 20)
+        order = np.lexsort((ids, -(x @ x[q])))
+        hits += len(set(order[order != q][:20].tolist()) & set(near.tolist()))
+        looked += verified
+        assert np.allclose(scores, x[near] @ x[q]) and q not in near
+    assert hits >= 0.9 * 20 * 30
+    assert looked < 0.5 * 30 * len(x)
 
 
 def test_derived_records_are_linked(spark):
