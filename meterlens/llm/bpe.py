@@ -3,10 +3,15 @@
 A rolling hash cuts every text into chunks at places that depend on the bytes around them
 only, so a passage shared by documents gives the same chunks in all of them. Chunks found in more
 than one place are encoded once, by the document with the least id that holds them; all others
-borrow the ids. A chunk's ids are exact between its first and its last white space, where the
-tokenizer can't join characters; what lies around a chunk join, from the last white space
-before it to the first one after it (further, if a chunk has none), is encoded again from the
-document's own text, so the ids agree exactly with those of the whole text.
+borrow the ids. What is borrowed lies between a chunk's first and last white space; what lies
+around a chunk join is encoded again from the document's own text. At either end of
+a borrowed stretch the words around the cut are encoded together and apart: only if the ids agree exactly is
+it borrowed; otherwise the chunk is encoded with its surroundings, which widens the repair to
+the next cut, if need be over the whole text. So the ids are those of the whole text.
+
+Text that is encoded is cut into words, with the white space before them if the tokenizer keeps it;
+a word met again in the task is not encoded again. Whether words may be cut apart is
+found out from the tokenizer itself, and checked on a stretch of every slice of text.
 
 Which chunks are shared is decided by digests. The directory of shared chunks sent to the
 executors has at most ``MAX_SHARED`` entries, those with the most copies; a chunk outside it is
@@ -40,6 +45,13 @@ LANE_COPIES = 128
 CALL_BYTES, SLICE_BYTES = 1 << 17, 2 << 20
 WHITE = b" \t\n\r\x0b\x0c"
 SPACE = re.compile(b"[" + WHITE + b"]")
+WORD = re.compile(b"[^" + WHITE + b"]+")
+#: A word with the white space before it, or white space at the end.
+SPACED_WORD = re.compile(b"[" + WHITE + b"]*[^" + WHITE + b"]+|[" + WHITE + b"]+")
+#: What stands between words encoded in one call: a word that is one id of its own.
+MARK = b" \x01 "
+#: Words remembered by a worker, words encoded in one call, and bytes checked in every slice.
+MAX_WORDS, CALL_WORDS, CHECKED = 1 << 18, 4096, 2048
 
 GEAR = np.random.default_rng(20240501).integers(0, 1 << 32, 256, dtype=np.uint32)
 
@@ -81,15 +93,41 @@ def chunk_ends(data: bytes) -> list[int]:
 
 
 def inner_range(chunk: bytes) -> tuple[int, int] | None:
-    """From a chunk's first white space to its last, None if it has none."""
-    words = chunk.split(None, 1)
-    if not words:
-        return (0, len(chunk)) if chunk else None
-    first = 0 if chunk[0] in WHITE else len(words[0])
-    if first == len(chunk):
+    """From a chunk's first white space to before its last, None if there is nothing between.
+
+    White space stays with the word after it.
+    """
+    found = SPACE.search(chunk)
+    if found is None:
         return None
-    last = len(chunk) if chunk[-1] in WHITE else len(chunk) - len(chunk.rsplit(None, 1)[-1])
-    return (first, last) if last > first else None
+    last = run_start(chunk, max(chunk.rfind(c) for c in (b"%c" % w for w in WHITE)))
+    return (found.start(), last) if last > found.start() else None
+
+
+def run_start(data: bytes, at: int) -> int:
+    """Where the white space around position ``at`` starts."""
+    while at > 0 and data[at - 1] in WHITE:
+        at -= 1
+    return at
+
+
+def around(data: bytes, cut: int, words: int = 2) -> tuple[bytes, bytes]:
+    """The last words before ``cut`` and the first after it, white space included."""
+    start, end = cut, cut
+    for _ in range(words):
+        while start > 0 and data[start - 1] in WHITE:
+            start -= 1
+        while start > 0 and data[start - 1] not in WHITE and cut - start < 256:
+            start -= 1
+        while end < len(data) and data[end] in WHITE:
+            end += 1
+        while end < len(data) and data[end] not in WHITE and end - cut < 256:
+            end += 1
+    while 0 < start < cut and data[start] & 0xC0 == 0x80:
+        start += 1
+    while cut < end < len(data) and data[end] & 0xC0 == 0x80:
+        end += 1
+    return data[start:cut], data[cut:end]
 
 
 def digest(chunk: bytes) -> bytes:
@@ -103,8 +141,15 @@ def parts_at_spaces(piece: bytes, most: int = CALL_BYTES) -> Iterator[bytes]:
         found = SPACE.search(piece, start + most)
         if found is None:
             break
-        yield piece[start:found.start()]
-        start = found.start()
+        cut = run_start(piece, found.start())
+        if cut <= start:  # nothing but white space so far
+            word = WORD.search(piece, found.start())
+            found = word and SPACE.search(piece, word.end())
+            if not found:
+                break
+            cut = found.start()
+        yield piece[start:cut]
+        start = cut
     yield piece[start:]
 
 
@@ -120,29 +165,105 @@ class PieceEncoder:
         size = self.tokenizer.get_vocab_size()
         self.digits = list(map(str, range(size)))
         self.strings = list(map(self.tokenizer.id_to_token, range(size)))
+        self.words: dict[bytes, bytes] = {}
+        self.mark = np.frombuffer(self.raw([MARK])[0], np.uint32)
+        # How a text may be cut into pieces that are encoded apart; None if it may not.
+        self.pattern = next((p for p in (WORD, SPACED_WORD) if self.probe(p)), None)
+
+    def distinct_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word. Words that may stand apart go into few calls, a mark between them."""
+        if self.pattern is not WORD or len(self.mark) != 1:
+            return self.raw(words)
+        out = []
+        for at in range(0, len(words), CALL_WORDS):
+            some = words[at:at + CALL_WORDS]
+            ids = np.frombuffer(self.raw([MARK.join(some)])[0], np.uint32)
+            marks = np.flatnonzero(ids == self.mark[0])
+            if len(marks) != len(some) - 1:  # a word holds the mark itself
+                out += self.raw(some)
+                continue
+            edges = [0, *(marks + 1).tolist()], [*marks.tolist(), len(ids)]
+            out += [ids[a:b].tobytes() for a, b in zip(*edges)]
+        return out
+
+    def raw(self, texts: list[bytes]) -> list[bytes]:
+        """Ids as 32-bit numbers, each text by itself."""
+        found = self.tokenizer.encode_batch_fast(
+            [t.decode("utf-8", "surrogatepass") for t in texts], add_special_tokens=False)
+        return [np.array(one.ids, np.uint32).tobytes() for one in found]
+
+    def cut_agrees(self, text: bytes, pattern: re.Pattern) -> bool:
+        whole, *words = self.raw([text, *pattern.findall(text)])
+        return whole == b"".join(words)
+
+    def probe(self, pattern: re.Pattern) -> bool:
+        """Whether words cut by ``pattern`` have the ids they have in a text."""
+        runs = [b" ", b"  ", b"   ", b"\n", b"\n\n", b" \n", b"\t", b"\r\n", b"\x0b\x0c "]
+        words = [b"word", b"don't", b"12", b"(x)", "é".encode(), b"?", b"A", "日本".encode(), MARK.strip()]
+        texts = [a + r + b + r for r in runs for a in words for b in words] + [*runs, b" lead", b"trail "]
+        return all(self.cut_agrees(t, pattern) for t in texts)
+
+    def agree(self, cuts: list[tuple[bytes, bytes]]) -> list[bool]:
+        """Whether the text before a cut and the text after it have the same ids apart and together."""
+        found = self.raw([x for left, right in cuts for x in (left + right, left, right)])
+        return [found[i] == found[i + 1] + found[i + 2] for i in range(0, len(found), 3)]
 
     def encode(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of each piece as 32-bit numbers; about ``CALL_BYTES`` go into one call."""
-        ids: list[list[bytes]] = [[] for _ in pieces]
+        """Ids of each piece as 32-bit numbers."""
+        longest = max(pieces, key=len, default=b"")
+        if self.pattern is not None and longest:
+            stretch = next(parts_at_spaces(longest, CHECKED))
+            if not self.cut_agrees(stretch, self.pattern):
+                self.pattern = None
+        if self.pattern is None:
+            return self.raw(pieces)
+        out: list[list[bytes]] = [[] for _ in pieces]
         call: list[tuple[int, bytes]] = []
         size = 0
 
         def flush() -> None:
-            texts = [part.decode("utf-8", "surrogatepass") for _, part in call]
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            for (i, _), one in zip(call, found):
-                ids[i].append(np.array(one.ids, np.uint32).tobytes())
+            for (i, _), ids in zip(call, self.by_words([part for _, part in call])):
+                out[i].append(ids)
             call.clear()
 
         for i, piece in enumerate(pieces):
-            for part in parts_at_spaces(piece):
+            for part in parts_at_spaces(piece, SLICE_BYTES):
                 call.append((i, part))
                 size += len(part)
-                if size >= CALL_BYTES:
+                if size >= SLICE_BYTES:
                     flush()
                     size = 0
         flush()
-        return [b"".join(x) for x in ids]
+        return [b"".join(x) for x in out]
+
+    def by_words(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of each part put together from those of its words, distinct ones encoded once."""
+        if self.pattern is WORD:
+            split = pa.compute.ascii_split_whitespace(pa.array(parts, pa.binary()).cast(pa.string()))
+            words, ends = split.flatten().cast(pa.binary()), split.offsets.to_numpy()
+        else:
+            found = [self.pattern.findall(part) for part in parts]
+            words = pa.array([w for one in found for w in one], pa.binary())
+            ends = np.cumsum([0, *map(len, found)])
+        if not len(words):
+            return [b""] * len(parts)
+        coded = words.dictionary_encode()
+        places = coded.indices.to_numpy(zero_copy_only=False)
+        distinct = coded.dictionary.to_pylist()
+        known = list(map(self.words.get, distinct))
+        unknown = [i for i, ids in enumerate(known) if ids is None]
+        for i, ids in zip(unknown, self.distinct_ids([distinct[i] for i in unknown])):
+            known[i] = ids
+            if len(self.words) < MAX_WORDS:
+                self.words[distinct[i]] = ids
+        sizes = np.array([len(ids) // 4 for ids in known], np.int64)
+        flat = np.frombuffer(b"".join(known), np.uint32)
+        lengths = sizes[places]
+        stops = np.concatenate([[0], np.cumsum(lengths)])
+        shifts = (np.cumsum(sizes) - sizes)[places] - stops[:-1]
+        ids = flat[np.repeat(shifts, lengths) + np.arange(stops[-1])]
+        edges = stops[ends]
+        return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:])]
 
     def decode(self, numbers: list[int]) -> str:
         """As the tokenizer decodes; without a decoder it joins tokens by blanks."""
@@ -228,8 +349,9 @@ def encode_texts(
                 yield encode_slice(piece, shared, codec)
 
     def encode_slice(batch: pa.RecordBatch, shared: dict, codec: PieceEncoder) -> pa.RecordBatch:
-        rows = [(k, n, plan_parts(d, n, shared))
-                for k, n, d in zip(*(c.to_pylist() for c in batch.columns))]
+        keys, numbers, texts = (c.to_pylist() for c in batch.columns)
+        plans = plan_slice(texts, numbers, shared, codec)
+        rows = list(zip(keys, numbers, plans))
         found = iter(codec.encode([piece for _, _, (pieces, owned) in rows for piece in
                                    [*(p for p, h in pieces if h is None), *owned.values()]]))
         out: list[tuple] = []
@@ -270,33 +392,43 @@ def slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordB
         start = end
 
 
-def plan_parts(
-    data: bytes, number: int, shared: dict[bytes, tuple[int, int]]
-) -> tuple[list[tuple[bytes, bytes | None]], dict[bytes, bytes]]:
-    """(parts in order, chunks to encode for others) of one text.
+def plan_slice(
+    texts: list[bytes], numbers: list[int], shared: dict[bytes, tuple[int, int]],
+    codec: PieceEncoder,
+) -> list[tuple[list[tuple[bytes, bytes | None]], dict[bytes, bytes]]]:
+    """(parts in order, chunks to encode for others) of each text.
 
     A part is either bytes to encode here or the digest of a chunk whose ids to borrow. What
-    lies between two borrowed chunks' inner ranges, joins included, is one part.
+    lies between two borrowed stretches, joins included, is one part. A stretch is
+    borrowed only if the ids agree at both of its ends.
     """
-    parts: list[tuple[bytes, bytes | None]] = []
-    owned: dict[bytes, bytes] = {}
-    done = last = 0
-    for end in chunk_ends(data):
-        chunk = data[last:end]
-        h = digest(chunk)
-        inner = inner_range(chunk) if h in shared else None
-        if inner is not None:
-            if shared[h][0] == number:
-                owned[h] = chunk[inner[0]:inner[1]]
-            else:
-                if last + inner[0] > done:
-                    parts.append((data[done:last + inner[0]], None))
-                parts.append((b"", h))
-                done = last + inner[1]
-        last = end
-    if done < len(data):
-        parts.append((data[done:], None))
-    return parts, owned
+    stretches: list[tuple[int, int, int, bytes]] = []
+    owned: list[dict[bytes, bytes]] = [{} for _ in texts]
+    for i, (data, number) in enumerate(zip(texts, numbers)):
+        last = 0
+        for end in chunk_ends(data):
+            chunk = data[last:end]
+            h = digest(chunk)
+            inner = inner_range(chunk) if h in shared else None
+            if inner is not None and shared[h][0] == number:
+                owned[i][h] = chunk[inner[0]:inner[1]]
+            elif inner is not None:
+                stretches.append((i, last + inner[0], last + inner[1], h))
+            last = end
+    agreed = codec.agree([
+        around(texts[i], cut) for i, start, end, _ in stretches for cut in (start, end)])
+    parts: list[list[tuple[bytes, bytes | None]]] = [[] for _ in texts]
+    done = [0] * len(texts)
+    for at, (i, start, end, h) in enumerate(stretches):
+        if agreed[2 * at] and agreed[2 * at + 1]:
+            if start > done[i]:
+                parts[i].append((texts[i][done[i]:start], None))
+            parts[i].append((b"", h))
+            done[i] = end
+    for i, data in enumerate(texts):
+        if done[i] < len(data):
+            parts[i].append((data[done[i]:], None))
+    return list(zip(parts, owned))
 
 
 def encode_documents(
@@ -306,8 +438,10 @@ def encode_documents(
     """(key, n_tokens, ids_sha256, decoded_sha256) per row, of the whole text.
 
     Ids are those of the tokenizer in the file ``path`` without added special tokens;
-    they are decoded with special tokens kept. Null and empty texts have no ids. Rows that are
-    equal in key and text give equal rows; no rows give none.
+    they are decoded with special tokens kept. Null and empty texts have no ids, very long ones are
+    encoded whole. Rows that are equal in key and text give equal rows; no rows give none. A
+    chunk that ties for its owner is encoded by each row of the least number. Other columns are not
+    read.
     """
     encoded = durable(encode_texts(docs, path, text, key, max_shared))
     whole = encoded.where("n_tokens is not null").select(

@@ -70,8 +70,10 @@ def tfidf(found: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return value / norm if norm > 0 else value
 
 
-def _texts(batch: pa.RecordBatch, name: str) -> list[str]:
-    return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
+def _texts(batch: pa.RecordBatch, name: str) -> Iterator[str]:
+    """One text at a time: the batch itself is all of them that is held."""
+    for value in batch.column(batch.schema.get_field_index(name)):
+        yield value.as_py() or ""
 
 
 def document_frequencies(
@@ -272,7 +274,9 @@ def predict_languages(
         weights = m.weights.astype(np.float32)
         for batch in batches:
             names, scores = [], []
-            for t in _texts(batch, "_text"):
+            texts = batch.column(batch.schema.get_field_index(text if text in keep else "_text"))
+            for value, lettered in zip(texts, batch.column(batch.num_columns - 1)):
+                t = value.as_py() if lettered.as_py() else None
                 if not m.languages or not t:
                     names.append(UNDETERMINED)
                     scores.append(0.0)
@@ -284,10 +288,12 @@ def predict_languages(
                 names.append(m.languages[best])
                 scores.append(float(p[best] / p.sum()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score"])
+                [*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names[:len(keep)], "lang_pred", "score"])
 
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    read = docs.select(*keep, F.when(has_letter, F.col(text)).alias("_text"))
+    # A text that is kept travels once.
+    added = [] if text in keep else [F.col(text).alias("_text")]
+    read = docs.select(*keep, *added, has_letter.alias("_has_letter"))
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     return read.mapInArrow(predict, schema)

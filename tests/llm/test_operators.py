@@ -84,6 +84,60 @@ def test_bpe_equals_the_tokenizer(docs, texts):
                 hashlib.sha256(shown.encode()).hexdigest()), i
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_bpe_of_any_white_space(spark, name):
+    """A tokenizer that keeps blanks, and one that drops them, on texts that share passages."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rng = random.Random(21)
+    white = [" ", " ", " ", "  ", "\n", "\n\n  ", "\t", " \n ", "\u00a0", "\u3000 ", "\r\n"]
+
+    def passage(n):
+        return "".join(rng.choice(white) + rng.choice(["word", "don't", "x1", "é", "(a)", "I'll", "日本語", "..."])
+                       for _ in range(n))
+
+    common = [passage(900) for _ in range(3)]
+    texts = [passage(rng.randrange(40)) + rng.choice(common) + passage(rng.randrange(40))
+             for _ in range(24)] + [c[1:] for c in common] + common + [" ", "\n\n", " a", "b ", "x" * 5000]
+    path = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(path)
+    found = by_id(encode_documents(table(spark, texts), path))
+    for i, text in enumerate(texts):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert found[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), i
+        shown = tokenizer.decode(ids, skip_special_tokens=False)
+        assert found[i]["decoded_sha256"] == hashlib.sha256(shown.encode()).hexdigest(), i
+
+
+def test_disagreeing_cuts_are_not_borrowed():
+    """Where the ids at a cut differ, the chunk is encoded with its surroundings."""
+    from meterlens.llm import bpe
+
+    rng = random.Random(6)
+    passage = prose(rng, 4000).encode()
+    texts = [passage, b"lead " + passage + b" trail"]
+    shared = {}
+    last = 0
+    for end in bpe.chunk_ends(texts[1]):
+        shared[bpe.digest(texts[1][last:end])] = (0, 1)
+        last = end
+
+    class Codec:
+        def __init__(self, answer):
+            self.answer = answer
+
+        def agree(self, cuts):
+            for left, right in cuts:
+                assert (left + right) in texts[1] and len(left + right) < 600
+            return [self.answer] * len(cuts)
+
+    plans = bpe.plan_slice([texts[1]], [1], shared, Codec(True))
+    assert sum(h is not None for _, h in plans[0][0]) > 5
+    plans = bpe.plan_slice([texts[1]], [1], shared, Codec(False))
+    assert plans[0][0] == [(texts[1], None)]
+
+
 def shingles(text):
     words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     if not words:
