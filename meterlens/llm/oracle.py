@@ -8,7 +8,23 @@ ORACLES: dict[str, str] = {}
 LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
-# CRC-32 of each distinct word: bytes from the hexadecimal form of its UTF-8, the table from its rule.
+WORD = r"[^\x20\x09-\x0D]+"
+
+# The table of CRC-32 from its rule; the bytes of a text come from the hexadecimal form of its UTF-8.
+CRC_TABLE = """entries AS (
+    SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256))::BIGINT AS i))"""
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of an SQL text; ``entries`` is among the tables."""
+    digit = "instr('0123456789ABCDEF', substr(hex(encode({0})), 2 * k::INT + {1}, 1)) - 1"
+    byte = f"(16 * ({digit.format(text, 1)}) + {digit.format(text, 2)})::BIGINT"
+    return f"""xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(strlen({text})),
+        lambda k: {byte})), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)"""
+
+
 ORACLES["op12_importance_resampling"] = rf"""
 WITH words AS (
     SELECT 'd' AS side, row_number() OVER () AS r, doc_id, text,
@@ -16,17 +32,9 @@ WITH words AS (
     UNION ALL
     SELECT 'b', row_number() OVER (), item_id, text,
            coalesce(regexp_extract_all({LOWERED}, '{TERM}'), []) FROM benchmark),
-entries AS (
-    SELECT list(list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
-        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
-    FROM (SELECT unnest(range(256))::BIGINT AS i)),
+{CRC_TABLE},
 tokens AS (SELECT side, r, unnest(ws) AS w FROM words),
-hashed AS (
-    SELECT w, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(strlen(w)),
-        lambda k: (16 * (instr('0123456789ABCDEF', substr(hex(encode(w)), 2 * k::INT + 1, 1)) - 1)
-            + instr('0123456789ABCDEF', substr(hex(encode(w)), 2 * k::INT + 2, 1)) - 1)::BIGINT)),
-        lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket
-    FROM (SELECT DISTINCT w FROM tokens), entries),
+hashed AS (SELECT w, {crc32('w')} % 10000 AS bucket FROM (SELECT DISTINCT w FROM tokens), entries),
 placed AS (SELECT side, r, bucket FROM tokens JOIN hashed USING (w)),
 counts AS (
     SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
@@ -75,3 +83,123 @@ ranked AS (
     FROM scores WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
+
+ORACLES["op5_suffix_dedup"] = """
+WITH bytes AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+starts AS (
+    SELECT doc_id, i, x[i + 1:i + 50] AS s
+    FROM (SELECT doc_id, x, unnest(range(greatest(octet_length(x) - 49, 0))) AS i FROM bytes)),
+firsts AS (SELECT s, min(doc_id) AS least FROM starts GROUP BY s),
+hits AS (SELECT doc_id, i FROM starts JOIN firsts USING (s) WHERE least < doc_id),
+marked AS (
+    SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true)::INT AS opens
+    FROM hits),
+spans AS (
+    SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+    FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked)
+    GROUP BY doc_id, span),
+kept AS (
+    SELECT doc_id, count(*) AS n, sum(b - a) AS removed, max(b) AS last,
+           string_agg(CASE WHEN a > before THEN hex(x[before + 1:a]) ELSE '' END, '' ORDER BY a) AS head
+    FROM (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans)
+    JOIN bytes USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, octet_length(x)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+       coalesce(n, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || CASE WHEN coalesce(last, 0) < octet_length(x)
+           THEN hex(x[coalesce(last, 0) + 1:octet_length(x)]) ELSE '' END)) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES["op8_minhash_dedup"] = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, coalesce(regexp_extract_all({LOWERED}, '{WORD}'), []) AS ws FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 3, 2)),
+        lambda i: array_to_string(ws[i:i + 4], ' '))) AS s
+    FROM words WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT x, y FROM (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+    JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reached AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION SELECT r.doc_id, y FROM reached r JOIN links ON x = r.other)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id, doc_id = least_id AS kept
+FROM (SELECT doc_id, min(other) AS least_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+ORACLES["edited_texts"] = """
+WITH ordered AS (
+    SELECT doc_id, coalesce(text, '') AS own, length(coalesce(text, '')) AS n,
+           coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS next
+    FROM documents WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT doc_id, n::BIGINT AS n_chars,
+       sha256(substr(own, 1, n - n // 3) || substr(next, 1, n // 3)) AS edited_sha256
+FROM ordered
+"""
+
+# Places of the matches from the lengths of the matches and of what lies between them.
+_SPANS = r"""
+    SELECT doc_id, '{kind}' AS kind, {number} AS k, unnest(list_filter(list_transform(range(1, len(found) + 1), lambda i: struct_pack(
+        a := list_sum(list_transform(between[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda p: length(p))), 0),
+        n := length(found[i]), long := length(value[i]) >= {least})), lambda m: m.long)) AS m
+    FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS found, regexp_extract_all(text, '{pattern}', {group}) AS value,
+                 string_split_regex(text, '{pattern}') AS between FROM documents WHERE text IS NOT NULL)"""
+_ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+ORACLES["secret_base_spans"] = "WITH spans AS (" + " UNION ALL ".join(
+    _SPANS.format(kind=kind, number=i, pattern=pattern, group=group, least=least)
+    for i, (kind, pattern, group, least) in enumerate([
+        ("assign", _ASSIGN, 2, 8), ("access", "AKIA[A-Z0-9]+", 0, 16), ("hex", "[0-9a-f]{32,}", 0, 32)])) + """),
+texts AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(kind || ':' || m.a::BIGINT || ':' || (m.a + m.n)::BIGINT, ',' ORDER BY m.a, k) AS listed
+    FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(listed, '')) AS base_sha256
+FROM documents LEFT JOIN texts USING (doc_id)
+"""
+
+# A round caps the sources whose share of the rest is above their limit; 30 rounds cap all there are.
+ORACLES["mix_targets"] = rf"""
+WITH RECURSIVE sized AS (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size FROM documents),
+sources AS (
+    SELECT source, n, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INT + 1] AS w
+    FROM (SELECT source, sum(size)::BIGINT AS n FROM sized GROUP BY source)),
+lists AS (SELECT list(n ORDER BY source NULLS LAST) AS ns, list(w ORDER BY source NULLS LAST) AS ws,
+                 list(coalesce(source, '') ORDER BY source NULLS LAST) AS names, count(*)::INT AS k FROM sources),
+rounds AS (
+    SELECT 0 AS r, list_transform(ns, lambda n: false) AS capped FROM lists
+    UNION ALL
+    SELECT r + 1, list_transform(range(1, k + 1), lambda i: capped[i] OR rest * ws[i] / weight > 3 * ns[i])
+    FROM (SELECT r, capped, ns, ws, k,
+                 list_sum(ns) - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: CASE WHEN capped[i] THEN 3 * ns[i] ELSE 0 END)), 0) AS rest,
+                 greatest(coalesce(list_sum(list_transform(range(1, k + 1), lambda i: CASE WHEN capped[i] THEN 0 ELSE ws[i] END)), 1), 1) AS weight
+          FROM rounds, lists) WHERE r < 30),
+done AS (
+    SELECT unnest(range(1, k + 1)) AS i, capped, ns, ws, k,
+           list_sum(ns) - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: CASE WHEN capped[i] THEN 3 * ns[i] ELSE 0 END)), 0) AS rest,
+           greatest(coalesce(list_sum(list_transform(range(1, k + 1), lambda i: CASE WHEN capped[i] THEN 0 ELSE ws[i] END)), 1), 1) AS weight
+    FROM rounds, lists WHERE r = 30),
+numbered AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM sources)
+SELECT doc_id, size, n AS source_size,
+       round(CASE WHEN capped[i] THEN 3 * n ELSE rest * w / weight END::DOUBLE, 3) AS target
+FROM sized JOIN numbered ON sized.source IS NOT DISTINCT FROM numbered.source JOIN done USING (i)
+"""
+
+ORACLES["base_language_model"] = rf"""
+WITH {CRC_TABLE},
+texts AS (
+    SELECT doc_id, {crc32('doc_id::VARCHAR')} % 5 = 1 AS held_out,
+           list_concat(coalesce(regexp_extract_all({LOWERED}, '{WORD}'), []), [' ']) AS ws
+    FROM documents, entries),
+tokens AS (SELECT doc_id, held_out, unnest(ws) AS w FROM texts),
+counted AS (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w),
+totals AS (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM counted)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, n AS train_tokens,
+       round(sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))), 5) AS base_score
+FROM tokens LEFT JOIN counted USING (w), totals GROUP BY doc_id, held_out, n
+"""

@@ -117,3 +117,29 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+# The parts of the results above that SQL can express, through the same operators.
+
+
+@query
+def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_secret_scan(spark, sf_dir).drop("spans")
+
+
+@query
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_improbable_features(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+@query
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = op6_source_mix(spark, sf_dir)
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
+@query
+def base_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = op1_pitman_yor(spark, sf_dir)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens",
+                         F.round("base_score", 5).alias("base_score"))
