@@ -12,6 +12,8 @@ Only column expressions are used, no shuffle: a row becomes two rows where it is
 
 from __future__ import annotations
 
+import html.entities
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +21,17 @@ CRLF = "\r\n"
 #: Characters of base 32 as RFC 4648 and as ``conv`` write them.
 RFC_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
-#: Elements whose content is no text, and those that end a line.
-HIDDEN = r"(?is)<!--.*?-->|<(script|style|head|noscript|template)\b[^>]*>.*?</\1\s*>"
+#: Elements whose content is no text, to the page's end if they aren't closed, and those that end a line.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|title|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 BREAKS = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre)\b[^>]*>"
 TAGS = r"<[A-Za-z/!?][^>]*>"
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&"))
+REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+#: All named references and what numbers from 128 to 159 stand for, from Python's own tables; a no-break space
+#: is a space in plain text.
+NAMED = {name[:-1]: text.replace("\xa0", " ") for name, text in html.entities.html5.items() if name[-1] == ";"}
+LATIN = {str(i): bytes([i]).decode("cp1252", "replace") for i in range(128, 160)}
+PAIR, ENTRY = "\x1f", "\x1e"
+REPLACEMENT = "\ufffd"
 
 
 def sha1_base32(block: Column) -> Column:
@@ -44,14 +51,47 @@ def record_id(*parts: Column) -> Column:
                     F.lit("-8"), cut[3], F.lit("-"), cut[4], F.lit(">"))
 
 
+def looked_up(table: dict[str, str], key: Column) -> Column:
+    """The entry of a table that Spark folds to one constant; null if there is none."""
+    text = ENTRY.join(f"{k}{PAIR}{v}" for k, v in table.items())
+    return F.try_element_at(F.str_to_map(F.lit(text), F.lit(ENTRY), F.lit(PAIR)), key)
+
+
+def character(code: Column) -> Column:
+    """The character of a code point; the replacement character where there is none."""
+    known = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    utf32 = F.unhex(F.lpad(F.hex(F.when(known, code).otherwise(0xFFFD)), 8, "0"))
+    return F.coalesce(looked_up(LATIN, code.cast("string")), F.decode(utf32, "UTF-32"))
+
+
+def references_read(text: Column) -> Column:
+    """``text`` with every character reference that ends in a semicolon replaced by its character.
+
+    Named ones are those of HTML 5, numbers are decimal or hexadecimal; others stay as written.
+    What a reference gives is not read again.
+    """
+    def piece(part: Column) -> Column:
+        name = F.regexp_extract(part, REFERENCE, 1)
+        number = F.when(F.substring(name, 1, 1) == "#", F.when(
+            F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 8), 16, 10)
+        ).otherwise(F.substring(name, 2, 8))).try_cast("long")
+        read = F.when(name == "", None).when(number.isNotNull(), character(number)).otherwise(
+            looked_up(NAMED, name))
+        rest = F.substr(part, F.length(name) + 2)
+        return F.when(read.isNotNull(), F.concat(read, rest)).otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(text, "&", -1)
+    others = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), piece)
+    return F.concat(F.get(parts, F.lit(0)), F.array_join(others, ""))
+
+
 def plain_text(html: Column) -> Column:
-    """Text of a page: no scripts, comments or tags, a line for each block, entities read."""
+    """Text of a page: no scripts, comments or tags, a line for each block, references read."""
     text = F.regexp_replace(html, HIDDEN, " ")
     text = F.regexp_replace(text, r"[ \t\r\n]+", " ")
     text = F.regexp_replace(text, BREAKS, "\n")
     text = F.regexp_replace(text, TAGS, "")
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
+    text = references_read(text)
     text = F.regexp_replace(text, r"[ ]*\n[ \n]*", "\n")
     return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
 
@@ -82,7 +122,10 @@ def derive_records(responses: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
     record_id, refers_to, concurrent_to, target_uri, date, content_type, payload_digest (of
     the response's body), block_digest, content_length (UTF-8 bytes), block. Null headers or
     bodies are empty, a null address or date stays null, a page without text has an empty
-    conversion block. Repeated responses give repeated records; no rows give none.
+    conversion block, a very long one is converted whole. Repeated responses give repeated
+    records; no rows give none. Columns in ``keep`` must not be called like those returned.
+    For pages of a table without headers (``responses_of_pages``) the headers are made up of the
+    fetch's defaults.
     """
     body = F.coalesce(F.col("body"), F.lit(""))
     headers = F.coalesce(F.col("headers"), F.lit(""))
