@@ -203,3 +203,59 @@ SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, n AS train_t
        round(sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))), 5) AS base_score
 FROM tokens LEFT JOIN counted USING (w), totals GROUP BY doc_id, held_out, n
 """
+
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)" + "".join(
+    rf"|<{e}\b[^>]*>.*?(?:</{e}\s*>|\z)" for e in ("script", "style", "title", "noscript", "template"))
+_BREAKS = (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre)"
+           r"\b[^>]*>")
+
+
+def _digest(block: str) -> str:
+    return f"""'sha1:' || array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform(
+        [15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            ((('0x' || substr(sha1({block}), 5 * g::INT + 1, 5))::INT >> s) & 31) + 1, 1)), '')), '')"""
+
+
+def _identifier(text: str) -> str:
+    h = f"sha1({text})"
+    return (f"'<urn:uuid:' || substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3)"
+            f" || '-8' || substr({h}, 18, 3) || '-' || substr({h}, 21, 12) || '>'")
+
+
+# The references the test pages hold; an ampersand comes last, so none is read twice.
+_READ = "flat"
+for _name, _text in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+    _READ = f"replace({_READ}, '&{_name};', '{_text}')"
+ORACLES["op9_warc_derivatives"] = rf"""
+WITH pages_read AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
+texts AS (
+    SELECT *, {_identifier("concat_ws('|', 'response', coalesce(page_id::VARCHAR, ''), coalesce(url, ''), sha1(body))")} AS response,
+           {_digest('body')} AS payload_digest,
+           regexp_replace(regexp_replace(regexp_replace(regexp_replace(body, '{_HIDDEN}', ' ', 'g'),
+               '[ \t\r\n]+', ' ', 'g'), '{_BREAKS}', chr(10), 'g'), '<[A-Za-z/!?][^>]*>', '', 'g') AS flat
+    FROM pages_read),
+stripped AS (
+    SELECT *, regexp_replace(regexp_replace({_READ}, '[ ]*\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') AS text,
+           regexp_extract_all(body, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)', 1) AS found
+    FROM texts),
+described AS (
+    SELECT *, {_identifier("concat_ws('|', 'conversion', response)")} AS conversion_id,
+           {_identifier("concat_ws('|', 'metadata', response)")} AS metadata_id,
+           to_json(struct_pack(response := response, status := '200',
+               headers := ['HTTP/1.1 200 OK', 'Content-Type: text/html; charset=utf-8'],
+               title := trim(regexp_extract(body, '(?is)<title[^>]*>(.*?)</title', 1)),
+               links := list_filter(found, lambda x, i: list_position(found, x) = i),
+               body_bytes := strlen(body), text_chars := length(text),
+               payload_digest := payload_digest))::VARCHAR AS described
+    FROM stripped),
+records AS (
+    SELECT page_id, 'metadata' AS record_type, metadata_id AS record_id, response AS refers_to,
+           conversion_id AS concurrent_to, url, 'application/json' AS content_type, payload_digest, described AS block
+    FROM described
+    UNION ALL
+    SELECT page_id, 'conversion', conversion_id, response, NULL, url, 'text/plain', payload_digest, text FROM described)
+SELECT page_id, record_type, record_id, refers_to, concurrent_to, url AS target_uri, '1970-01-01T00:00:00Z' AS date,
+       content_type, payload_digest, {_digest('block')} AS block_digest, strlen(block)::BIGINT AS content_length,
+       sha256(block) AS block_sha256
+FROM records
+"""
