@@ -259,3 +259,85 @@ SELECT page_id, record_type, record_id, refers_to, concurrent_to, url AS target_
        sha256(block) AS block_sha256
 FROM records
 """
+
+# The primes of XXH64. Products of 64 bits are taken in 128 and cut.
+_P1, _P2, _P3 = 11400714785074694791, 14029467366897019727, 1609587929392839161
+_P4, _P5, _SEED = 9650029242287828579, 2870177450012600261, 42
+_2_64 = 1 << 64
+
+
+def _u(x: str | int) -> str:
+    return f"{x}::UHUGEINT"
+
+
+def _times(a: str, b: int) -> str:
+    return f"(({_u(a)} * {_u(b)}) % {_u(_2_64)})"
+
+
+def _turned(x: str, r: int) -> str:
+    return f"(({_u(x)} * {_u(1 << r)}) % {_u(_2_64)} + {_u(x)} // {_u(1 << 64 - r)})"
+
+
+def _xor(a: str, b: str) -> str:
+    return f"xor({a}::UBIGINT, {b}::UBIGINT)"
+
+
+def _lane(at: str, size: int) -> str:
+    """The little-endian number at byte ``at`` (from 0) of column ``x``, hexadecimal digits."""
+    return "(" + " + ".join(
+        f"('0x' || substr(x, 2 * ({at})::INT + {2 * i + 1}, 2))::UHUGEINT * {_u(1 << 8 * i)}" for i in range(size)) + ")"
+
+
+def _round(v: str, lane: str) -> str:
+    return _times(_turned(f"(({v} + {_times(lane, _P2)}) % {_u(_2_64)})", 31), _P1)
+
+
+def _stripes(number: int, start: int) -> str:
+    lanes = f"list_transform(range(n // 32), lambda i: {_lane(f'32 * i + {8 * number}', 8)})"
+    return f"list_reduce(list_concat([{_u(start % _2_64)}], {lanes}), lambda v, k: {_round('v', 'k')})"
+
+
+def _merged(h: str, v: str) -> str:
+    return f"(({_times(_xor(h, _round('0::UHUGEINT', v)), _P1)} + {_u(_P4)}) % {_u(_2_64)})"
+
+
+_EIGHTS = f"list_transform(range((n % 32) // 8), lambda i: {_round('0::UHUGEINT', _lane('n - n % 32 + 8 * i', 8))})"
+_BYTES = f"list_transform(range(n % 4), lambda i: {_lane('n - n % 4 + i', 1)})"
+ORACLES["op11_simhash_dedup"] = rf"""
+WITH RECURSIVE words AS (SELECT doc_id, coalesce(regexp_extract_all({LOWERED}, '{WORD}'), []) AS ws FROM documents),
+shingles AS (
+    SELECT doc_id, unnest(list_transform(range(1, greatest(len(ws) - 1, 2)), lambda i: array_to_string(ws[i:i + 2], ' '))) AS s
+    FROM words WHERE len(ws) > 0),
+texts AS (SELECT s, hex(encode(s)) AS x, strlen(s)::INT AS n FROM (SELECT DISTINCT s FROM shingles)),
+stripes AS (
+    SELECT s, x, n, {_stripes(0, _SEED + _P1 + _P2)} AS a, {_stripes(1, _SEED + _P2)} AS b,
+           {_stripes(2, _SEED)} AS c, {_stripes(3, _SEED - _P1)} AS d FROM texts),
+started AS (
+    SELECT *, CASE WHEN n < 32 THEN {_u((_SEED + _P5) % _2_64)} ELSE
+        ({_turned('a', 1)} + {_turned('b', 7)} + {_turned('c', 12)} + {_turned('d', 18)}) % {_u(_2_64)} END AS h FROM stripes),
+one AS (SELECT s, x, n, b, c, d, CASE WHEN n < 32 THEN h ELSE {_merged('h', 'a')} END AS h FROM started),
+two AS (SELECT s, x, n, c, d, CASE WHEN n < 32 THEN h ELSE {_merged('h', 'b')} END AS h FROM one),
+three AS (SELECT s, x, n, d, CASE WHEN n < 32 THEN h ELSE {_merged('h', 'c')} END AS h FROM two),
+four AS (SELECT s, x, n, ((CASE WHEN n < 32 THEN h ELSE {_merged('h', 'd')} END) + n::UHUGEINT) % {_u(_2_64)} AS h FROM three),
+eights AS (
+    SELECT s, x, n, list_reduce(list_concat([h], {_EIGHTS}),
+        lambda v, k: ({_times(_turned(_xor('v', 'k'), 27), _P1)} + {_u(_P4)}) % {_u(_2_64)}) AS h FROM four),
+fours AS (
+    SELECT s, x, n, CASE WHEN n % 8 < 4 THEN h ELSE ({_times(_turned(_xor('h', _times(_lane('n - n % 8', 4), _P1)), 23), _P2)}
+        + {_u(_P3)}) % {_u(_2_64)} END AS h FROM eights),
+ends AS (
+    SELECT s, list_reduce(list_concat([h], {_BYTES}),
+        lambda v, k: {_times(_turned(_xor('v', _times('k', _P5)), 11), _P1)}) AS h FROM fours),
+mixed AS (SELECT s, {_times(_xor('h', f'(h // {_u(1 << 33)})'), _P2)} AS h FROM ends),
+mixed_again AS (SELECT s, {_times(_xor('h', f'(h // {_u(1 << 29)})'), _P3)} AS h FROM mixed),
+hashed AS (SELECT s, {_xor('h', f'(h // {_u(1 << 32)})')} AS h FROM mixed_again),
+prints AS (
+    SELECT doc_id, ({' + '.join(f"CASE WHEN 2 * sum((h >> {b}) & 1) > count(*) THEN {_u(1 << b)} ELSE 0::UHUGEINT END" for b in range(64))})::UBIGINT AS p
+    FROM shingles JOIN hashed USING (s) GROUP BY doc_id),
+all_prints AS (SELECT doc_id, coalesce(p, 0::UBIGINT) AS p FROM documents LEFT JOIN prints USING (doc_id)),
+classes AS (SELECT p, min(doc_id) AS least FROM all_prints GROUP BY p),
+links AS (SELECT a.p AS x, b.p AS y FROM classes a JOIN classes b ON bit_count(xor(a.p, b.p)) <= 3 AND a.p <> b.p),
+reached AS (SELECT p, p AS other FROM classes UNION SELECT r.p, y FROM reached r JOIN links ON x = r.other),
+components AS (SELECT r.p, min(c.least) AS component_id FROM reached r JOIN classes c ON c.p = r.other GROUP BY r.p)
+SELECT doc_id, format('{{:016x}}', p) AS fingerprint, component_id FROM all_prints JOIN components USING (p)
+"""
