@@ -1,19 +1,20 @@
-"""Removal of repeated byte strings by block-wise sorting of the suffixes under a cover sample.
+"""Removal of repeated byte strings by block-wise suffix sorting with a difference cover.
 
 Which bytes are covered by a 50-byte string that an earlier document has is a question about
-neighbours in the suffix order. All suffixes of the corpus are not sorted: a cover sample
-decides which can have a neighbour at all. Of every 50-byte window the 16-byte gram of least
-hash is a sample position, so equal windows sample equal positions (a difference cover gives
-the same guarantee for positions instead of contents, but samples four times as many).
-Consecutive windows with one sample make a run, and a run's bytes are its context.
-
-1. Runs are grouped by sample. A run whose whole context an earlier document has goes; a
-   sample with one context needs nothing more.
-2. Samples with several contexts are the buckets left: one run per distinct context, of the
-   earliest document, is sent to its bucket as bytes. Each bucket sorts its suffixes, word by
-   word to 50 bytes, and in every run of equal ones the later documents' windows go.
-
-So what moves is 24 bytes a sample, and bytes only around places where repeats begin or end.
+neighbours in the order of the suffixes, taken to 50 bytes. Suffixes are sorted a bucket at a time.
+
+1. Buckets. Of every 50-byte window the 16-byte gram of least hash names the bucket, so equal
+   windows share one. Consecutive windows with one such gram make a run, whose bytes are its
+   context. A run whose whole context an earlier document has goes at once, and a bucket with one
+   context needs no sorting.
+2. Each bucket that is left gets one run per distinct context, of the earliest document, as
+   bytes. The positions of a difference cover modulo 3 are ranked by doubling; then
+   suffixes are sorted by at most two bytes, the rank of the cover position behind them, and the bytes left to
+   50. So ties, however long, are settled by the ranks, and no suffix is ever copied: memory is a
+   few numbers a byte. In every run of equal suffixes the later documents' windows go.
+
+So what moves is 24 bytes a run, and bytes only around places where repeats begin or end. Sending
+all suffixes, one for each byte, would take some twenty times the text's size in shuffles.
 """
 
 from __future__ import annotations
@@ -33,8 +34,12 @@ from meterlens.storage import durable
 
 LENGTH = 50
 GRAM = 16
-#: Window starts whose suffixes a bucket sorts at a time.
+#: Bytes whose ranks are computed at the positions of the difference cover.
+COVER = 48
+#: Window starts whose suffixes are sorted at a time.
 BUCKET_ROWS = 1 << 19
+#: Text whose samples one partition takes, about 24 bytes for every 18 of text.
+PARTITION_BYTES = 64 << 20
 
 
 def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -129,24 +134,73 @@ def pair_hash(sample: np.ndarray, context: np.ndarray) -> np.ndarray:
     return mix64(sample * U(3) ^ context)
 
 
-def sorted_repeats(windows: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """Which windows (rows of ``LENGTH`` bytes) an earlier document has too."""
-    words = -(-LENGTH // 8)
-    padded = np.zeros((len(windows), words * 8), np.uint8)
-    padded[:, :LENGTH] = windows
-    keys = padded.view(">u8").astype(U)
-    order = np.lexsort((docs, *keys.T[::-1]))
-    keys, owner = keys[order], docs[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
-    least = owner[np.flatnonzero(new)][np.cumsum(new) - 1]
-    out = np.zeros(len(order), bool)
-    out[order] = owner > least
+def ranks(keys: np.ndarray) -> np.ndarray:
+    """The place of each key among the distinct ones, in their order."""
+    order = np.argsort(keys)
+    new = np.ones(len(keys), np.int64)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    out = np.empty(len(keys), U)
+    out[order] = np.cumsum(new) - 1
     return out
 
 
+def cover_ranks(text: np.ndarray) -> np.ndarray:
+    """Ranks of the ``COVER`` bytes from each sample position of ``text``, by doubling.
+
+    Sample positions are those of the difference cover {1, 2} modulo 3: for any two
+    positions there is a step of 0, 1 or 2 after which both are in the sample. Their first six bytes are a
+    number; ranks of twice the length come from two ranks, six, twelve and 24 bytes apart, which
+    are positions of the sample again. Entries of other positions, and near the end, are 0.
+    """
+    n = len(text)
+    out = np.zeros(n, U)
+    places = np.arange(n - COVER + 1)
+    places = places[places % 3 != 0]
+    # All sample positions that a doubling step looks at.
+    seen = np.arange(n - 5)
+    seen = seen[seen % 3 != 0]
+    first = np.zeros(len(seen), U)
+    for i in range(6):
+        first = first << U(8) | text[seen + i]
+    rank = np.zeros(n + COVER, U)
+    rank[seen] = ranks(first)
+    for width in (6, 12, 24):
+        reach = seen[seen <= n - 2 * width]
+        rank[reach] = ranks(rank[reach] << U(32) | rank[reach + width])
+        seen = reach
+    out[places] = rank[places]
+    return out
+
+
+def sorted_repeats(text: np.ndarray, starts: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Which windows of ``LENGTH`` bytes, at ``starts`` in ``text``, an earlier document has too.
+
+    Windows are sorted by the bytes before the next sample position that both sides of a
+    comparison have, the rank of the ``COVER`` bytes there, and the bytes left: no more than
+    that is compared, however long equal stretches are. Each of the three steps brings two of
+    the three residues together.
+    """
+    rank, least = cover_ranks(text), docs.copy()
+    residue = starts % 3
+    byte = text.astype(U)
+    for step in range(3):
+        # Residues that are in the sample after this step.
+        some = np.flatnonzero((residue + step) % 3 != 0)
+        at = starts[some]
+        key = rank[at + step]
+        for i in [*range(step), *range(step + COVER, LENGTH)]:
+            key = key << U(8) | byte[at + i]
+        order = np.argsort(key)
+        key, owner = key[order], docs[some[order]]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        lengths = np.diff(np.append(first, len(key)))
+        low = np.repeat(np.minimum.reduceat(owner, first), lengths) if len(key) else owner
+        least[some[order]] = np.minimum(least[some[order]], low)
+    return docs > least
+
+
 def bucket_repeats(contexts: DataFrame, partitions: int) -> DataFrame:
-    """(row, start, end): runs of windows of ``contexts`` (bucket, doc, row, start, bytes) that go.
+    """(doc, row, start, end): runs of windows of ``contexts`` (bucket, doc, row, start, bytes) that go.
 
     Equal windows are in one bucket. Buckets share tasks; a task sorts the suffixes of one
     slice of its buckets at a time, ``BUCKET_ROWS`` or one whole bucket.
@@ -165,26 +219,26 @@ def bucket_repeats(contexts: DataFrame, partitions: int) -> DataFrame:
             yield repeats(held)
 
     def repeats(held: list[tuple]) -> pa.RecordBatch:
-        windows = np.concatenate([
-            np.lib.stride_tricks.sliding_window_view(np.frombuffer(d, np.uint8), LENGTH)
-            for *_, d in held])
-        sizes = np.array([len(d) - LENGTH + 1 for *_, d in held])
-        docs = np.repeat(np.array([h[1] for h in held]), sizes)
-        own = np.repeat(np.array([h[2] for h in held]), sizes)
-        at = np.concatenate([np.arange(start, start + k) for (*_, start, _), k in zip(held, sizes)])
-        gone = np.flatnonzero(sorted_repeats(windows, docs))
+        text = np.frombuffer(b"".join(h[4] for h in held), np.uint8)
+        lengths = np.array([len(h[4]) for h in held])
+        sizes = lengths - LENGTH + 1
+        # No window reaches from one context into the next.
+        offsets = np.cumsum(lengths) - lengths
+        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        doc, own, start = (np.repeat(np.array([h[i] for h in held], np.int64), sizes) for i in (1, 2, 3))
+        gone = np.flatnonzero(sorted_repeats(text, np.repeat(offsets, sizes) + within, doc))
         # Neighbouring windows of a row are one run.
-        own, at = own[gone], at[gone]
+        doc, own, at = doc[gone], own[gone], (start + within)[gone]
         new = np.ones(len(gone), bool)
-        new[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)
+        new[1:] = (doc[1:] != doc[:-1]) | (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(gone)) - 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(own[first]), pa.array(at[first]), pa.array(at[last] + 1)] if len(gone) else
-            [pa.array([], pa.int64())] * 3, names=["row", "start", "end"])
+            [pa.array(x) for x in (doc[first], own[first], at[first], at[last] + 1)] if len(gone) else
+            [pa.array([], pa.int64())] * 4, names=["doc", "row", "start", "end"])
 
     return contexts.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        sort, "row long, start long, end long")
+        sort, "doc long, row long, start long, end long")
 
 
 def remove_bytes(data: bytes, starts: list[int], ends: list[int]) -> tuple[int, int, str]:
@@ -291,10 +345,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     A byte goes if a 50-byte string over it also starts in a document with a smaller key,
     judged on the texts as they are. Null texts are empty, texts below 50 bytes stay. Rows
     that repeat a key are one document: none removes from the other. A row with a null
-    key loses and removes nothing. No rows give none.
+    key loses and removes nothing. Very long texts are judged whole; other columns are not read.
+    No rows give none.
     """
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     data = F.coalesce(F.encode(text, "UTF-8"), F.lit(b""))
+    size = docs.agg(F.sum(F.length(data))).first()[0] or 0
+    partitions = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                     -(-int(size) // PARTITION_BYTES))
     read = docs.select(F.col(key).alias("_key"), F.col(key).cast("long").alias("doc"),
                        F.xxhash64(key, text).alias("row"), data.alias("data"))
     found = durable(classify(sample_rows(read.where("doc is not null"), "doc", "data"), partitions))
@@ -304,9 +361,9 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     late = bucket_repeats(
         looked.where("bucket is not null").select("bucket", "doc", "row", "start", "bytes"),
         partitions)
-    late = late.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("r")).select(
-        "row", F.col("r.start").alias("late_starts"), F.col("r.end").alias("late_ends"))
-    waiting = looked.where("bucket is null and n_bytes is null").join(late, "row", "left")
+    late = late.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("r")).select(
+        "doc", "row", F.col("r.start").alias("late_starts"), F.col("r.end").alias("late_ends"))
+    waiting = looked.where("bucket is null and n_bytes is null").join(late, ["doc", "row"], "left")
     columns = ["_key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     done = looked.where("n_bytes is not null").select(*columns)
     return done.unionByName(finish(waiting)).withColumnRenamed("_key", key)

@@ -481,3 +481,29 @@ def test_the_battery_is_fair():
     assert np.mean([evidence(v, skewed) > 3 for v in random_digits]) > 0.95
     patterns = [np.arange(62), np.tile([0, 26, 53], 20), np.repeat([3, 40], 20), np.arange(64)[::-1]]
     assert max(evidence(v, skewed) for v in patterns) < 0.5
+
+
+def test_cover_ranks_and_sorted_windows():
+    """Ranks of the cover positions order as their bytes do; windows as one by one."""
+    from meterlens.llm.suffixes import COVER, LENGTH, cover_ranks, sorted_repeats
+
+    rng = np.random.default_rng(9)
+    for trial in range(30):
+        parts = [rng.integers(97, 97 + int(rng.integers(1, 4)), int(rng.integers(LENGTH, 400))).astype(np.uint8)
+                 for _ in range(int(rng.integers(1, 8)))]
+        parts += [np.concatenate([parts[0][-60:], parts[-1][:70]]), parts[0].copy(), np.zeros(120, np.uint8)]
+        text = np.concatenate(parts)
+        data = text.tobytes()
+        rank = cover_ranks(text)
+        places = [p for p in range(len(data) - COVER + 1) if p % 3]
+        by_bytes = {w: i for i, w in enumerate(sorted({data[p:p + COVER] for p in places}))}
+        assert [by_bytes[data[p:p + COVER]] for p in places] == rank[places].tolist()
+        offsets = np.cumsum([0, *map(len, parts)])[:-1]
+        starts = np.concatenate([o + np.arange(len(p) - LENGTH + 1) for o, p in zip(offsets, parts)])
+        docs = np.repeat(rng.integers(0, 6, len(parts)), [len(p) - LENGTH + 1 for p in parts])
+        least = {}
+        for at, doc in zip(starts.tolist(), docs.tolist()):
+            w = data[at:at + LENGTH]
+            least[w] = min(doc, least.get(w, doc))
+        wanted = [doc > least[data[at:at + LENGTH]] for at, doc in zip(starts.tolist(), docs.tolist())]
+        assert sorted_repeats(text, starts, docs).tolist() == wanted
