@@ -407,6 +407,27 @@ def test_empty_tables_give_no_rows(spark):
              lambda d: predict_languages(d, train_language_model(d))]
     for call in calls:
         assert call(df).count() == 0, call
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert nearest(vectors, F.lit(True)).count() == 0
+    responses = spark.createDataFrame(
+        [], "record_id string, target_uri string, date string, headers string, body string")
+    assert derive_records(responses).count() == 0
+
+
+def test_extra_columns_and_long_texts(spark):
+    """Columns called like the operators' own, and a text of two million characters."""
+    long = "the river " * 200_000
+    df = spark.createDataFrame(
+        [(1, long, "en", 1, 2, 3, "x"), (2, "der fluss", "de", 1, 2, 3, "x"), (3, None, "en", 1, 2, 3, "x")],
+        "doc_id long, text string, lang string, spans int, lang_pred int, _has_letter int, block string")
+    model = train_language_model(df, key=F.col("doc_id"))
+    assert predict_languages(df, model, keep=("doc_id", "text")).count() == 3
+    assert find_secrets(df).where(F.size("spans") > 0).count() == 0
+    pages = df.select("doc_id", F.lit("r").alias("record_id"), F.lit("u").alias("target_uri"), F.lit("d").alias("date"),
+                      F.lit("").alias("headers"), F.col("text").alias("body"), "block", "spans")
+    sizes = {r["doc_id"]: r["content_length"] for r in derive_records(pages, keep=("doc_id",)).where(
+        "record_type = 'conversion'").collect()}
+    assert sizes == {1: len(long) - 1, 2: 9, 3: 0}
 
 
 def test_pipeline_keeps_clean_documents(spark, folder):
