@@ -19,11 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from meterlens.llm.arrow_words import slices
+
 UNDETERMINED = "und"
 BUCKET_BITS = 15
 ORDERS = (1, 2, 3)
 #: Labelled rows the weights are fitted on, at most: shared evenly by the languages.
 MAX_ROWS = 2400
+#: Bytes of text in a batch of answers.
+SLICE_BYTES = 1 << 20
 #: Every fifth row of the sample fits the temperature instead of the weights.
 CALIBRATION_PART = 5
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 2e-4, 1e-4, 4
@@ -264,36 +268,38 @@ def predict_languages(
     """``keep`` and (lang_pred, score) per row, from the text alone.
 
     A text that is null or has no letter, and every text of a model without languages, is
-    ``und`` with score 0. The model is ``2**bits`` times the number of languages numbers,
+    ``und`` with score 0. Very long texts are read whole, one at a time; of languages that tie the
+    first in the model's order is taken; repeated rows get equal answers. The model is ``2**bits`` times the number of languages numbers,
     sent to each executor once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    own = text in keep  # a text that is kept travels once
+    columns = [*keep] if own else [*keep, "_text"]
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         weights = m.weights.astype(np.float32)
+        at = columns.index(text if own else "_text")
         for batch in batches:
-            names, scores = [], []
-            texts = batch.column(batch.schema.get_field_index(text if text in keep else "_text"))
-            for value, lettered in zip(texts, batch.column(batch.num_columns - 1)):
-                t = value.as_py() if lettered.as_py() else None
-                if not m.languages or not t:
-                    names.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                found, counts = ngram_counts(t, m.orders, m.bits)
-                logits = (tfidf(found, counts, m.idf) @ weights[found] + m.bias) / m.temperature
-                p = np.exp(logits - logits.max())
-                best = int(p.argmax())
-                names.append(m.languages[best])
-                scores.append(float(p[best] / p.sum()))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names[:len(keep)], "lang_pred", "score"])
-
-    has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    # A text that is kept travels once.
-    added = [] if text in keep else [F.col(text).alias("_text")]
-    read = docs.select(*keep, *added, has_letter.alias("_has_letter"))
+            for part in slices(batch, at, SLICE_BYTES):
+                names, scores = [], []
+                for value in part.column(at):
+                    t = value.as_py()
+                    if not m.languages or not t or not any(map(str.isalpha, t)):
+                        names.append(UNDETERMINED)
+                        scores.append(0.0)
+                        continue
+                    found, counts = ngram_counts(t, m.orders, m.bits)
+                    logits = (tfidf(found, counts, m.idf) @ weights[found] + m.bias) / m.temperature
+                    p = np.exp(logits - logits.max())
+                    best = int(p.argmax())
+                    names.append(m.languages[best])
+                    scores.append(float(p[best] / p.sum()))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*keep, "lang_pred", "score"])
+
+    read = docs.select(*keep, *([] if own else [F.col(text).alias("_text")]))
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     return read.mapInArrow(predict, schema)
