@@ -29,25 +29,25 @@ from meterlens.storage import durable, recorded, remove_tables
 MIN_LANGUAGE_SCORE = 0.35
 
 
-def packed(docs: DataFrame, *columns: str) -> DataFrame:
-    """``columns``, and all others as one ``row``: none of their names meets an operator's own."""
-    return docs.select(*columns, F.struct(*[c for c in docs.columns if c not in columns]).alias("row"))
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns called by number, none like an operator's own, and their names."""
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
 
 
-def unpacked(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
-    """The columns of ``docs`` again, those named in ``changed`` with new values."""
-    inside = rows.schema["row"].dataType.names
-    return rows.select(*[
-        changed.get(c, F.col("row")[c] if c in inside else F.col(c)).alias(c) for c in docs.columns])
+def named(rows: DataFrame, names: dict[str, str], **changed: Column) -> DataFrame:
+    """The columns by their names again, those in ``changed`` with new values."""
+    return rows.select(*[changed.get(c, F.col(n)).alias(c) for c, n in names.items()])
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter or a likely language; fill in a missing ``lang``."""
     held = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
     model = train_language_model(docs.where(~held), key=F.col("doc_id"))
-    predicted = predict_languages(packed(docs, "text"), model, keep=("text", "row"))
+    rows, at = numbered(docs)
+    predicted = predict_languages(rows, model, at["text"], keep=tuple(rows.columns))
     likely = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
-    return unpacked(predicted.where(likely), docs, lang=F.coalesce("row.lang", "lang_pred"))
+    return named(predicted.where(likely), at, lang=F.coalesce(at["lang"], "lang_pred"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,17 +69,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every secret by a mark; no document goes."""
-    found = find_secrets(packed(docs, "text"), keep=("text", "row"))
-    clean = redact(found.drop("base"), "spans")
-    length = F.when(F.size("spans") > 0, F.length("text").cast("long"))
-    return unpacked(clean, docs, n_chars=F.coalesce(length, F.col("row.n_chars")))
+    rows, at = numbered(docs)
+    found = find_secrets(rows, at["text"], keep=tuple(rows.columns))
+    clean = redact(found.drop("base"), "spans", at["text"])
+    length = F.when(F.size("spans") > 0, F.length(at["text"]).cast("long"))
+    return named(clean, at, n_chars=F.coalesce(length, at["n_chars"]))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take each source's words near its target: documents repeat, or go."""
-    rows = packed(docs, "doc_id", "source", "text", "n_chars")
-    mixed = apply_mix(mix_to_targets(rows, keep=("source", "text", "n_chars", "row")))
-    return unpacked(mixed, docs)
+    rows, at = numbered(docs)
+    rest = tuple(c for c in rows.columns if c != at["doc_id"])
+    mixed = mix_to_targets(rows, at["source"], at["text"], key=at["doc_id"], keep=rest)
+    return named(apply_mix(mixed, at["text"], at["n_chars"]), at)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
