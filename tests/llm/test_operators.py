@@ -329,8 +329,8 @@ def test_windows_stay_small_where_vectors_have_structure():
     ids = np.arange(len(x))
     arrays = SortedArrays(ids, x, float(np.linalg.norm(x, axis=1).max()))
     hits = looked = 0
-    for q in range(0, 6000, 200):
-        near, scores, verified = arrays.search(q, x[q], 20)
+    asked = np.arange(0, 6000, 200)
+    for q, (near, scores, verified) in zip(asked, arrays.search(asked, x[asked], 20)):
         order = np.lexsort((ids, -(x @ x[q])))
         hits += len(set(order[order != q][:20].tolist()) & set(near.tolist()))
         looked += verified
