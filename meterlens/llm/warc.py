@@ -27,8 +27,10 @@ BREAKS = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|heade
 TAGS = r"<[A-Za-z/!?][^>]*>"
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 #: All named references and what numbers from 128 to 159 stand for, from Python's own tables; a no-break space
-#: is a space in plain text.
-NAMED = {name[:-1]: text.replace("\xa0", " ") for name, text in html.entities.html5.items() if name[-1] == ";"}
+#: is a space in plain text. The commonest come first, where they are found soonest.
+COMMON = ["amp", "nbsp", "quot", "lt", "gt", "apos", "copy", "middot", "mdash", "ndash", "rsquo", "hellip"]
+NAMED = {name: html.entities.html5[name + ";"].replace("\xa0", " ") for name in [
+    *COMMON, *(n[:-1] for n in html.entities.html5 if n[-1] == ";" and n[:-1] not in COMMON)]}
 LATIN = {str(i): bytes([i]).decode("cp1252", "replace") for i in range(128, 160)}
 PAIR, ENTRY = "\x1f", "\x1e"
 REPLACEMENT = "\ufffd"
@@ -70,19 +72,21 @@ def references_read(text: Column) -> Column:
     Named ones are those of HTML 5, numbers are decimal or hexadecimal; others stay as written.
     What a reference gives is not read again.
     """
-    def piece(part: Column) -> Column:
-        name = F.regexp_extract(part, REFERENCE, 1)
+    def piece(found: Column) -> Column:
+        part, name = found["part"], found["name"]
         number = F.when(F.substring(name, 1, 1) == "#", F.when(
             F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 8), 16, 10)
         ).otherwise(F.substring(name, 2, 8))).try_cast("long")
         read = F.when(name == "", None).when(number.isNotNull(), character(number)).otherwise(
             looked_up(NAMED, name))
         rest = F.substr(part, F.length(name) + 2)
-        return F.when(read.isNotNull(), F.concat(read, rest)).otherwise(F.concat(F.lit("&"), part))
+        return F.when(found["first"], part).when(read.isNotNull(), F.concat(read, rest)).otherwise(
+            F.concat(F.lit("&"), part))
 
-    parts = F.split(text, "&", -1)
-    others = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), piece)
-    return F.concat(F.get(parts, F.lit(0)), F.array_join(others, ""))
+    # One pass over the pieces: the text stands in the expression once, the pattern is matched once.
+    pieces = F.transform(F.split(text, "&", -1), lambda p, i: F.struct(
+        p.alias("part"), F.regexp_extract(p, REFERENCE, 1).alias("name"), (i == 0).alias("first")))
+    return F.array_join(F.transform(pieces, piece), "")
 
 
 def plain_text(html: Column) -> Column:
