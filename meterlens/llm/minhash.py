@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from meterlens.llm.arrow_words import slices
 from meterlens.llm.shingles import U, mix64, shingle_set
 from meterlens.storage import durable, recorded, remove_tables
 
@@ -86,7 +87,7 @@ def shingled(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFr
     Texts without words have no set: size 0, null digest and bands.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             sizes, digests, bands = [], [], []
             for data in batch.column(1).to_pylist():
                 s = shingle_set(np.frombuffer(data or b"", np.uint8), words)
@@ -112,7 +113,7 @@ def shingled(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFr
 def shingle_sets(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
     """(key, hashes): the full sets as sorted arrays of 64-bit hashes in one binary."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             sets = [shingle_set(np.frombuffer(d or b"", np.uint8), words).tobytes()
                     for d in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -125,7 +126,7 @@ def shingle_sets(docs: DataFrame, key: str, text: str, words: int = WORDS) -> Da
 def similar(pairs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     """(a, b) of the pairs whose full sets, ``a_set`` and ``b_set``, are alike enough."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, U), np.frombuffer(y, U)
