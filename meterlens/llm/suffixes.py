@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from meterlens.llm.shingles import BYTE_VALUES, U, mix64, powers
-from meterlens.storage import durable
+from meterlens.storage import durable, recorded, remove_tables
 
 LENGTH = 50
 GRAM = 16
@@ -354,10 +354,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
                      -(-int(size) // PARTITION_BYTES))
     read = docs.select(F.col(key).alias("_key"), F.col(key).cast("long").alias("doc"),
                        F.xxhash64(key, text).alias("row"), data.alias("data"))
-    found = durable(classify(sample_rows(read.where("doc is not null"), "doc", "data"), partitions))
+    with recorded() as made:
+        found = durable(classify(sample_rows(read.where("doc is not null"), "doc", "data"), partitions))
+    remove_tables(docs.sparkSession, [])
     marks = found.groupBy("doc").agg(F.collect_list(F.struct("pair", "gone")).alias("m")).select(
         "doc", F.col("m.pair").alias("pairs"), F.col("m.gone").alias("gone"))
     looked = durable(look(pack(read, "data").join(marks, "doc", "left")))
+    remove_tables(docs.sparkSession, made)
     late = bucket_repeats(
         looked.where("bucket is not null").select("bucket", "doc", "row", "start", "bytes"),
         partitions)
