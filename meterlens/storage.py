@@ -44,6 +44,20 @@ def durable(df: DataFrame, *partitions: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def durable_buckets(df: DataFrame, key: str, count: int) -> DataFrame:
+    """Write ``df`` once as a table of ``count`` buckets by ``key`` and read it back.
+
+    Joins on ``key`` with rows that are repartitioned in ``count`` by it leave the table's rows
+    where they are.
+    """
+    spark, name = df.sparkSession, f"meterlens_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/meterlens/{name}"
+    for record in _RECORDS:
+        record.append(path)
+    df.write.format("parquet").bucketBy(count, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 @contextmanager
 def recorded() -> Iterator[list[str]]:
     """The paths of the tables ``durable`` writes in the block, in order."""

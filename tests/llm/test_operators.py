@@ -20,8 +20,9 @@ from meterlens.llm.langid import predict_languages, train_language_model
 from meterlens.llm.minhash import near_duplicates
 from meterlens.llm.mixing import mix_to_targets, targets
 from meterlens.llm.neighbours import nearest
-from meterlens.llm.pitman_yor import score_texts
+from meterlens.llm.pitman_yor import Block, Seating, Totals, score_texts
 from meterlens.llm.secrets import find_secrets, redact
+from meterlens.llm.shingles import word_hashes
 from meterlens.llm.suffixes import remove_repeats
 from meterlens.llm.warc import NAMED, derive_records, plain_text, references_read, warc_text
 
@@ -257,6 +258,50 @@ def test_language_model_beats_word_frequencies(spark):
     assert sum(r["score"] for r in held) > 0.8 * sum(r["base_score"] for r in held)
 
 
+def test_every_previous_word_has_its_own_restaurant(spark):
+    """Two words that agree in 16 bits of their hashes, wherever these lie, are told apart."""
+    for low in (0, 16, 32, 48):
+        seen: dict[int, str] = {}
+        for i in range(100_000):
+            word = f"w{i}"
+            part = int(word_hashes(np.frombuffer(word.encode(), np.uint8))[0]) >> low & 0xFFFF
+            if part in seen:
+                break
+            seen[part] = word
+        one, other = seen[part], word
+        rows = by_id(score_texts(table(
+            spark, [f"{one} left", f"{other} right"] * 40 + [f"{one} left", f"{one} right"]), F.col("doc_id") >= 80))
+        assert rows[80]["score"] > rows[81]["score"] + 1
+
+
+def test_language_model_sums_to_one():
+    """Over all words and an unknown one, in restaurants that several blocks share."""
+    rng = np.random.default_rng(3)
+    counts = rng.poisson(0.7, size=(30, 5))  # of word and context
+    counts[:, 4] = 0
+    blocks = []
+    for number, words in enumerate((range(12), range(12, 30))):
+        types = [(w, u) for w in words for u in range(5)]
+        train = np.array([counts[t] for t in types], np.int64)
+        blocks.append(Block(number, np.full(len(words), 5, np.uint32), np.array([u for _, u in types]), train))
+    seatings = [Seating(b) for b in blocks]
+    discounts = (0.6, 0.4)
+    for number in range(4):
+        others = sum(np.bincount(b.context, s.tables, minlength=5) for b, s in zip(blocks, seatings))
+        totals = Totals(counts.sum(), (counts.sum(axis=1) > 0).sum(), discounts,
+                        sum(s.root.sum() for s in seatings), sum(s.root_tables.sum() for s in seatings))
+        seatings = [Seating(b, totals, s.tables, s.root_tables, counts.sum(axis=0).astype(float), others)
+                    for b, s in zip(blocks, seatings)]
+        for s in seatings:
+            assert ((s.tables >= (s.block.train > 0)) & (s.tables <= s.block.train)).all()
+        p = sum(np.bincount(b.context, s.predictive(), minlength=5) for b, s in zip(blocks, seatings))
+        unknown = (1 + discounts[1] * totals.root_tables) / (totals.v + 1) / (1 + totals.root_customers)
+        p += (1 + discounts[0] * others) / (1 + counts.sum(axis=0)) * unknown * (
+            1 + totals.v - (counts.sum(axis=1) >= 0).sum())
+        assert np.allclose(p, 1)
+        seatings = [s.swept(np.random.default_rng([number, s.block.number])) for s in seatings]
+
+
 def test_language_id_on_held_out_rows(spark):
     rng = random.Random(2)
     words = {"en": "the of and with house river which night walking".split(),
