@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -73,10 +74,13 @@ def remove_tables(spark: SparkSession, paths: list[str]) -> None:
     """Remove tables that ``durable`` wrote and nothing will read any more.
 
     Spark deletes the shuffle files behind them once the driver's collector has met the plans
-    that made them, so it is run as well; by itself that may take half an hour.
+    that made them, so it is run as well; by itself that may take half an hour. What the first
+    run lets go, a second one meets.
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
         place = jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(conf).delete(place, True)
-    jvm.System.gc()
+    for _ in range(2):
+        jvm.System.gc()
+        time.sleep(0.2)
