@@ -11,6 +11,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _RECORDS: list[list[str]] = []
+#: Bytes in one Arrow batch between Spark and Python while a table is written, about. A batch is
+#: held on both sides, by every task.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,6 +33,17 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Plans that run in the block hand Python ``BATCH_BYTES`` of rows at a time, one row at least."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
 def durable(df: DataFrame, *partitions: str) -> DataFrame:
     """Write ``df`` once and read it back, in a folder per value of ``partitions`` if named.
 
@@ -41,7 +56,8 @@ def durable(df: DataFrame, *partitions: str) -> DataFrame:
     writer = df.write.partitionBy(*partitions) if partitions else df.write
     for record in _RECORDS:
         record.append(path)
-    writer.parquet(path)
+    with small_batches(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -55,7 +71,8 @@ def durable_buckets(df: DataFrame, key: str, count: int) -> DataFrame:
     path = f"{shared_folder(spark)}/meterlens/{name}"
     for record in _RECORDS:
         record.append(path)
-    df.write.format("parquet").bucketBy(count, key).option("path", path).saveAsTable(name)
+    with small_batches(spark):
+        df.write.format("parquet").bucketBy(count, key).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
