@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from meterlens.llm.arrow_words import slices
 from meterlens.llm.shingles import BYTE_VALUES, U, mix64, powers
 from meterlens.storage import durable, recorded, remove_tables
 
@@ -37,7 +38,9 @@ GRAM = 16
 #: Bytes whose ranks are computed at the positions of the difference cover.
 COVER = 48
 #: Window starts whose suffixes are sorted at a time.
-BUCKET_ROWS = 1 << 19
+BUCKET_ROWS = 1 << 17
+#: Bytes of compressed text that a task looks at, or finishes, at a time.
+LOOK_BYTES = 1 << 20
 #: Text whose samples one partition takes, about 24 bytes for every 18 of text.
 PARTITION_BYTES = 64 << 20
 
@@ -73,7 +76,7 @@ def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 def sample_rows(docs: DataFrame, key: str, data: str) -> DataFrame:
     """(sample, context, doc): the distinct runs of each document."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             samples, contexts, numbers = [], [], []
             for k, d in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 _, _, s, c = runs(np.frombuffer(d, np.uint8))
@@ -267,7 +270,7 @@ def pack(docs: DataFrame, data: str) -> DataFrame:
     """``docs`` with ``data`` compressed, so that texts move in less than half their size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, whole.schema.get_field_index(data))):
             at = batch.schema.get_field_index(data)
             columns = list(batch.columns)
             columns[at] = pa.array([squeeze.compress(d) for d in columns[at].to_pylist()], pa.binary())
@@ -284,7 +287,7 @@ def look(docs: DataFrame) -> DataFrame:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack, squeeze = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 3, LOOK_BYTES)):
             out: list[tuple] = []
             for k, doc, row, packed, pairs, gone in zip(*(c.to_pylist() for c in batch.columns)):
                 data = unpack.decompress(packed)
@@ -323,7 +326,7 @@ def finish(waiting: DataFrame) -> DataFrame:
     """The result of ``waiting`` (_key, bytes, starts, ends, late_starts, late_ends)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, LOOK_BYTES)):
             out = []
             for _, packed, starts, ends, more, more_ends in zip(*(c.to_pylist() for c in batch.columns)):
                 data = unpack.decompress(packed)
@@ -364,7 +367,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     late = bucket_repeats(
         looked.where("bucket is not null").select("bucket", "doc", "row", "start", "bytes"),
         partitions)
-    late = late.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("r")).select(
+    late = durable(late).groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("r")).select(
         "doc", "row", F.col("r.start").alias("late_starts"), F.col("r.end").alias("late_ends"))
     waiting = looked.where("bucket is null and n_bytes is null").join(late, ["doc", "row"], "left")
     columns = ["_key", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
