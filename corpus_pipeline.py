@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the
 columns of documents, whatever they are called. A stage's rows are written as Parquet before
-the next stage reads them. A stage learns from its own input.
+the next stage reads them. A stage learns from its own input. Unless the
+session has a limit for Arrow batches of its own, it gets a small one: a stage's rows are read
+after the stage has returned.
 
 Null, empty and very long texts: language ID rejects texts without a letter, every other stage
 takes a text as it is. Copies, repeated rows among them, leave one document. Ties go to the
@@ -11,6 +13,7 @@ smaller id. Empty documents give no rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +26,7 @@ from meterlens.llm.minhash import near_duplicates
 from meterlens.llm.mixing import apply_mix, mix_to_targets
 from meterlens.llm.queries import TOKENIZER
 from meterlens.llm.secrets import find_secrets, redact
-from meterlens.storage import durable, recorded, remove_tables
+from meterlens.storage import durable, limit_batches, recorded, remove_tables
 
 #: A text is rejected whose likeliest language has less than this calibrated probability.
 MIN_LANGUAGE_SCORE = 0.35
@@ -88,12 +91,25 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_documents(docs, TOKENIZER)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language_id", identify_languages),
-    ("near_dedup", drop_near_duplicates),
-    ("secret_scan", redact_secrets),
-    ("source_mix", mix_sources),
-    ("bpe", encode),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """``stage`` with whole texts handed to Python in small batches, also when its rows are read."""
+    @functools.wraps(stage)
+    def limited(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        limit_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return limited
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", in_small_batches(identify_languages)),
+    ("near_dedup", in_small_batches(drop_near_duplicates)),
+    ("secret_scan", in_small_batches(redact_secrets)),
+    ("source_mix", in_small_batches(mix_sources)),
+    ("bpe", in_small_batches(encode)),
 ]
 
 #: No SQL: the trained model, the test battery and the tokenizer have none.

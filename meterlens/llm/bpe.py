@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from meterlens.llm.workers import held, lean
 from meterlens.storage import durable
 
 #: Chunks end where the top bits of the hash are zero: 1 KiB apart on average.
@@ -279,14 +280,9 @@ class PieceEncoder:
                 hashlib.sha256(self.decode(numbers).encode()).hexdigest())
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return held(path, lambda: PieceEncoder(path))
 
 
 def shared_chunks(
@@ -309,7 +305,7 @@ def shared_chunks(
                 [pa.array(numbers, pa.int64()), pa.array(digests, pa.binary())],
                 names=["number", "chunk"])
 
-    chunks = docs.select(number, data).mapInArrow(cut, "number long, chunk binary")
+    chunks = docs.select(number, data).mapInArrow(lean(cut), "number long, chunk binary")
     counted = durable(chunks.groupBy("chunk").agg(
         F.count("*").alias("copies"), F.min("number").alias("owner")).where("copies > 1"))
     sizes = counted.groupBy(F.least("copies", F.lit(1 << 16)).alias("copies")).agg(
@@ -374,7 +370,7 @@ def encode_texts(
             [pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
 
     schema = StructType(docs.select(key).schema.fields + StructType.fromDDL(ENCODED).fields)
-    return numbered.mapInArrow(encode, schema)
+    return numbered.mapInArrow(lean(encode, path), schema)
 
 
 ENCODED = ("number long, part int, ids binary, chunk binary, lane long, n_tokens long, "
@@ -475,7 +471,7 @@ def encode_documents(
 
     schema = StructType(joined.select("copies", key).schema.fields + StructType.fromDDL(
         "n_tokens long, ids_sha256 string, decoded_sha256 string").fields)
-    assembled = joined.mapInArrow(finish, schema)
+    assembled = joined.mapInArrow(lean(finish, path), schema)
     repeated = assembled.withColumn(
         "_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     out = [key, "n_tokens", "ids_sha256", "decoded_sha256"]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from meterlens.llm.arrow_words import slices
+from meterlens.llm.workers import lean
 
 UNDETERMINED = "und"
 BUCKET_BITS = 15
@@ -118,7 +119,7 @@ def document_frequencies(
 
     schema = "part int, counts binary, n_rows long"
     found = (
-        texts.select(text).mapInArrow(count, schema).repartition(parts, "part")
+        texts.select(text).mapInArrow(lean(count), schema).repartition(parts, "part")
         .mapInArrow(add, schema).collect()
     )
     table, rows = np.zeros(1 << bits, np.int64), 0
@@ -245,7 +246,7 @@ def train_language_model(
     sample = bounded_sample(train, "_text", "_label", F.col("_key"), sizes, max_rows)
     chosen = sorted(
         sample.select("_text", "_label", "_order").mapInArrow(
-            features, "label string, order long, found binary, counts binary").collect(),
+            lean(features), "label string, order long, found binary, counts binary").collect(),
         key=lambda r: (r["order"], r["label"], r["found"]))
     number = {name: i for i, name in enumerate(languages)}
     vectors, labels = [], []
@@ -302,4 +303,4 @@ def predict_languages(
 
     read = docs.select(*keep, *([] if own else [F.col(text).alias("_text")]))
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    return read.mapInArrow(predict, schema)
+    return read.mapInArrow(lean(predict), schema)

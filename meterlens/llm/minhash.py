@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from meterlens.llm.arrow_words import slices
 from meterlens.llm.shingles import U, mix64, shingle_set
+from meterlens.llm.workers import lean
 from meterlens.storage import durable, recorded, remove_tables
 
 WORDS = 5
@@ -107,7 +108,7 @@ def shingled(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFr
 
     schema = StructType(docs.select(key).schema.fields + StructType.fromDDL(
         "n_shingles long, set_id binary, bands array<long>").fields)
-    return docs.select(key, F.encode(text, "UTF-8")).mapInArrow(read, schema)
+    return docs.select(key, F.encode(text, "UTF-8")).mapInArrow(lean(read), schema)
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
@@ -120,7 +121,7 @@ def shingle_sets(docs: DataFrame, key: str, text: str, words: int = WORDS) -> Da
                 [batch.column(0), pa.array(sets, pa.binary())], names=[key, "hashes"])
 
     schema = StructType(docs.select(key).schema.fields + StructType.fromDDL("hashes binary").fields)
-    return docs.select(key, F.encode(text, "UTF-8")).mapInArrow(read, schema)
+    return docs.select(key, F.encode(text, "UTF-8")).mapInArrow(lean(read), schema)
 
 
 def similar(pairs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -140,7 +141,7 @@ def similar(pairs: DataFrame, percent: int = SIMILARITY) -> DataFrame:
     small, large = F.least(F.length("a_set"), F.length("b_set")), F.greatest(
         F.length("a_set"), F.length("b_set"))
     alike = pairs.where(100 * small >= percent * large)
-    return alike.select("a", "b", "a_set", "b_set").mapInArrow(compare, "a long, b long")
+    return alike.select("a", "b", "a_set", "b_set").mapInArrow(lean(compare), "a long, b long")
 
 
 def connected(edges: DataFrame) -> DataFrame:

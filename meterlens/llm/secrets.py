@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+from meterlens.llm.workers import lean
+
 #: Fixed patterns of the three base kinds, in their order of listing.
 ASSIGN = re.compile(
     r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -164,7 +166,7 @@ def character_counts(docs: DataFrame, text: str) -> np.ndarray:
             "c": pa.array(range(128), pa.int32()), "n": pa.array(total[:128], pa.int64())})
 
     rows = (
-        docs.select(F.encode(text, "UTF-8").alias("b")).mapInArrow(count, "c int, n long")
+        docs.select(F.encode(text, "UTF-8").alias("b")).mapInArrow(lean(count), "c int, n long")
         .groupBy("c").agg(F.sum("n").alias("n")).collect()
     )
     out = np.zeros(128)
@@ -247,7 +249,7 @@ def find_secrets(
             pa.array([c for c, _ in counts], pa.int32()), pa.array([s for _, s in counts], pa.int32()),
             pa.array(list(counts.values()), pa.int64())], names=["class", "step", "n"])
 
-    counted = docs.select(text).mapInArrow(levels, "class int, step int, n long")
+    counted = docs.select(text).mapInArrow(lean(levels), "class int, step int, n long")
     # At most one number for each of the length classes.
     limits = {row["class"]: row["least"] for row in selected_steps(counted, fdr).collect()}
 
@@ -271,7 +273,7 @@ def find_secrets(
 
     added = StructType.fromDDL(f"base array<{SPAN}>, spans array<{SPAN}>")
     schema = StructType(docs.select(*keep).schema.fields + added.fields)
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(scan, schema)
+    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(lean(scan), schema)
 
 
 def redact(docs: DataFrame, spans: str, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
@@ -297,4 +299,4 @@ def redact(docs: DataFrame, spans: str, text: str = "text", mark: str = "[SECRET
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(cut, docs.schema)
+    return docs.mapInArrow(lean(cut), docs.schema)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 _RECORDS: list[list[str]] = []
 #: Bytes in one Arrow batch between Spark and Python while a table is written, about. A batch is
 #: held on both sides, by every task.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -36,12 +36,24 @@ def shared_folder(spark: SparkSession) -> str:
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
     """Plans that run in the block hand Python ``BATCH_BYTES`` of rows at a time, one row at least."""
-    before = spark.conf.get(_BATCH)
+    before = spark.conf.get(_BATCH, None)
     spark.conf.set(_BATCH, str(BATCH_BYTES))
     try:
         yield
     finally:
-        spark.conf.set(_BATCH, before)
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
+def limit_batches(spark: SparkSession) -> None:
+    """As ``small_batches``, for good: for rows that are read after whoever made them is done.
+
+    A limit that the session was given stays.
+    """
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
 
 
 def durable(df: DataFrame, *partitions: str) -> DataFrame:
