@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from meterlens.llm.workers import held, lean
+from meterlens.llm.workers import give_back, held, lean
 from meterlens.storage import durable
 
 #: Chunks end where the top bits of the hash are zero: 1 KiB apart on average.
@@ -43,7 +43,7 @@ MAX_SHARED = 1 << 18
 #: Copies of a chunk that borrow from one lane.
 LANE_COPIES = 128
 #: Bytes of text encoded in one call, and planned at a time.
-CALL_BYTES, SLICE_BYTES = 1 << 17, 2 << 20
+CALL_BYTES, SLICE_BYTES = 1 << 17, 1 << 20
 WHITE = b" \t\n\r\x0b\x0c"
 SPACE = re.compile(b"[" + WHITE + b"]")
 WORD = re.compile(b"[^" + WHITE + b"]+")
@@ -166,7 +166,10 @@ class PieceEncoder:
         size = self.tokenizer.get_vocab_size()
         self.digits = list(map(str, range(size)))
         self.strings = list(map(self.tokenizer.id_to_token, range(size)))
-        self.words: dict[bytes, bytes] = {}
+        # Words remembered, their ids one after the other, and where each word's begin: a few
+        # bytes a word, which as objects of their own would take some hundred.
+        self.words = pa.array([], pa.binary())
+        self.ids, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
         self.mark = np.frombuffer(self.raw([MARK])[0], np.uint32)
         # How a text may be cut into pieces that are encoded apart; None if it may not.
         self.pattern = next((p for p in (WORD, SPACED_WORD) if self.probe(p)), None)
@@ -250,22 +253,31 @@ class PieceEncoder:
             return [b""] * len(parts)
         coded = words.dictionary_encode()
         places = coded.indices.to_numpy(zero_copy_only=False)
-        distinct = coded.dictionary.to_pylist()
-        known = list(map(self.words.get, distinct))
-        unknown = [i for i, ids in enumerate(known) if ids is None]
-        for i, ids in zip(unknown, self.distinct_ids([distinct[i] for i in unknown])):
-            known[i] = ids
-            if len(self.words) < MAX_WORDS:
-                self.words[distinct[i]] = ids
-        sizes = np.array([len(ids) // 4 for ids in known], np.int64)
-        flat = np.frombuffer(b"".join(known), np.uint32)
-        lengths = sizes[places]
+        known = pa.compute.index_in(coded.dictionary, value_set=self.words)
+        unknown = coded.dictionary.filter(known.is_null())
+        found = self.distinct_ids(unknown.to_pylist())
+        # The ids of the unknown words follow those remembered.
+        at = known.to_numpy(zero_copy_only=False)
+        at = np.where(np.isnan(at), np.cumsum(np.isnan(at)) - 1 + len(self.words), at).astype(np.int64)
+        flat = np.concatenate([self.ids, np.frombuffer(b"".join(found), np.uint32)])
+        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(
+            [len(ids) // 4 for ids in found], dtype=np.int64)])
+        lengths = np.diff(starts)[at][places]
         stops = np.concatenate([[0], np.cumsum(lengths)])
-        shifts = (np.cumsum(sizes) - sizes)[places] - stops[:-1]
+        shifts = starts[at][places] - stops[:-1]
         ids = flat[np.repeat(shifts, lengths) + np.arange(stops[-1])]
+        self.remember(unknown, flat, starts)
         edges = stops[ends]
         return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:])]
 
+    def remember(self, new: pa.Array, ids: np.ndarray, starts: np.ndarray) -> None:
+        """Keep the first of the ``new`` words, ``MAX_WORDS`` in all, and their ``ids``."""
+        new = new.slice(0, max(0, MAX_WORDS - len(self.words)))
+        if len(new):
+            self.words = pa.concat_arrays([self.words, new])
+            self.starts = starts[:len(self.words) + 1].copy()
+            self.ids = ids[:self.starts[-1]].copy()
+
     def decode(self, numbers: list[int]) -> str:
         """As the tokenizer decodes; without a decoder it joins tokens by blanks."""
         if self.tokenizer.decoder is None:
@@ -343,6 +355,7 @@ def encode_texts(
         for batch in batches:
             for piece in slices(batch, 2, SLICE_BYTES):
                 yield encode_slice(piece, shared, codec)
+            give_back()  # the words' own objects, many and small
 
     def encode_slice(batch: pa.RecordBatch, shared: dict, codec: PieceEncoder) -> pa.RecordBatch:
         keys, numbers, texts = (c.to_pylist() for c in batch.columns)

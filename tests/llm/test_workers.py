@@ -57,3 +57,20 @@ def test_stages_leave_batches_small(spark):
         assert corpus_pipeline.STAGES[0][1](spark, docs, "").count() and spark.conf.get(_LIMIT) == "1m"
     finally:
         spark.conf.unset(_LIMIT) if kept is None else spark.conf.set(_LIMIT, kept)
+
+
+def test_remembered_words_take_few_bytes(monkeypatch):
+    """Their ids are right whether a word is new, remembered or past the limit."""
+    from meterlens.llm import bpe
+
+    codec = bpe.PieceEncoder(TOKENIZER)
+    texts = [" ".join(f"w{i % 997}x{i * j % 5003} é" for i in range(600)).encode() for j in range(1, 9)]
+    whole = codec.raw(texts)
+    for most in (1 << 18, 1000, 0):
+        monkeypatch.setattr(bpe, "MAX_WORDS", most)
+        codec = bpe.PieceEncoder(TOKENIZER)
+        for _ in range(2):
+            assert [codec.encode([text])[0] for text in texts] == whole
+        assert len(codec.words) <= most and len(codec.words) == len(set(codec.words.to_pylist()))
+        held = codec.words.nbytes + codec.ids.nbytes + codec.starts.nbytes
+        assert (most == 0) == (not len(codec.words)) and held <= 64 * (len(codec.words) + 1)
